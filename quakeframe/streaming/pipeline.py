@@ -1,0 +1,135 @@
+"""Messages to silver to statistics.
+
+Events are parsed and deduplicated once, into a silver table. Each statistic is a query of its own
+on that table with its own watermark and checkpoint, so it can be restarted or changed alone.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from quakeframe.operators import clean, points, statistics
+from quakeframe.schema import QUAKES
+from quakeframe.session import work_dir
+from quakeframe.sources.catalogue import MIN_MAGNITUDE
+
+WATERMARK = "30 seconds"
+
+STATISTICS: dict[str, Callable[..., DataFrame]] = {
+    "hourly_global_stats": statistics.hourly_global,
+    "daily_global_stats": statistics.daily_global,
+    "rolling_24h": statistics.rolling_24h,
+    "rolling_7day": statistics.rolling_7day,
+    "significant_event_alerts": statistics.significant_alerts,
+    "realtime_magnitude_distribution": statistics.magnitude_distribution,
+    "depth_pattern_analysis": statistics.depth_patterns,
+    "sequence_detection": statistics.sequences,
+}
+
+POINTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "hourly_global_stats": points.global_stream_points,
+    "daily_global_stats": lambda df: points.global_stream_points(df, "daily_global_stats_stream"),
+    "rolling_24h": lambda df: points.rolling_points(df, "24h"),
+    "rolling_7day": lambda df: points.rolling_points(df, "7day"),
+    "significant_event_alerts": points.alert_points,
+    "realtime_magnitude_distribution": lambda df: points.stream_points(df, "realtime_magnitude_distribution"),
+    "depth_pattern_analysis": lambda df: points.stream_points(df, "depth_pattern_analysis"),
+    "sequence_detection": points.sequence_points,
+}
+
+
+def event_or_arrival(df: DataFrame, arrival: str = "timestamp") -> DataFrame:
+    """Gives events without a time that of their arrival."""
+    return df.withColumn("event_time", F.coalesce("event_time", arrival))
+
+
+def unique(df: DataFrame, delay: str = WATERMARK, forever: bool = False) -> DataFrame:
+    """The first record of each id.
+
+    Ids are forgotten once the watermark has passed them, so the state is bounded. With
+    ``forever`` they are kept for good: needs RocksDB and disk for every id ever seen.
+    """
+    marked = df.withWatermark("event_time", delay)
+    return marked.dropDuplicates(["id"]) if forever else marked.dropDuplicatesWithinWatermark(["id"])
+
+
+def silver(
+    messages: DataFrame, min_magnitude: float = MIN_MAGNITUDE, delay: str = WATERMARK, forever: bool = False,
+) -> DataFrame:
+    usable = clean.live_required(clean.parse_live(messages), min_magnitude)
+    rows = clean.enrich(unique(usable, delay, forever), "live")
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUAKES.fields])
+
+
+def rejected(messages: DataFrame) -> DataFrame:
+    """Messages that cannot be used, with the reason and their text."""
+    reason = clean.live_reject_reason()
+    return clean.dead_letters(clean.parse_live(messages), reason).select("value", "reason", "timestamp")
+
+
+def read_silver(spark: SparkSession, path: str, delay: str = WATERMARK, files_per_trigger: int = 1000) -> DataFrame:
+    table = spark.readStream.schema(QUAKES).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    return table.withWatermark("event_time", delay)
+
+
+def statistic(silver_rows: DataFrame, name: str, durations: str = "intended", **options) -> DataFrame:
+    return STATISTICS[name](silver_rows, durations, **options)
+
+
+def write_files(
+    df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None, once: bool = False,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Append-only parquet: each window is emitted once, when the watermark has passed it."""
+    writer = df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
+    return writer.start(path)
+
+
+def write_log(df: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = "1 minute") -> StreamingQuery:
+    """A log of writes, one folder per micro-batch, to be merged by ``points.upsert``.
+
+    A batch that is run again after a failure replaces its own folder, so nothing is doubled.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def run_live(
+    spark: SparkSession, messages: DataFrame, root: str, checkpoints: str | None = None,
+    durations: str = "intended", min_magnitude: float = MIN_MAGNITUDE, once: bool = False,
+) -> list[StreamingQuery]:
+    """Starts the silver query, the dead letters, the raw points and all statistics.
+
+    With ``once`` the stages run to completion one after the other; otherwise all run side by
+    side and the statistics follow the silver table. A fixed ``checkpoints`` folder makes a
+    restart go on where the last run stopped.
+    """
+    checkpoints = checkpoints or work_dir(spark, "live")
+    queries = []
+
+    def launch(query: StreamingQuery) -> None:
+        queries.append(query)
+        if once:
+            query.awaitTermination()
+
+    silver_path = f"{root}/silver"
+    rows = silver(messages, min_magnitude)
+    launch(write_files(rows, silver_path, f"{checkpoints}/silver", "date", once))
+    launch(write_files(rejected(messages), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
+    table = lambda: read_silver(spark, silver_path)
+    launch(write_log(points.event_points(table()), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
+    for name in STATISTICS:
+        shaped = POINTS[name](statistic(table(), name, durations))
+        launch(write_files(shaped, f"{root}/{name}", f"{checkpoints}/{name}", None, once))
+    return queries
