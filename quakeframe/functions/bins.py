@@ -20,14 +20,19 @@ def finite(text: Column) -> Column:
     return F.when(number.between(-1e9, 1e9), number)
 
 
+def _whole_bin(low: Column) -> Column:
+    """Text of the bin of a whole number from zero on, without formatting doubles."""
+    return F.concat(low.cast("string"), F.lit(".0-"), low.cast("string"), F.lit(".9"))
+
+
 def catalogue_magnitude_bin(mag: Column) -> Column:
-    low = F.floor(mag).cast("double")
-    return F.concat_ws("-", F.round(low, 1), F.round(low + 0.9, 1))
+    low = F.floor(mag)
+    negative = F.concat_ws("-", F.round(low.cast("double"), 1), F.round(low.cast("double") + 0.9, 1))
+    return F.when(mag >= 0, _whole_bin(low)).otherwise(negative)
 
 
 def live_magnitude_bin(mag: Column) -> Column:
-    low = mag.cast("bigint")
-    return F.when(mag.isNull() | (mag < 0), UNKNOWN).otherwise(F.format_string("%d.0-%d.9", low, low))
+    return F.when(mag.isNull() | (mag < 0), UNKNOWN).otherwise(_whole_bin(mag.cast("bigint")))
 
 
 def _depth(depth: Column) -> Column:

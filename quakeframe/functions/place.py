@@ -1,45 +1,79 @@
-"""Region from the free-text place of an event."""
+"""Region from the free-text place of an event.
+
+The steps are columns of their own, so each is computed once per row; as one nested expression
+every step would be evaluated again wherever it is mentioned. Plain string functions decide
+whether a regular expression is needed at all.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_AFTER_COMMA = r",\s*([^,]+)$"
+# What a regular expression counts as a blank, and the place that has no name.
+BLANKS = " \t\n\x0b\f\r"
+NOWHERE = "Unknown"
+
 _AFTER_OF = r".*\bof\s+(.+)$"
 _SUFFIX = r"(?i)\s+region$"
-NOWHERE = "Unknown"
 
 
-def _first_filled(*texts: Column) -> Column:
-    """The first text that is more than blanks."""
-    return F.coalesce(*[F.when(F.trim(t) != "", t) for t in texts])
+def _tail(place: Column) -> Column:
+    """What follows the last comma, without leading blanks; null without a comma."""
+    return F.when(F.contains(place, F.lit(",")), F.ltrim(F.substring_index(place, ",", -1), F.lit(BLANKS)))
+
+
+def _filled(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")) != ""
+
+
+def _without_suffix(text: Column) -> Column:
+    has_word = F.contains(F.lower(text), F.lit("region"))
+    return F.when(has_word, F.regexp_replace(text, _SUFFIX, "")).otherwise(text)
 
 
 def _or_nowhere(text: Column) -> Column:
-    return F.when(F.coalesce(text, F.lit("")) == "", NOWHERE).otherwise(text)
+    return F.when(_filled(text), text).otherwise(NOWHERE)
 
 
-def catalogue_region(place: Column) -> Column:
+def catalogue_region(df: DataFrame, place: str = "place") -> DataFrame:
     """After the last comma, else after a lower-case ``of``, else the place.
 
     The suffix is removed before trimming: a place of only " region" has no name left.
     """
-    found = _first_filled(
-        F.regexp_extract(place, _AFTER_COMMA, 1), F.regexp_extract(place, _AFTER_OF, 1), place
+    where = F.col(place)
+    after_of = F.when(F.contains(where, F.lit("of")), F.regexp_extract(where, _AFTER_OF, 1))
+    return (
+        df.withColumn("_tail", _tail(where))
+        .withColumn("_of", F.when(~_filled(F.trim("_tail")), after_of))
+        .withColumn("_found", F.when(_filled(F.trim("_tail")), F.col("_tail"))
+                    .when(_filled(F.trim("_of")), F.col("_of")).otherwise(where))
+        .withColumn("_name", F.trim(_without_suffix(F.col("_found"))))
+        .withColumn("region", _or_nowhere(F.col("_name")))
+        .drop("_tail", "_of", "_found", "_name")
     )
-    return _or_nowhere(F.trim(F.regexp_replace(found, _SUFFIX, "")))
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Blanks of all scripts. The pattern runs only where a first or last character needs it."""
+    outer = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.when(text.rlike(r"(?U)^\s|\s$"), outer).otherwise(text)
 
 
-def live_region(place: Column) -> Column:
+def live_region(df: DataFrame, place: str = "place") -> DataFrame:
     """As above with ``of`` in any case; blanks of any kind go before the suffix does."""
-    found = _first_filled(
-        _strip(F.regexp_extract(place, "(?U)" + _AFTER_COMMA, 1)),
-        _strip(F.regexp_extract(place, "(?iU)" + _AFTER_OF, 1)),
-        _strip(place),
+    where = F.col(place)
+    after_of = F.when(
+        F.contains(F.lower(where), F.lit("of")), F.regexp_extract(where, "(?iU)" + _AFTER_OF, 1)
+    )
+    return (
+        df.withColumn("_tail", _tail(where))
+        .withColumn("_tail", _strip(F.col("_tail")))
+        .withColumn("_of", F.when(~_filled(F.col("_tail")), after_of))
+        .withColumn("_of", _strip(F.col("_of")))
+        .withColumn("_found", F.when(_filled(F.col("_tail")), F.col("_tail"))
+                    .when(_filled(F.col("_of")), F.col("_of")).otherwise(_strip(where)))
+        .withColumn("_name", _without_suffix(F.col("_found")))
+        .withColumn("region", _or_nowhere(F.col("_name")))
+        .drop("_tail", "_of", "_found", "_name")
     )
-    return _or_nowhere(F.regexp_replace(found, _SUFFIX, ""))

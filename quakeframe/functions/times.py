@@ -62,10 +62,8 @@ def seconds(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)
 
 
-def shift(time: Column, secs: Column | float) -> Column:
-    """A time moved by (whole or fractional) seconds."""
-    secs = secs if isinstance(secs, Column) else F.lit(float(secs))
-    return F.timestamp_micros((F.unix_micros(time) + secs * 1_000_000).cast("bigint"))
+def shift(time: Column, whole_seconds: int) -> Column:
+    return F.timestamp_micros(F.unix_micros(time) + F.lit(int(whole_seconds) * 1_000_000))
 
 
 def floor_to(time: Column, width_seconds: int) -> Column:

@@ -69,7 +69,11 @@ def live_reject_reason() -> Column:
 
 
 def live_required(df: DataFrame, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
-    return df.where(live_reject_reason().isNull() & (F.col("mag") >= min_magnitude))
+    """The negation of the reasons, as plain comparisons that reach the scan."""
+    mag = F.col("mag")
+    return df.where(
+        (F.col("id") != "") & F.col("event_time").isNotNull() & (mag != 0) & (mag >= min_magnitude)
+    )
 
 
 def point_reject_reason() -> Column:
@@ -89,24 +93,24 @@ def dead_letters(df: DataFrame, reason: Column) -> DataFrame:
 
 def enrich(df: DataFrame, mode: str = "catalog") -> DataFrame:
     """Calendar parts, bins and region by the rules of the ``catalog`` or the ``live`` path."""
-    mag, depth, where = F.col("mag"), F.col("depth"), F.col("place")
+    mag, depth = F.col("mag"), F.col("depth")
     if mode == "catalog":
         derived = {
             "mag_bin": bins.catalogue_magnitude_bin(mag),
             "depth_bin": bins.catalogue_depth_bin(depth),
-            "region": place.catalogue_region(where),
             "source": F.lit("batch"),
         }
+        named = place.catalogue_region(df)
     elif mode == "live":
         derived = {
             "mag_bin": bins.live_magnitude_bin(mag),
             "depth_bin": bins.live_depth_bin(depth),
-            "region": place.live_region(where),
             "source": F.lit("stream"),
         }
+        named = place.live_region(df)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return df.withColumns({**times.calendar_parts(F.col("event_time")), **derived})
+    return named.withColumns({**times.calendar_parts(F.col("event_time")), **derived})
 
 
 def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

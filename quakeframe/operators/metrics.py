@@ -131,26 +131,26 @@ def count_timeline(
     of these changes is the count. Nothing is copied per instant, events of one step are counted
     before the shuffle, and cutting spells at midnight lets the sum run per key and day.
     """
-    day = 86_400_000_000
+    day = F.lit(86_400_000_000)
     first, gone = _seen(F.col("time"), lookback_seconds, step_seconds)
     counted = points.select(*keys, first.alias("first"), gone.alias("gone")).groupBy(
         *keys, "first", "gone"
     ).agg(F.count(F.lit(1)).alias("n"))
-    midnight = lambda c: F.col(c) - F.pmod(F.col(c), F.lit(day))
-    parts = counted.select(
-        *keys, "first", "gone", "n",
-        F.explode(F.sequence(midnight("first"), F.col("gone") - 1 - F.pmod(F.col("gone") - 1, F.lit(day)), F.lit(day))).alias("day"),
-    )
-    changes = parts.select(*keys, "day", F.inline(F.array(
-        F.struct(F.greatest("first", "day").alias("at"), F.col("n").alias("change")),
-        F.struct(F.least("gone", F.col("day") + day).alias("at"), (-F.col("n")).alias("change")),
-    )))
+    midnight = lambda c: c - F.pmod(c, day)
+    days = F.sequence(midnight(F.col("first")), midnight(F.col("gone") - 1), day)
+    changes = counted.select(*keys, "first", "gone", "n", F.explode(days).alias("day")).select(
+        *keys, "day", F.inline(F.array(
+            F.struct(F.greatest("first", "day").alias("at"), F.col("n").alias("change")),
+            F.struct(F.least("gone", F.col("day") + day).alias("at"), (-F.col("n")).alias("change")),
+        )))
+    # One shuffle by key and day serves the sum, the running sum and the joining of spells.
     order = Window.partitionBy(*keys, "day").orderBy("at")
-    levels = changes.groupBy(*keys, "day", "at").agg(F.sum("change").alias("change")).select(
-        *keys, "at", F.lead("at").over(order).alias("until"), F.sum("change").over(order).alias("value")
+    levels = (
+        changes.repartition(*keys, "day").groupBy(*keys, "day", "at").agg(F.sum("change").alias("change"))
+        .select(*keys, "day", "at", F.lead("at").over(order).alias("until"), F.sum("change").over(order).alias("value"))
     )
     return levels.where(F.col("value") >= at_least).select(
-        *keys, F.timestamp_micros("at").alias("start"), F.timestamp_micros("until").alias("end"), "value"
+        *keys, "day", F.timestamp_micros("at").alias("start"), F.timestamp_micros("until").alias("end"), "value"
     )
 
 

@@ -19,15 +19,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_quakes(events: DataFrame, duplicates: bool = False) -> DataFrame:
-    """Typed events. ``duplicates`` adds a later copy of every 20th one, without a second scan."""
-    k = F.from_json("props", "k int")["k"]
-    seconds_later = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(10))).otherwise(
-        F.array(F.lit(0))
-    )
+    """Typed events. ``duplicates`` adds a later revision of every 20th one, without a second scan."""
+    # One number in a fixed text: several times cheaper than a JSON parser per row.
+    k = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).try_cast("int")
     out = events.withColumns({"k": k, "ts": F.col("ts").cast("timestamp")})
     if duplicates:
-        out = out.withColumn("later", F.explode(seconds_later)).withColumn(
-            "ts", F.col("ts") + F.make_dt_interval(secs=F.col("later"))
+        revisions = F.sequence(F.lit(0), F.when(F.col("event_id") % 20 == 0, 1).otherwise(0))
+        out = out.withColumn("revision", F.explode(revisions)).withColumn(
+            "ts", F.col("ts") + F.make_dt_interval(secs=F.col("revision") * 10)
         )
     text, k = F.col("event_type"), F.col("k")
     numbered = k.cast("string")
@@ -46,6 +45,7 @@ def to_quakes(events: DataFrame, duplicates: bool = False) -> DataFrame:
         .when(k % 6 == 3, F.concat(F.lit("South OF "), text))
         .when(k % 6 == 4, text)
         .alias("place"),
+        *(["revision"] if duplicates else []),
     )
 
 

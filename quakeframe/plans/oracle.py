@@ -181,7 +181,7 @@ def count_ticks(table: str, lookback_seconds: int, at_least: int) -> str:
     return f"""SELECT region, make_timestamp(instant) AS tick, CAST(count(*) AS BIGINT) AS value
 FROM (SELECT region, unnest(range(
     CAST(ceil({micros} / 15e6) AS BIGINT) * 15000000,
-    CAST(floor(({micros} + {lookback_seconds} * 1000000) / 15e6) AS BIGINT) * 15000000 + 1,
+    CAST(floor(({micros} + {lookback_seconds * 1000000}) / 15e6) AS BIGINT) * 15000000 + 1,
     15000000)) AS instant FROM {table})
 GROUP BY ALL HAVING count(*) >= {at_least}"""
 

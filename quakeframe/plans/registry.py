@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakeframe.functions import bins, place, times
@@ -196,7 +196,7 @@ def _dated(query: str) -> str:
     return f"SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM ({query})"
 
 
-def scalar(name: str, column: Callable[[], object], sql: str, kind: str | None = None):
+def scalar(name: str, column: Callable[[], Column], sql: str) -> None:
     register(name, o.sql(f"SELECT id, {sql} AS {name} FROM quakes"))(
         over(quakes, lambda df: df.select("id", column().alias(name))))
 
@@ -209,8 +209,10 @@ scalar("mag_bin_catalog", lambda: bins.catalogue_magnitude_bin(F.col("mag")), o.
 scalar("mag_bin_live", lambda: bins.live_magnitude_bin(F.col("mag") - 5), o.MAG_LIVE.replace("mag", "(mag - 5)"))
 scalar("depth_bin_catalog", lambda: bins.catalogue_depth_bin(F.col("depth")), o.DEPTH_CAT)
 scalar("depth_bin_live", lambda: bins.live_depth_bin(F.col("depth")), o.DEPTH_LIVE)
-scalar("region_catalog", lambda: place.catalogue_region(F.col("place")), o.REGION_CAT)
-scalar("region_live", lambda: place.live_region(F.col("place")), o.REGION_LIVE)
+register("region_catalog", o.sql(f"SELECT id, {o.REGION_CAT} AS region FROM quakes"))(
+    over(quakes, lambda df: place.catalogue_region(df).select("id", "region")))
+register("region_live", o.sql(f"SELECT id, {o.REGION_LIVE} AS region FROM quakes"))(
+    over(quakes, lambda df: place.live_region(df).select("id", "region")))
 register("geo_grid_cell", o.sql(
     f"""SELECT id, CAST({o.grid('latitude')} AS DOUBLE) AS lat_grid, CAST({o.grid('longitude')} AS DOUBLE) AS lon_grid
     FROM quakes"""))(
@@ -365,14 +367,8 @@ register("points_pivot_by_region", o.sql(
 def _writes(spark, sf):
     """Each event as it was first written and, where there is one, its later revision without a depth."""
     df = clean.enrich(clean.quality_filter(duplicated(spark, sf)), "catalog")
-    revised = F.col("ingest_ts") > F.col("first_ts")
-    from pyspark.sql import Window
-
-    first = F.min("ingest_ts").over(Window.partitionBy("event_id"))
-    return (
-        points.event_points(df).withColumn("ingest_ts", F.col("time")).withColumn("first_ts", first)
-        .withColumn("depth", F.when(~revised, F.col("depth")))
-    )
+    kept_depth = F.when(F.col("revision") == 0, F.col("depth"))
+    return points.event_points(df.withColumn("depth", kept_depth)).withColumn("ingest_ts", F.col("time"))
 
 
 _UPSERTED = ["time", "magnitude", "latitude", "longitude", "depth", "place"]
