@@ -1,79 +1,65 @@
 """Region from the free-text place of an event.
 
-The steps are columns of their own, so each is computed once per row; as one nested expression
-every step would be evaluated again wherever it is mentioned. Plain string functions decide
-whether a regular expression is needed at all.
+Each step mentions the one before only once. Nested tests that repeat a step would double its
+work with every level, also in filters that the optimizer moves below the projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a regular expression counts as a blank, and the place that has no name.
-BLANKS = " \t\n\x0b\f\r"
 NOWHERE = "Unknown"
 
-_AFTER_OF = r".*\bof\s+(.+)$"
-_SUFFIX = r"(?i)\s+region$"
-
+# Blanks of a regular expression, all blanks of ASCII and those of other scripts.
+BLANKS = " \t\n\x0b\f\r"
+ASCII_BLANKS = BLANKS + "\x1c\x1d\x1e\x1f"
+WIDE_BLANKS = (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
-def _tail(place: Column) -> Column:
-    """What follows the last comma, without leading blanks; null without a comma."""
-    return F.when(F.contains(place, F.lit(",")), F.ltrim(F.substring_index(place, ",", -1), F.lit(BLANKS)))
+# The last "of" that is followed by a blank and something more; the atomic group keeps an earlier
+# one from being tried when only blanks follow.
+_UP_TO_OF = r"^(?>.*\bof\s+(?=.))(\S.*)$"
+_SUFFIX = r"\s+region$"
 
 
-def _filled(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")) != ""
+def _after_comma(place: Column) -> Column:
+    return F.when(F.contains(place, F.lit(",")), F.substring_index(place, ",", -1))
 
 
-def _without_suffix(text: Column) -> Column:
-    has_word = F.contains(F.lower(text), F.lit("region"))
-    return F.when(has_word, F.regexp_replace(text, _SUFFIX, "")).otherwise(text)
+def _replaced(place: Column, word: str, text: Column, pattern: str, by: str) -> Column:
+    """A regular expression costs far more than a search, so places without the word skip it."""
+    return F.when(F.contains(place, F.lit(word)), F.regexp_replace(text, pattern, by)).otherwise(text)
 
 
-def _or_nowhere(text: Column) -> Column:
-    return F.when(_filled(text), text).otherwise(NOWHERE)
+def _named(text: Column) -> Column:
+    """Never null, so that joins and filters on a region need no test for it."""
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit(NOWHERE))
 
 
-def catalogue_region(df: DataFrame, place: str = "place") -> DataFrame:
+def catalogue_region(place: Column) -> Column:
     """After the last comma, else after a lower-case ``of``, else the place.
 
     The suffix is removed before trimming: a place of only " region" has no name left.
     """
-    where = F.col(place)
-    after_of = F.when(F.contains(where, F.lit("of")), F.regexp_extract(where, _AFTER_OF, 1))
-    return (
-        df.withColumn("_tail", _tail(where))
-        .withColumn("_of", F.when(~_filled(F.trim("_tail")), after_of))
-        .withColumn("_found", F.when(_filled(F.trim("_tail")), F.col("_tail"))
-                    .when(_filled(F.trim("_of")), F.col("_of")).otherwise(where))
-        .withColumn("_name", F.trim(_without_suffix(F.col("_found"))))
-        .withColumn("region", _or_nowhere(F.col("_name")))
-        .drop("_tail", "_of", "_found", "_name")
-    )
+    tail = F.ltrim(_after_comma(place), F.lit(BLANKS))
+    found = F.coalesce(F.nullif(tail, F.lit("")), _replaced(place, "of", place, _UP_TO_OF, "$1"))
+    return _named(F.trim(_replaced(F.lower(place), "region", found, "(?i)" + _SUFFIX, "")))
 
 
-def _strip(text: Column) -> Column:
-    """Blanks of all scripts. The pattern runs only where a first or last character needs it."""
-    outer = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return F.when(text.rlike(r"(?U)^\s|\s$"), outer).otherwise(text)
+def _strip(text: Column, place: Column) -> Column:
+    """Trimming by a set with characters beyond ASCII is slow, so only such places do it."""
+    ascii_only = F.length(place) == F.octet_length(place)
+    return F.when(ascii_only, F.trim(text, F.lit(ASCII_BLANKS))).otherwise(
+        F.trim(text, F.lit(ASCII_BLANKS + WIDE_BLANKS))
+    )
 
 
-def live_region(df: DataFrame, place: str = "place") -> DataFrame:
+def live_region(place: Column) -> Column:
     """As above with ``of`` in any case; blanks of any kind go before the suffix does."""
-    where = F.col(place)
-    after_of = F.when(
-        F.contains(F.lower(where), F.lit("of")), F.regexp_extract(where, "(?iU)" + _AFTER_OF, 1)
-    )
-    return (
-        df.withColumn("_tail", _tail(where))
-        .withColumn("_tail", _strip(F.col("_tail")))
-        .withColumn("_of", F.when(~_filled(F.col("_tail")), after_of))
-        .withColumn("_of", _strip(F.col("_of")))
-        .withColumn("_found", F.when(_filled(F.col("_tail")), F.col("_tail"))
-                    .when(_filled(F.col("_of")), F.col("_of")).otherwise(_strip(where)))
-        .withColumn("_name", _without_suffix(F.col("_found")))
-        .withColumn("region", _or_nowhere(F.col("_name")))
-        .drop("_tail", "_of", "_found", "_name")
-    )
+    tail = _strip(_after_comma(place), place)
+    rest = _replaced(F.lower(place), "of", place, "(?iU)" + _UP_TO_OF, "$1")
+    found = F.coalesce(F.nullif(tail, F.lit("")), _strip(rest, place))
+    return _named(_replaced(F.lower(place), "region", found, "(?iU)" + _SUFFIX, ""))

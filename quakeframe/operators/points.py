@@ -16,8 +16,7 @@ from quakeframe.schema import MEASUREMENTS, Measurement
 
 
 def _or_unknown(name: str) -> Column:
-    text = F.col(name)
-    return F.when(F.coalesce(text, F.lit("")) == "", "Unknown").otherwise(text).alias(name)
+    return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit("Unknown")).alias(name)
 
 
 def event_points(df: DataFrame) -> DataFrame:
@@ -26,10 +25,10 @@ def event_points(df: DataFrame) -> DataFrame:
     return complete.select(
         F.col("event_time").alias("time"),
         _or_unknown("region"), _or_unknown("mag_bin"), _or_unknown("depth_bin"), "source",
-        F.when(F.col("magType") != "", F.col("magType")).alias("mag_type"),
+        F.nullif(F.col("magType"), F.lit("")).alias("mag_type"),
         F.col("mag").alias("magnitude"), "latitude", "longitude", "depth",
         F.col("id").alias("event_id"),
-        F.when(F.col("place") != "", F.col("place")).alias("place"),
+        F.nullif(F.col("place"), F.lit("")).alias("place"),
     )
 
 
