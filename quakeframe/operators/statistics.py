@@ -165,7 +165,16 @@ def rolling_7day(df: DataFrame, durations: str = "intended", **options) -> DataF
 
 
 def significant(df: DataFrame) -> DataFrame:
-    return df.where(F.col("mag") >= bins.SIGNIFICANT_FROM)
+    """Strong events.
+
+    A plain comparison on a stream would move below the watermark, which then would only go on with
+    the next strong event, and an alert would wait for it. Comparing pairs gives the same rows but
+    uses the event time, so every event moves the watermark.
+    """
+    if not df.isStreaming:
+        return df.where(F.col("mag") >= bins.SIGNIFICANT_FROM)
+    least = F.struct(F.lit(bins.SIGNIFICANT_FROM), F.lit("0001-01-01 00:00:00").cast("timestamp"))
+    return df.where(F.struct(F.col("mag"), F.col("event_time")) >= least)
 
 
 def significant_alerts(df: DataFrame, durations: str = "intended") -> DataFrame:
