@@ -11,6 +11,9 @@ from quakeframe.functions import bins, place, times
 from quakeframe.schema import CORRUPT, KEPT_FIELDS, LIVE_EVENT
 from quakeframe.sources.catalogue import MIN_MAGNITUDE
 
+# Why a message cannot be used though its required fields are there.
+PROBLEM = "_problem"
+
 _NUMBERS = ("latitude", "longitude", "depth", "mag")
 
 
@@ -44,6 +47,7 @@ def parse_live(messages: DataFrame) -> DataFrame:
         field("place").alias("place"),
         field("type").alias("type"),
         field(CORRUPT).alias(CORRUPT),
+        F.when((field("depth") != "") & bins.finite(field("depth")).isNull(), "bad depth").alias(PROBLEM),
         "value",
         *[c for c in messages.columns if c != "value"],
     )
@@ -59,21 +63,21 @@ def quality_filter(df: DataFrame, min_magnitude: float = MIN_MAGNITUDE) -> DataF
     return df.where(F.col("event_time").isNotNull() & (F.col("mag") >= min_magnitude))
 
 
-def live_reject_reason() -> Column:
+def live_reject_reason(df: DataFrame) -> Column:
     """Why a live event cannot be used, or null. A magnitude of zero counts as missing."""
-    return (
+    reason = (
         F.when(F.coalesce(F.col("id"), F.lit("")) == "", "no id")
         .when(F.col("mag").isNull() | (F.col("mag") == 0), "no magnitude")
         .when(F.col("event_time").isNull(), "no time")
     )
+    return reason.otherwise(F.col(PROBLEM)) if PROBLEM in df.columns else reason
 
 
 def live_required(df: DataFrame, min_magnitude: float = MIN_MAGNITUDE) -> DataFrame:
     """The negation of the reasons, as plain comparisons that reach the scan."""
     mag = F.col("mag")
-    return df.where(
-        (F.col("id") != "") & F.col("event_time").isNotNull() & (mag != 0) & (mag >= min_magnitude)
-    )
+    usable = (F.col("id") != "") & F.col("event_time").isNotNull() & (mag != 0) & (mag >= min_magnitude)
+    return df.where(usable & F.col(PROBLEM).isNull() if PROBLEM in df.columns else usable)
 
 
 def point_reject_reason() -> Column:

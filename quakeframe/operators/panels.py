@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.functions import bins
 from quakeframe.operators import buckets
-from quakeframe.sources.catalogue import as_of_column
+from quakeframe.sources.catalogue import as_of_column, has_date
 from quakeframe.sources.tables import range_filter
 
 
@@ -21,7 +21,11 @@ def _before(as_of: Column, **interval: int) -> Column:
 def since(df: DataFrame, as_of=None, time: str = "time", **interval: int) -> DataFrame:
     """The last ``interval`` up to and including ``as_of``, by default the latest row."""
     end = as_of_column(df, time) if as_of is None else as_of
-    return df.where((F.col(time) >= _before(end, **interval)) & (F.col(time) <= end))
+    start = _before(end, **interval)
+    out = df.where((F.col(time) >= start) & (F.col(time) <= end))
+    if has_date(df):  # prunes the folders of a table kept by date
+        out = out.where(F.col("date").between(F.to_date(start), F.to_date(end)))
+    return out
 
 
 # --- latest rows ------------------------------------------------------------------------------

@@ -122,14 +122,17 @@ def _finished(grouped: DataFrame, keys: Sequence[str], measured: bool, *extra: s
     )
 
 
-def tumbling(df: DataFrame, keys: Sequence[str], size: int, measured: bool = True) -> DataFrame:
-    grouped = df.groupBy(F.window("event_time", _seconds(size)), *keys).agg(*_aggregates(measured))
+def tumbling(
+    df: DataFrame, keys: Sequence[str], size: int, measured: bool = True, clock: str = "event_time",
+) -> DataFrame:
+    """Windows of event time or of another ``clock`` column, such as the time of arrival."""
+    grouped = df.groupBy(F.window(clock, _seconds(size)), *keys).agg(*_aggregates(measured))
     return _finished(grouped, keys, measured)
 
 
 def sliding(
     df: DataFrame, keys: Sequence[str], size: int, slide: int, measured: bool = True,
-    panes: bool = True, count_panes: bool = False,
+    panes: bool = True, count_panes: bool = False, clock: str = "event_time",
 ) -> DataFrame:
     """Sliding windows, by default from panes.
 
@@ -137,9 +140,9 @@ def sliding(
     only one row per key and pane is copied; integer sums make both forms equal to the last digit.
     """
     if not panes:
-        sliding_window = F.window("event_time", _seconds(size), _seconds(slide))
+        sliding_window = F.window(clock, _seconds(size), _seconds(slide))
         return _finished(df.groupBy(sliding_window, *keys).agg(*_aggregates(measured)), keys, measured)
-    pane = F.window("event_time", _seconds(gcd(size, slide))).alias("pane")
+    pane = F.window(clock, _seconds(gcd(size, slide))).alias("pane")
     paned = df.groupBy(pane, *keys).agg(*_aggregates(measured))
     window = F.window(F.window_time("pane"), _seconds(size), _seconds(slide))
     extra = [F.count(F.lit(1)).alias("n_panes")] if count_panes else []
@@ -147,13 +150,13 @@ def sliding(
     return _finished(merged, keys, measured, *(["n_panes"] if count_panes else []))
 
 
-def hourly_global(df: DataFrame, durations: str = "intended") -> DataFrame:
+def hourly_global(df: DataFrame, durations: str = "intended", clock: str = "event_time") -> DataFrame:
     """No key: partial aggregation leaves one row per window and task for the shuffle."""
-    return tumbling(df, [], WINDOWS[durations]["hourly_global"][0])
+    return tumbling(df, [], WINDOWS[durations]["hourly_global"][0], clock=clock)
 
 
-def daily_global(df: DataFrame, durations: str = "intended") -> DataFrame:
-    return tumbling(df, [], WINDOWS[durations]["daily_global"][0])
+def daily_global(df: DataFrame, durations: str = "intended", clock: str = "event_time") -> DataFrame:
+    return tumbling(df, [], WINDOWS[durations]["daily_global"][0], clock=clock)
 
 
 def rolling_24h(df: DataFrame, durations: str = "intended", **options) -> DataFrame:
@@ -177,22 +180,22 @@ def significant(df: DataFrame) -> DataFrame:
     return df.where(F.struct(F.col("mag"), F.col("event_time")) >= least)
 
 
-def significant_alerts(df: DataFrame, durations: str = "intended") -> DataFrame:
-    out = tumbling(significant(df), ["region"], WINDOWS[durations]["significant"][0])
+def significant_alerts(df: DataFrame, durations: str = "intended", clock: str = "event_time") -> DataFrame:
+    out = tumbling(significant(df), ["region"], WINDOWS[durations]["significant"][0], clock=clock)
     return out.withColumn("alert_level", bins.alert_level(F.col("max_mag")))
 
 
-def magnitude_distribution(df: DataFrame, durations: str = "intended") -> DataFrame:
-    return tumbling(df, ["mag_bin"], WINDOWS[durations]["magnitude"][0], measured=False)
+def magnitude_distribution(df: DataFrame, durations: str = "intended", clock: str = "event_time") -> DataFrame:
+    return tumbling(df, ["mag_bin"], WINDOWS[durations]["magnitude"][0], measured=False, clock=clock)
 
 
-def depth_patterns(df: DataFrame, durations: str = "intended") -> DataFrame:
-    return tumbling(df, ["region", "depth_bin"], WINDOWS[durations]["depth"][0], measured=False)
+def depth_patterns(df: DataFrame, durations: str = "intended", clock: str = "event_time") -> DataFrame:
+    return tumbling(df, ["region", "depth_bin"], WINDOWS[durations]["depth"][0], measured=False, clock=clock)
 
 
 def sequences(
     df: DataFrame, durations: str = "intended", size: int | None = None,
-    min_magnitude: float = 4.0, min_count: int = 3,
+    min_magnitude: float = 4.0, min_count: int = 3, clock: str = "event_time",
 ) -> DataFrame:
     """Groups of events in one region and grid cell within a window.
 
@@ -205,7 +208,7 @@ def sequences(
     ).withColumns({
         "lat_grid": bins.grid_cell(F.col("latitude")), "lon_grid": bins.grid_cell(F.col("longitude")),
     })
-    window = F.window("event_time", _seconds(size or WINDOWS[durations]["sequence"][0]))
+    window = F.window(clock, _seconds(size or WINDOWS[durations]["sequence"][0]))
     grouped = (
         cells.groupBy(window, *keys).agg(*_aggregates(True))
         .where(F.col("eq_count") >= min_count)

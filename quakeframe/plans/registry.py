@@ -168,13 +168,17 @@ register("json_to_string_map", o.sql(
         "entries['id'] AS id", "entries['magType'] AS mag_type", "entries['latitude'] AS latitude",
         "entries['place'] AS place")))
 
+
+def _rejected(parsed: DataFrame) -> DataFrame:
+    return clean.dead_letters(parsed, clean.live_reject_reason(parsed))
+
+
 _LIVE_REASON = f"""CASE WHEN NOT ({_WHOLE}) THEN 'no id' WHEN {_CUT_MAG} = 0 THEN 'no magnitude'
   WHEN depth IS NULL THEN 'no time' END"""
 register("dead_letter_rows", o.sql(
     f"SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT {_LIVE_REASON} AS reason FROM quakes) "
     "WHERE reason IS NOT NULL GROUP BY 1"))(
-    over(messages, lambda df: clean.dead_letters(clean.parse_live(df), clean.live_reject_reason())
-         .groupBy("reason").agg(F.count(F.lit(1)).alias("n"))))
+    over(messages, lambda df: _rejected(clean.parse_live(df)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))))
 
 register("live_required_fields", o.sql(
     f"""SELECT id, event_time, mag FROM quakes

@@ -8,11 +8,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# The estimated size of a join side says little after an aggregation or an explode, so plans never
+# broadcast by estimate; adaptive execution does it once it has measured the side.
+QUERY_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+SETTINGS = {
+    **QUERY_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -40,9 +50,10 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> Spa
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Calendar parts and windows are defined in UTC, whoever made the session."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """What the queries rely on, whoever made the session: UTC and broadcasts by measured size."""
+    for key, value in QUERY_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

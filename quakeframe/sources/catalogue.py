@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -40,12 +40,18 @@ def time_range(
     return stop - timedelta(seconds=int(delta_seconds)), stop
 
 
-def as_of_column(df: DataFrame, time: str = "event_time"):
+def has_date(df: DataFrame) -> bool:
+    return ("date", "date") in df.dtypes
+
+
+def as_of_column(df: DataFrame, time: str = "event_time") -> Column:
     """The latest time in a table, as a scalar subquery.
 
-    It reads one column, aggregates map-side and is a literal for the scan that uses it.
+    It aggregates map-side and is a literal for the scan that uses it. A table kept by date is
+    read only in its last folder.
     """
-    return df.agg(F.max(time)).scalar()
+    last = df.where(F.col("date") == df.agg(F.max("date")).scalar()) if has_date(df) else df
+    return last.agg(F.max(time)).scalar()
 
 
 def _instant(value):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.sources.catalogue import _instant
+from quakeframe.sources.catalogue import _instant, has_date
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
@@ -33,7 +33,7 @@ def write_by_date(df: DataFrame, path: str, time: str = "time", mode: str = "ove
 def range_filter(df: DataFrame, start=None, stop=None, time: str = "time") -> DataFrame:
     """Half open: start included, stop not. Prunes the ``date`` folders where there are any."""
     out = df
-    dated = "date" in df.columns and dict(df.dtypes)["date"] == "date"
+    dated = has_date(df)
     if start is not None:
         out = out.where(F.col(time) >= _instant(start))
         if dated:

@@ -67,8 +67,21 @@ def silver(
 
 def rejected(messages: DataFrame) -> DataFrame:
     """Messages that cannot be used, with the reason and their text."""
-    reason = clean.live_reject_reason()
-    return clean.dead_letters(clean.parse_live(messages), reason).select("value", "reason", "timestamp")
+    parsed = clean.parse_live(messages)
+    return clean.dead_letters(parsed, clean.live_reject_reason(parsed)).select("value", "reason", "timestamp")
+
+
+def on_arrival(df: DataFrame) -> DataFrame:
+    """Adds the time of processing as ``arrival``, to be given as the ``clock`` of a statistic."""
+    return df.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds")
+
+
+def observed(df: DataFrame, name: str = "points") -> DataFrame:
+    """Counts rows and notes the latest event of each micro-batch.
+
+    The values appear in the progress of the query under ``observedMetrics``; nothing is run twice.
+    """
+    return df.observe(name, F.count(F.lit(1)).alias("processed"), F.max("event_time").alias("last_update"))
 
 
 def read_silver(spark: SparkSession, path: str, delay: str = WATERMARK, files_per_trigger: int = 1000) -> DataFrame:

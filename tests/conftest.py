@@ -16,8 +16,6 @@ def spark(tmp_path_factory):
     session = local_session(4, "4g", **{
         "spark.sql.maxMetadataStringLength": "2000",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     })
     yield session
     session.stop()

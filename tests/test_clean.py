@@ -20,12 +20,13 @@ def messages(spark, *bodies):
 
 def test_live_messages(spark):
     bad = ["not json", {**GOOD, "id": ""}, {k: v for k, v in GOOD.items() if k != "id"},
-           {**GOOD, "mag": None}, {**GOOD, "mag": 0}, {**GOOD, "mag": "x"}, {**GOOD, "time": "2024-01-01T00:00:00Z"}]
+           {**GOOD, "mag": None}, {**GOOD, "mag": 0}, {**GOOD, "mag": "x"}, {**GOOD, "time": "2024-01-01T00:00:00Z"},
+           {**GOOD, "depth": "deep"}]
     df = clean.parse_live(messages(spark, GOOD, {**GOOD, "id": "b", "mag": "5.5"}, *bad))
     kept = clean.live_required(df).orderBy("id").collect()
     assert [(r.id, r.mag, r.latitude) for r in kept] == [("a", 4.5, 1.0), ("b", 5.5, 1.0)]
-    reasons = [r.reason for r in clean.dead_letters(df, clean.live_reject_reason()).collect()]
-    assert sorted(reasons) == ["no id"] * 3 + ["no magnitude"] * 3 + ["no time"]
+    reasons = [r.reason for r in clean.dead_letters(df, clean.live_reject_reason(df)).collect()]
+    assert sorted(reasons) == ["bad depth"] + ["no id"] * 3 + ["no magnitude"] * 3 + ["no time"]
 
 
 def test_message_map_keeps_unknown_keys(spark):
@@ -66,3 +67,10 @@ def test_modes_differ(quake_rows):
 def test_events_without_position_are_dead_letters_of_points(quake_rows):
     df = quake_rows([("a", 0, 4.2)], latitude=F.lit(None).cast("double"))
     assert clean.dead_letters(df, clean.point_reject_reason()).first().reason == "no latitude"
+
+
+def test_one_id_with_a_third_of_all_rows(spark, quake_rows):
+    df = quake_rows([(f"e{i}", i, 4.0) for i in range(200)] + [("hot", i, 5.0) for i in range(100)])
+    unique = clean.dedupe_latest(df.repartition(8))
+    assert unique.count() == 201
+    assert unique.where("id = 'hot'").first().event_time.timestamp() == 99

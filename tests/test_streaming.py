@@ -130,3 +130,32 @@ def test_live_functions_take_streams(spark, tmp_path):
     for name in pipeline.STATISTICS:
         assert pipeline.POINTS[name](pipeline.statistic(stream, name, "demo")).isStreaming
     assert clean.enrich(stream, "live").isStreaming and statistics.significant(stream).isStreaming
+
+
+def test_windows_of_arrival(spark, tmp_path):
+    """By the clock of arrival old events fall into the window of now, whatever their own time."""
+    df = live(spark, SF).withColumn("arrival", F.lit(datetime(2030, 1, 1, 0, 30)).cast("timestamp"))
+    row = statistics.hourly_global(df, clock="arrival").first()
+    assert row.window_start == datetime(2030, 1, 1) and row.eq_count == df.count()
+    assert row.max_event_time < datetime(2024, 2, 1)
+    stream = spark.readStream.schema(live(spark, SF).schema).parquet(str(tmp_path))
+    arrived = pipeline.on_arrival(stream)
+    assert all(pipeline.statistic(arrived, name, "demo", clock="arrival").isStreaming for name in pipeline.STATISTICS)
+
+
+def test_progress_tells_what_was_processed(spark, tmp_path):
+    live(spark, SF).write.parquet(f"{tmp_path}/silver")
+    table = pipeline.read_silver(spark, f"{tmp_path}/silver")
+    query = pipeline.write_files(pipeline.observed(table), f"{tmp_path}/out", f"{tmp_path}/cp", once=True)
+    query.awaitTermination()
+    seen = [p.observedMetrics["points"] for p in query.recentProgress if "points" in p.observedMetrics]
+    assert sum(r.processed for r in seen) == live(spark, SF).count()
+
+
+def test_kafka_reader_needs_its_connector(spark):
+    from pyspark.errors import AnalysisException
+
+    from quakeframe.sources.live import read_kafka
+
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_kafka(spark, "localhost:9092", "events")
