@@ -44,7 +44,7 @@ def main() -> None:
     timed = {
         "write_silver": write_silver,
         "write_live": write_live,
-        "catalog_pipeline_monthly": lambda: consume(QUERIES["catalog_pipeline_monthly"](spark, SF_DIR)),
+        "catalog_job_monthly": lambda: consume(QUERIES["catalog_job_monthly"](spark, SF_DIR)),
         "monthly_region_stats": lambda: consume(statistics.monthly_region_stats(silver())),
         "weekly_region_stats": lambda: consume(statistics.weekly_region_stats(silver())),
         "daily_global_stats": lambda: consume(statistics.daily_global_stats(silver())),

@@ -83,7 +83,7 @@ def firing(timeline: DataFrame, rule: Rule, keys: Sequence[str] = ("region",), h
 
 
 def data_gaps(df: DataFrame, limit_seconds: int = 300, time: str = "time") -> DataFrame:
-    """Silences of the pipeline: pending once over the limit, firing after the hold time."""
+    """Silences of the data: pending once over the limit, firing after the hold time."""
     rule = RULES["SeismicDataPipelineDown"]
     start, gap = F.col("gap_start"), F.col("gap_seconds")
     fires = gap >= limit_seconds + rule.hold_seconds

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from quakeframe.operators.clean import enrich, live_required, quality_filter
 from quakeframe.session import prepare
 
-_EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return prepare(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def to_quakes(events: DataFrame, duplicates: bool = False) -> DataFrame:

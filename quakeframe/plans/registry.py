@@ -274,17 +274,17 @@ register("dedupe_first", o.sql(_DEDUPED.format(order="event_time"), "duplicated"
     over(duplicated, lambda df: clean.dedupe_first(df).select(*_DEDUPE_COLUMNS)))
 
 
-def catalogue_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def catalogue_job(spark: SparkSession, sf: str) -> DataFrame:
     """Filter, deduplicate, enrich and aggregate: the batch job from raw rows to one statistic."""
     unique = clean.dedupe_latest(clean.quality_filter(duplicated(spark, sf)))
     return statistics.monthly_region_stats(clean.enrich(unique, "catalog"))
 
 
-register("catalog_pipeline_monthly", o.sql(
+register("catalog_job_monthly", o.sql(
     f"SELECT year, month, region, {o.mags(3)} FROM kept GROUP BY ALL", "duplicated",
     kept=f"""SELECT *, {o.CALENDAR}, {o.REGION_CAT} AS region, CAST(mag * 1e8 AS BIGINT) AS units FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated DESC, event_time) AS rn
-      FROM duplicated WHERE mag >= 4.0) WHERE rn = 1"""))(catalogue_pipeline)
+      FROM duplicated WHERE mag >= 4.0) WHERE rn = 1"""))(catalogue_job)
 
 # --- batch statistics -------------------------------------------------------------------------
 
@@ -582,7 +582,7 @@ register("significant_events_total", o.sql(
 register("regional_activity_level", o.sql(
     f"SELECT region, CAST(count(*) AS BIGINT) AS level FROM {o.since('stream_points', '1 hour')} GROUP BY 1",
     "stream_points"))(over(stream_points, metrics.activity_level))
-register("pipeline_freshness", o.sql(
+register("source_freshness", o.sql(
     f"""SELECT source, max(time) AS last_update,
       (epoch_us({o.as_of('quakes', 'event_time')}) - epoch_us(max(time))) / 1e6 AS age_seconds
     FROM all_points GROUP BY 1""", "all_points"))(

@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quakeframe.operators.clean import enrich, live_required
-from quakeframe.plans.events import _EVENTS, to_quakes
+from quakeframe.plans.events import EVENTS, to_quakes
 from quakeframe.session import prepare, work_dir
-from quakeframe.streaming import pipeline
+from quakeframe.streaming import live
 
 
 def event_stream(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
-    files = prepare(spark).readStream.schema(_EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    files = prepare(spark).readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return live_required(to_quakes(files, duplicates))
 
 
 def run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Runs a stream until its input is used up and reads what it wrote."""
     root = work_dir(spark, name)
-    pipeline.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
 def statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The windows of a live statistic that the watermark has closed."""
-    rows = event_stream(spark, sf_dir).withWatermark("event_time", pipeline.WATERMARK)
-    return run(spark, pipeline.statistic(enrich(rows, "live"), name), name)
+    rows = event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK)
+    return run(spark, live.statistic(enrich(rows, "live"), name), name)
 
 
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enrich(pipeline.unique(event_stream(spark, sf_dir, duplicates=True)), "live")
+    rows = enrich(live.unique(event_stream(spark, sf_dir, duplicates=True)), "live")
     return run(spark, rows.select("id", "mag", "region"), "dedupe")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from quakeframe.operators import alerts, clean, points, statistics
 from quakeframe.plans.events import live, quakes
 from quakeframe.sources.live import read_text_stream
-from quakeframe.streaming import hold, pipeline
+from quakeframe.streaming import hold
+from quakeframe.streaming import live as wiring
 
 SF = "/root/testdata/sf0.001"
 FLUSH = {"id": "flush", "time": "2034-01-01T00:00:00.000000Z", "mag": 4.0, "place": "__flush__", "latitude": 1, "longitude": 1}
@@ -43,16 +44,16 @@ def test_live_job_equals_batch(spark, lines, tmp_path):
     write_files(tmp_path / "in", [lines[: n // 3] + ["broken"], lines[n // 3: 2 * n // 3], lines[2 * n // 3:], [json.dumps(FLUSH)]])
     root = str(tmp_path / "out")
     messages = read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
-    pipeline.run_live(spark, messages, root, str(tmp_path / "checkpoints"), once=True)
+    wiring.run_live(spark, messages, root, str(tmp_path / "checkpoints"), once=True)
 
     silver = spark.read.parquet(f"{root}/silver").where("region <> '__flush__'")
     assert rows(silver.select("id", "mag", "region")) == rows(live(spark, SF).select("id", "mag", "region"))
     assert [r.reason for r in spark.read.parquet(f"{root}/dead_letters").where("value = 'broken'").collect()] == ["no id"]
 
     expected = live(spark, SF)
-    for name, compute in pipeline.STATISTICS.items():
+    for name, compute in wiring.STATISTICS.items():
         got = spark.read.parquet(f"{root}/{name}").where("coalesce(eq_count, 0) > 0 and time < '2034-01-01'")
-        assert rows(got) == rows(pipeline.POINTS[name](compute(expected))), name
+        assert rows(got) == rows(wiring.POINTS[name](compute(expected))), name
 
     log = spark.read.parquet(f"{root}/earthquake_events").where("time < '2034-01-01'")
     merged = points.upsert(log, ["event_id", "source"], ["magnitude"], order="batch_id")
@@ -62,7 +63,7 @@ def test_live_job_equals_batch(spark, lines, tmp_path):
 def test_restart_goes_on_where_it_stopped(spark, lines, tmp_path):
     def run():
         messages = read_text_stream(spark, str(tmp_path / "in"))
-        query = pipeline.write_files(pipeline.silver(messages, delay="1 hour"), f"{tmp_path}/silver", f"{tmp_path}/cp", "date", once=True)
+        query = wiring.write_files(wiring.silver(messages, delay="1 hour"), f"{tmp_path}/silver", f"{tmp_path}/cp", "date", once=True)
         query.awaitTermination()
         return spark.read.parquet(f"{tmp_path}/silver").count()
 
@@ -76,8 +77,8 @@ def test_both_forms_of_deduplication(spark, lines, tmp_path):
     write_files(tmp_path / "in", [lines[:500], lines[500:]])
     for forever in (False, True):
         messages = read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
-        df = pipeline.silver(messages, forever=forever)
-        pipeline.write_files(df, f"{tmp_path}/{forever}", f"{tmp_path}/cp{forever}", once=True).awaitTermination()
+        df = wiring.silver(messages, forever=forever)
+        wiring.write_files(df, f"{tmp_path}/{forever}", f"{tmp_path}/cp{forever}", once=True).awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/{forever}").count() == live(spark, SF).count()
 
 
@@ -86,14 +87,14 @@ def test_write_log_replaces_a_batch_that_runs_again(spark, tmp_path):
     spark.range(10).write.parquet(source)
     for attempt in range(2):  # a new checkpoint makes batch 0 run again
         stream = spark.readStream.schema("id bigint").parquet(source)
-        pipeline.write_log(stream, f"{tmp_path}/log", f"{tmp_path}/cp{attempt}", once=True).awaitTermination()
+        wiring.write_log(stream, f"{tmp_path}/log", f"{tmp_path}/cp{attempt}", once=True).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/log").count() == 10
 
 
 def test_arrival_stands_in_for_a_missing_time(spark):
     now = datetime(2024, 1, 1)
     df = spark.createDataFrame([(None, now), (now - timedelta(1), now)], "event_time timestamp, timestamp timestamp")
-    assert [r.event_time for r in pipeline.event_or_arrival(df).collect()] == [now, now - timedelta(1)]
+    assert [r.event_time for r in wiring.event_or_arrival(df).collect()] == [now, now - timedelta(1)]
 
 
 def test_hold_time_on_a_stream_equals_batch(spark, tmp_path):
@@ -109,7 +110,7 @@ def test_hold_time_on_a_stream_equals_batch(spark, tmp_path):
             os.utime(f, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     changes = hold.hold_stream(stream, ["region"], 30)
-    pipeline.write_files(changes, f"{tmp_path}/out", f"{tmp_path}/cp", once=True).awaitTermination()
+    wiring.write_files(changes, f"{tmp_path}/out", f"{tmp_path}/cp", once=True).awaitTermination()
     got = sorted((r.region, r.state, (r.at - t0).total_seconds()) for r in spark.read.parquet(f"{tmp_path}/out").where("region <> 'flush'").collect())
 
     spells = spark.createDataFrame(
@@ -127,8 +128,8 @@ def test_hold_time_on_a_stream_equals_batch(spark, tmp_path):
 def test_live_functions_take_streams(spark, tmp_path):
     """Nothing in the windowed statistics needs a batch."""
     stream = spark.readStream.schema(live(spark, SF).schema).parquet(str(tmp_path)).withWatermark("event_time", "30 seconds")
-    for name in pipeline.STATISTICS:
-        assert pipeline.POINTS[name](pipeline.statistic(stream, name, "demo")).isStreaming
+    for name in wiring.STATISTICS:
+        assert wiring.POINTS[name](wiring.statistic(stream, name, "demo")).isStreaming
     assert clean.enrich(stream, "live").isStreaming and statistics.significant(stream).isStreaming
 
 
@@ -139,14 +140,14 @@ def test_windows_of_arrival(spark, tmp_path):
     assert row.window_start == datetime(2030, 1, 1) and row.eq_count == df.count()
     assert row.max_event_time < datetime(2024, 2, 1)
     stream = spark.readStream.schema(live(spark, SF).schema).parquet(str(tmp_path))
-    arrived = pipeline.on_arrival(stream)
-    assert all(pipeline.statistic(arrived, name, "demo", clock="arrival").isStreaming for name in pipeline.STATISTICS)
+    arrived = wiring.on_arrival(stream)
+    assert all(wiring.statistic(arrived, name, "demo", clock="arrival").isStreaming for name in wiring.STATISTICS)
 
 
 def test_progress_tells_what_was_processed(spark, tmp_path):
     live(spark, SF).write.parquet(f"{tmp_path}/silver")
-    table = pipeline.read_silver(spark, f"{tmp_path}/silver")
-    query = pipeline.write_files(pipeline.observed(table), f"{tmp_path}/out", f"{tmp_path}/cp", once=True)
+    table = wiring.read_silver(spark, f"{tmp_path}/silver")
+    query = wiring.write_files(wiring.observed(table), f"{tmp_path}/out", f"{tmp_path}/cp", once=True)
     query.awaitTermination()
     seen = [p.observedMetrics["points"] for p in query.recentProgress if "points" in p.observedMetrics]
     assert sum(r.processed for r in seen) == live(spark, SF).count()
