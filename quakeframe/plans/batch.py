@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakeframe.operators import clean, points, statistics
+from quakeframe.session import work_dir
 from quakeframe.sources import tables
 from quakeframe.sources.catalogue import MIN_MAGNITUDE, range_scan, read_csv
 
@@ -29,26 +32,74 @@ POINTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
-def build_silver(raw: DataFrame, path: str, start=None, end=None, min_magnitude: float = MIN_MAGNITUDE) -> None:
-    """Raw catalogue rows to the silver table, one folder per day."""
+def _existing(like: DataFrame, path: str) -> DataFrame | None:
+    """A table with the schema of another, which an empty folder does not tell."""
+    try:
+        return like.sparkSession.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def merge_silver(new: DataFrame, path: str) -> None:
+    """Adds events to a silver table by day; of several records of an event the last update stays.
+
+    Only the days between the first and the last new event are read and rewritten. They are
+    written to a folder of their own first: a table cannot safely be overwritten by what reads it.
+    """
+    old = _existing(new, path)
+    if old is None:
+        tables.write_by_date(new, path)
+        return
+    staged = work_dir(new.sparkSession, "merge")
+    tables.write_by_date(new, f"{staged}/new")
+    added = _existing(new, f"{staged}/new")
+    days = added.agg(F.min("date").alias("low"), F.max("date").alias("high"))
+    touched = old.where(F.col("date").between(days.select("low").scalar(), days.select("high").scalar()))
+    tables.write_by_date(clean.dedupe_latest(touched.unionByName(added)), f"{staged}/merged")
+    tables.write_by_date(_existing(new, f"{staged}/merged"), path)
+
+
+def build_silver(
+    raw: DataFrame, path: str, start=None, end=None, min_magnitude: float = MIN_MAGNITUDE,
+) -> DataFrame:
+    """Raw catalogue rows, of a time range or all, into the silver table, which is returned."""
     typed = clean.type_catalogue(raw)
     wanted = (
         clean.quality_filter(typed, min_magnitude) if start is None
         else range_scan(typed, start, end, min_magnitude, ordered=False)
     )
-    tables.write_by_date(clean.enrich(clean.dedupe_latest(wanted), "catalog").drop("time"), path, "event_time")
+    rows = clean.enrich(clean.dedupe_latest(wanted.drop("time")), "catalog")
+    merge_silver(rows, path)
+    return _existing(rows, path)
+
+
+def periods(start, end) -> tuple[date, date]:
+    """First and last day of all months and weeks that a time range touches."""
+    first, last = (datetime.fromisoformat(t).date() if isinstance(t, str) else t.date() for t in (start, end))
+    next_month = (last.replace(day=1) + timedelta(days=32)).replace(day=1)
+    return (
+        min(first.replace(day=1), first - timedelta(days=first.weekday())),
+        max(next_month - timedelta(days=1), last + timedelta(days=6 - last.weekday())),
+    )
 
 
 def run_batch(
     spark: SparkSession, csv_path: str, root: str, start=None, end=None,
     min_magnitude: float = MIN_MAGNITUDE, preview: int = 0,
 ) -> dict[str, DataFrame]:
-    """Silver table, dead letters, raw points, statistics as CSV and as points under ``root``."""
+    """Silver table, dead letters, raw points, statistics as CSV and as points under ``root``.
+
+    A run over a time range adds to the silver table and computes the months and weeks it touches
+    anew, from all events of theirs. Points of other periods stay as they are.
+    """
     raw = read_csv(spark, csv_path)
-    build_silver(raw, f"{root}/silver", start, end, min_magnitude)
-    silver = spark.read.parquet(f"{root}/silver")
+    silver = build_silver(raw, f"{root}/silver", start, end, min_magnitude)
+    if start is not None:
+        silver = silver.where(F.col("date").between(*[F.lit(day) for day in periods(start, end)]))
     letters = clean.dead_letters(silver, clean.point_reject_reason())
-    letters.write.mode("overwrite").parquet(f"{root}/dead_letters")
+    tables.write_by_date(letters, f"{root}/dead_letters")
     tables.write_by_date(points.event_points(silver), f"{root}/points/earthquake_events")
     out = {}
     for name, compute in STATISTICS.items():
@@ -60,10 +111,10 @@ def run_batch(
         measurement, shape = POINTS[name]
         # Weeks are dated by their ISO year, which the published statistic does not carry.
         dated = statistics.weekly_region_stats(silver, by_iso_year=True) if name == "weekly_region" else out[name]
-        shape(dated).write.mode("overwrite").parquet(f"{root}/points/{measurement}")
+        tables.write_by_date(shape(dated), f"{root}/points/{measurement}")
     if preview:
         for stats in out.values():
-            stats.limit(preview).show(truncate=False)
+            peek(stats, preview).show(truncate=False)
     return out
 
 

@@ -96,3 +96,26 @@ def test_batch_job_over_a_range(spark, csv, tmp_path):
     batch.build_silver(catalogue.read_csv(spark, csv), str(tmp_path / "s"), "2024-01-05", "2024-01-10", 5.0)
     low, high, mag = spark.read.parquet(str(tmp_path / "s")).selectExpr("min(event_time)", "max(event_time)", "min(mag)").first()
     assert datetime(2024, 1, 5) <= low and high <= datetime(2024, 1, 10) and mag >= 5.0
+
+
+def test_runs_over_ranges_add_up(spark, csv, tmp_path):
+    """Several short runs, one of them twice, leave what one run over all leaves."""
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    batch.run_batch(spark, csv, whole)
+    edges = ["2024-01-01T00:00:00", "2024-01-09T11:00:00", "2024-01-09T12:00:00", "2024-02-01T00:00:00"]
+    for start, end in [*zip(edges, edges[1:]), (edges[1], edges[2])]:
+        batch.run_batch(spark, csv, parts, start, end)
+    for table in ("silver", "dead_letters", "points/earthquake_events", "points/daily_global_stats",
+                  "points/weekly_regional_stats", "points/monthly_magnitude_stats", "points/monthly_regional_stats"):
+        a, b = (spark.read.parquet(f"{root}/{table}") for root in (whole, parts))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect())), table
+    # A run without events changes nothing.
+    batch.run_batch(spark, csv, parts, "2030-01-01", "2030-01-02")
+    assert spark.read.parquet(f"{parts}/silver").count() == spark.read.parquet(f"{whole}/silver").count()
+
+
+def test_periods():
+    from datetime import date
+
+    assert batch.periods("2024-05-01", "2024-05-01") == (date(2024, 4, 29), date(2024, 5, 31))
+    assert batch.periods("2024-12-10", "2024-12-31") == (date(2024, 12, 1), date(2025, 1, 5))
