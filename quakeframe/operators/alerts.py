@@ -170,7 +170,8 @@ def repeat_suppression(ticks: DataFrame, keys: Sequence[str], repeat_seconds: Co
 def flatten_payloads(payloads: DataFrame, text: str = "payload", received: str = "received_at") -> DataFrame:
     """One row per alert of a payload, with defaults for what is missing."""
     body = F.from_json(F.col(text), ALERT_PAYLOAD)
-    alert = payloads.select(received, F.explode(body["alerts"]).alias("a"))
+    # The outer form has no filter inferred for it, which would parse the payload a second time.
+    alert = payloads.select(received, F.explode_outer(body["alerts"]).alias("a")).where(F.col("a").isNotNull())
     label = lambda name, default: F.coalesce(F.col("a.labels")[name], F.lit(default)).alias(name)
     note = lambda name: F.coalesce(F.col("a.annotations")[name], F.lit("N/A")).alias(name)
     return alert.select(

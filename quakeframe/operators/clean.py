@@ -33,23 +33,26 @@ def type_catalogue(raw: DataFrame) -> DataFrame:
 
 
 def parse_live(messages: DataFrame) -> DataFrame:
-    """JSON messages to typed columns. Bad messages keep their text in ``_corrupt``."""
+    """JSON messages to typed columns. Bad messages keep their text in ``_corrupt``.
+
+    The fields come out of a generator, below which no filter moves: a filter on a plain projection
+    would parse the message once more for each of its tests.
+    """
     event = F.from_json("value", LIVE_EVENT, {"columnNameOfCorruptRecord": CORRUPT})
-    out = messages.withColumn("event", event)
-    field = lambda name: F.col(f"event.{name}")
-    event_time = times.parse_live_time(field("time"))
-    return out.select(
-        field("id").alias("id"),
+    rest = [c for c in messages.columns if c != "value"]
+    fields = messages.select(
+        F.col("value").alias("_value"), *[F.col(c).alias(f"_{c}") for c in rest], F.inline(F.array(event)))
+    event_time = times.parse_live_time(F.col("time"))
+    depth = F.col("depth")
+    return fields.select(
+        "id",
         event_time.alias("event_time"),
-        F.coalesce(times.parse_live_time(field("updated")), event_time).alias("updated"),
-        *[bins.finite(field(name)).alias(name) for name in _NUMBERS],
-        field("magType").alias("magType"),
-        field("place").alias("place"),
-        field("type").alias("type"),
-        field(CORRUPT).alias(CORRUPT),
-        F.when((field("depth") != "") & bins.finite(field("depth")).isNull(), "bad depth").alias(PROBLEM),
-        "value",
-        *[c for c in messages.columns if c != "value"],
+        F.coalesce(times.parse_live_time(F.col("updated")), event_time).alias("updated"),
+        *[bins.finite(F.col(name)).alias(name) for name in _NUMBERS],
+        "magType", "place", "type", CORRUPT,
+        F.when((depth != "") & bins.finite(depth).isNull(), "bad depth").alias(PROBLEM),
+        F.col("_value").alias("value"),
+        *[F.col(f"_{c}").alias(c) for c in rest],
     )
 
 
