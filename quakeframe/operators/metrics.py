@@ -169,10 +169,12 @@ def strongest_timeline(
         .agg(strongest("depth_bin").alias("best"))
     )
     step = step_seconds * 1_000_000
-    seen = per_step.select(
-        "region", "best", F.explode(F.sequence(F.col("first"), F.col("gone") - step, F.lit(step))).alias("at")
-    )
-    return seen.groupBy("region", "at").agg(F.max("best").alias("best")).select(
-        "region", "best.depth_bin", F.timestamp_micros("at").alias("start"),
-        F.timestamp_micros(F.col("at") + step).alias("end"), F.col("best.magnitude").alias("value"),
+    instants = F.explode(F.sequence(F.col("first"), F.col("gone") - step, F.lit(step))).alias("at")
+    # One shuffle by region and day serves the choice of the strongest and the joining of spells.
+    seen = per_step.select("region", "best", instants).withColumn("day", F.floor(F.col("at") / 86_400_000_000))
+    return (
+        seen.repartition("region", "day").groupBy("region", "day", "at").agg(F.max("best").alias("best")).select(
+            "region", "best.depth_bin", "day", F.timestamp_micros("at").alias("start"),
+            F.timestamp_micros(F.col("at") + step).alias("end"), F.col("best.magnitude").alias("value"),
+        )
     )

@@ -50,15 +50,15 @@ def merge_silver(new: DataFrame, path: str) -> None:
     """
     old = _existing(new, path)
     if old is None:
-        tables.write_by_date(new, path)
+        tables.write_by_date(new, path, "event_time")
         return
     staged = work_dir(new.sparkSession, "merge")
-    tables.write_by_date(new, f"{staged}/new")
+    tables.write_by_date(new, f"{staged}/new", "event_time")
     added = _existing(new, f"{staged}/new")
     days = added.agg(F.min("date").alias("low"), F.max("date").alias("high"))
     touched = old.where(F.col("date").between(days.select("low").scalar(), days.select("high").scalar()))
-    tables.write_by_date(clean.dedupe_latest(touched.unionByName(added)), f"{staged}/merged")
-    tables.write_by_date(_existing(new, f"{staged}/merged"), path)
+    tables.write_by_date(clean.dedupe_latest(touched.unionByName(added)), f"{staged}/merged", "event_time")
+    tables.write_by_date(_existing(new, f"{staged}/merged"), path, "event_time")
 
 
 def build_silver(
@@ -99,7 +99,7 @@ def run_batch(
     if start is not None:
         silver = silver.where(F.col("date").between(*[F.lit(day) for day in periods(start, end)]))
     letters = clean.dead_letters(silver, clean.point_reject_reason())
-    tables.write_by_date(letters, f"{root}/dead_letters")
+    tables.write_by_date(letters, f"{root}/dead_letters", "event_time")
     tables.write_by_date(points.event_points(silver), f"{root}/points/earthquake_events")
     out = {}
     for name, compute in STATISTICS.items():

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeframe.operators import clean, points, statistics
-from quakeframe.schema import QUAKES
+from quakeframe.schema import MEASUREMENTS, QUAKES
 from quakeframe.session import work_dir
 from quakeframe.sources.catalogue import MIN_MAGNITUDE
+from quakeframe.sources.tables import write_by_date
 
 WATERMARK = "30 seconds"
 
@@ -62,7 +63,7 @@ def silver(
 ) -> DataFrame:
     usable = clean.live_required(clean.parse_live(messages), min_magnitude)
     rows = clean.enrich(unique(usable, delay, forever), "live")
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUAKES.fields])
+    return rows.select(*QUAKES.names)  # as they are: a cast would take the watermark off the time
 
 
 def rejected(messages: DataFrame) -> DataFrame:
@@ -118,6 +119,18 @@ def write_log(df: DataFrame, path: str, checkpoint: str, once: bool = False, int
     return writer.start()
 
 
+def read_log(spark: SparkSession, path: str, measurement: str = "earthquake_events", keys: tuple[str, ...] = ("event_id", "source")) -> DataFrame:
+    """The state of each point after all batches of a log; later batches win field by field."""
+    m = MEASUREMENTS[measurement]
+    values = [c for c in ("time", *m.tags, *m.fields) if c not in keys]
+    return points.upsert(spark.read.parquet(path), list(keys), values, order="batch_id").drop("batch_id")
+
+
+def compact_log(spark: SparkSession, path: str, target: str) -> None:
+    """Writes the state of a log as a table by day, in place of many small files."""
+    write_by_date(read_log(spark, path), target)
+
+
 def run_live(
     spark: SparkSession, messages: DataFrame, root: str, checkpoints: str | None = None,
     durations: str = "intended", min_magnitude: float = MIN_MAGNITUDE, once: bool = False,

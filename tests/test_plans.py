@@ -6,8 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from quakeframe.operators import clean, statistics
+from quakeframe.operators import alerts, clean, metrics, points, statistics
 from quakeframe.plans import events, registry
+from quakeframe.sources import tables
 
 SF = "/root/testdata/sf0.001"
 STREAMED = [n for n in registry.QUERIES if n.startswith("stream_replay")]
@@ -70,3 +71,21 @@ def test_skewed_region_keeps_its_result(spark):
     hot = df.withColumn("region", F.when(F.pmod(F.hash("id"), F.lit(3)) == 0, "hot").otherwise(F.col("region")))
     total = hot.where("region = 'hot'").count()
     assert sum(r.eq_count for r in statistics.monthly_region_stats(hot).where("region = 'hot'").collect()) == total
+
+
+def test_relative_ranges_prune_days(spark, tmp_path):
+    stored = str(tmp_path / "points")
+    tables.write_by_date(points.event_points(events.live(spark, SF)), stored)
+    text = plan(metrics.recent_count(spark.read.parquet(stored)))
+    for filters in re.findall(r"PartitionFilters: \[([^\]]*)", text):
+        assert "date" in filters or filters == ""
+    assert "PartitionFilters: [isnotnull(date" in text and "Subquery" in text
+    assert metrics.recent_count(spark.read.parquet(stored)).collect() == metrics.recent_count(
+        points.event_points(events.live(spark, SF))).collect()
+
+
+def test_timelines_shuffle_three_times(spark, silver):
+    stored = points.event_points(silver)
+    rule = alerts.RULES["EarthquakeSwarmDetected"]
+    for timeline in (metrics.count_timeline(stored), metrics.strongest_timeline(stored, 6.0)):
+        assert plan(alerts.firing(timeline, rule)).count("Exchange") == 3

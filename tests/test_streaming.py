@@ -55,9 +55,9 @@ def test_live_job_equals_batch(spark, lines, tmp_path):
         got = spark.read.parquet(f"{root}/{name}").where("coalesce(eq_count, 0) > 0 and time < '2034-01-01'")
         assert rows(got) == rows(wiring.POINTS[name](compute(expected))), name
 
-    log = spark.read.parquet(f"{root}/earthquake_events").where("time < '2034-01-01'")
-    merged = points.upsert(log, ["event_id", "source"], ["magnitude"], order="batch_id")
-    assert merged.count() == points.event_points(expected).count()
+    wiring.compact_log(spark, f"{root}/earthquake_events", f"{root}/compacted")
+    merged, whole = spark.read.parquet(f"{root}/compacted").where("time < '2034-01-01'"), points.event_points(expected)
+    assert rows(merged.select(*whole.columns)) == rows(whole)
 
 
 def test_restart_goes_on_where_it_stopped(spark, lines, tmp_path):
@@ -160,3 +160,20 @@ def test_kafka_reader_needs_its_connector(spark):
 
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         read_kafka(spark, "localhost:9092", "events")
+
+
+def test_late_events_are_dropped(spark, tmp_path):
+    def event(i, time):
+        return json.dumps({**FLUSH, "id": i, "time": time, "place": "x, Chile"})
+
+    write_files(tmp_path / "in", [
+        [event("a", "2024-01-01T00:10:00.0Z"), event("b", "2024-01-01T02:00:00.0Z")],
+        [event("c", "2024-01-01T01:59:45.0Z")],  # late, but within 30 s
+        [event("late", "2024-01-01T00:20:00.0Z")],
+        [event("d", "2024-01-01T09:00:00.0Z")],
+    ])
+    silver = wiring.silver(read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1))
+    stats = wiring.statistic(silver, "hourly_global_stats")
+    wiring.write_files(stats, f"{tmp_path}/out", f"{tmp_path}/cp", once=True).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").orderBy("window_start").collect()
+    assert [(r.window_start.hour, r.eq_count) for r in got] == [(0, 1), (1, 1), (2, 1)]
