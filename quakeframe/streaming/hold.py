@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from quakeframe.operators.statistics import sliding
+
 _RUN = StructType([
     StructField("start", LongType()), StructField("last", LongType()), StructField("fired", BooleanType()),
 ])
@@ -67,6 +69,14 @@ class _Hold(StatefulProcessor):
         pass
 
 
+def _changes(rows: DataFrame, keys: Sequence[str], hold_seconds: int, step_seconds: int) -> DataFrame:
+    schema = ", ".join([*[f"{k} string" for k in keys], "state string", "at timestamp"])
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Hold(keys, hold_seconds * 1000, step_seconds * 1000),
+        outputStructType=schema, outputMode="append", timeMode="EventTime",
+    )
+
+
 def hold_stream(
     ticks: DataFrame, keys: Sequence[str], hold_seconds: int, step_seconds: int = 15, delay: str = "0 seconds",
 ) -> DataFrame:
@@ -77,8 +87,18 @@ def hold_stream(
     """
     labels = [F.col(k).cast("string").alias(k) for k in keys]
     rows = ticks.withWatermark("tick", delay).select(*labels, "tick", F.unix_millis("tick").alias("tick_ms"))
-    schema = ", ".join([*[f"{k} string" for k in keys], "state string", "at timestamp"])
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Hold(keys, hold_seconds * 1000, step_seconds * 1000),
-        outputStructType=schema, outputMode="append", timeMode="EventTime",
+    return _changes(rows, keys, hold_seconds, step_seconds)
+
+
+def count_rule_stream(
+    silver: DataFrame, at_least: int = 3, hold_seconds: int = 120, lookback_seconds: int = 300, step_seconds: int = 15,
+) -> DataFrame:
+    """A count rule on silver events: sliding counts, then the hold time, in one query.
+
+    The instants are the ends of the windows, so an event is seen from the first instant after it.
+    """
+    counts = sliding(silver, ["region"], lookback_seconds, step_seconds, measured=False)
+    held = counts.where(F.col("eq_count") >= at_least).select(
+        "region", F.unix_millis("window_end").alias("tick_ms")
     )
+    return _changes(held, ["region"], hold_seconds, step_seconds)

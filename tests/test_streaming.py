@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quakeframe.operators import alerts, clean, points, statistics
+from quakeframe.operators import alerts, clean, metrics, points, statistics
 from quakeframe.plans.events import live, quakes
 from quakeframe.sources.live import read_text_stream
 from quakeframe.streaming import hold
@@ -177,3 +177,28 @@ def test_late_events_are_dropped(spark, tmp_path):
     wiring.write_files(stats, f"{tmp_path}/out", f"{tmp_path}/cp", once=True).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").orderBy("window_start").collect()
     assert [(r.window_start.hour, r.eq_count) for r in got] == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_swarm_rule_on_a_stream_equals_batch(spark, tmp_path):
+    """Counts and hold time chained in one query, against the batch rule."""
+    t0 = datetime(2024, 1, 1)
+    seconds = {"x, A": [1, 50, 100, 150, 400, 2000, 2001, 2002, 3500], "x, B": [10, 20, 299, 700], "x, flush": [90_000, 180_000]}
+    events = sorted((s, p) for p, list_ in seconds.items() for s in list_)
+
+    def line(s, p):
+        at = (t0 + timedelta(seconds=s, milliseconds=1)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        return json.dumps({**FLUSH, "id": f"{p}{s}", "time": at, "place": p})
+
+    lines = [line(s, p) for s, p in events]
+    write_files(tmp_path / "in", [lines[i: i + 4] for i in range(0, len(lines), 4)])
+    silver = wiring.silver(read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1))
+    changes = hold.count_rule_stream(silver, hold_seconds=60)
+    wiring.write_files(changes, f"{tmp_path}/out", f"{tmp_path}/cp", once=True).awaitTermination()
+    got = sorted((r.region, r.state, (r.at - t0).total_seconds()) for r in spark.read.parquet(f"{tmp_path}/out").where("region <> 'flush'").collect())
+
+    batch = clean.enrich(clean.live_required(clean.parse_live(spark.createDataFrame([(x,) for x in lines], "value string"))), "live")
+    runs = alerts.sustained(metrics.count_timeline(points.event_points(batch), at_least=3), ["region"], 60).collect()
+    expected = [(r.region, "pending", r.pending_at) for r in runs]
+    expected += [(r.region, "firing", r.firing_at) for r in runs if r.firing_at]
+    expected += [(r.region, "resolved" if r.firing_at else "cleared", r.resolved_at) for r in runs]
+    assert got == sorted((k, s, (t - t0).total_seconds()) for k, s, t in expected) and len(got) >= 8
