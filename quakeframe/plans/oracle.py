@@ -43,6 +43,7 @@ MAG_CAT = ("CAST(floor(mag) AS DOUBLE)::VARCHAR || '-' || CAST(round(floor(mag)
 MAG_LIVE = ("CASE WHEN mag IS NULL OR mag < 0 THEN 'unknown' ELSE "
             "CAST(trunc(mag) AS BIGINT) || '.0-' || CAST(trunc(mag) AS BIGINT) || '.9' END")
 
+# The patterns of a region after a comma, after "of" and with its suffix.
 _COMMA = r"regexp_extract(place, ',\s*([^,]+)$', 1)"
 _OF = r"regexp_extract(place, '.*\bof\s+(.+)$', 1)"
 _OF_ANY = r"regexp_extract(place, '(?i).*\bof\s+(.+)$', 1)"

@@ -119,7 +119,10 @@ def write_log(df: DataFrame, path: str, checkpoint: str, once: bool = False, int
     return writer.start()
 
 
-def read_log(spark: SparkSession, path: str, measurement: str = "earthquake_events", keys: tuple[str, ...] = ("event_id", "source")) -> DataFrame:
+def read_log(
+    spark: SparkSession, path: str, measurement: str = "earthquake_events",
+    keys: tuple[str, ...] = ("event_id", "source"),
+) -> DataFrame:
     """The state of each point after all batches of a log; later batches win field by field."""
     m = MEASUREMENTS[measurement]
     values = [c for c in ("time", *m.tags, *m.fields) if c not in keys]
