@@ -14,9 +14,10 @@ from quakeframe.functions import bins, place, times
 from quakeframe.operators import alerts, buckets, clean, metrics, panels, points, statistics
 from quakeframe.plans import oracle as o
 from quakeframe.plans.events import catalogue, live, quakes
-from quakeframe.schema import MEASUREMENTS
+from quakeframe.schema import KEPT_FIELDS, MEASUREMENTS
+from quakeframe.session import work_dir
 from quakeframe.sources import catalogue as scans
-from quakeframe.sources.tables import range_filter
+from quakeframe.sources.tables import range_filter, read_points, write_by_date, write_csv
 from quakeframe.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,15 @@ def hourly_points(spark, sf):
     return points.global_stream_points(statistics.hourly_global(live(spark, sf)))
 
 
+def daily_stream_points(spark, sf):
+    return points.global_stream_points(statistics.daily_global(live(spark, sf)), "daily_global_stats_stream")
+
+
+def daily_both(spark, sf):
+    """The daily statistics of both paths, which share a measurement."""
+    return panels.union(daily_points(spark, sf), daily_stream_points(spark, sf))
+
+
 def sequence_points(spark, sf):
     return points.sequence_points(statistics.sequences(live(spark, sf), size=86400))
 
@@ -78,6 +88,9 @@ ROLLING_POINTS = f"SELECT min_event_time AS time, region, eq_count, avg_mag, max
 DAILY_POINTS = f"SELECT CAST(date AS TIMESTAMP) AS time, 'batch' AS source, eq_count, avg_mag, max_mag FROM ({o.DAILY})"
 HOURLY_POINTS = f"""SELECT min_event_time AS time, 'global' AS region, 'stream' AS source,
   eq_count, avg_mag, max_mag FROM ({o.HOURLY})"""
+DAILY_BOTH = f"""SELECT * FROM ({DAILY_POINTS}) UNION ALL
+  SELECT min_event_time AS time, 'stream' AS source, eq_count, avg_mag, max_mag
+  FROM ({o.tumbling('24 hours', '', o.mags(2))})"""
 SEQUENCE_POINTS = f"SELECT min_event_time AS time, region, eq_count, avg_mag, max_mag FROM ({o.SEQUENCES})"
 
 # --- scans ------------------------------------------------------------------------------------
@@ -121,6 +134,28 @@ register("catalog_typed", o.sql(
     over(quakes, lambda df: clean.type_catalogue(_raw_text(df)).select(
         "id", "event_time", "latitude", "longitude", "depth", "mag", "magType", "place")))
 
+
+
+def csv_round_trip(spark, sf):
+    """The catalogue text written as CSV with a header and read back."""
+    raw = _raw_text(quakes(spark, sf)).select(*KEPT_FIELDS)
+    path = work_dir(spark, "csv")
+    write_csv(raw, path)
+    return clean.type_catalogue(scans.read_csv(spark, path, raw.schema)).drop("time", "updated")
+
+
+register("csv_round_trip", ORACLES["catalog_typed"])(csv_round_trip)
+
+
+def store_round_trip(spark, sf):
+    """Points written by day and a range of them read back."""
+    path = work_dir(spark, "points")
+    write_by_date(batch_points(spark, sf), path)
+    return read_points(spark, path, "2024-01-10", "2024-01-20").select("event_id", "time", "region", "magnitude")
+
+
+register("points_store_round_trip", ORACLES["points_range_scan"])(store_round_trip)
+
 register("parse_time_catalog", o.sql(f"SELECT id, {_MILLIS} AS event_time FROM quakes"))(
     over(quakes, lambda df: _raw_text(df).select(
         "id", times.parse_catalogue_time(F.col("time")).alias("event_time"))))
@@ -476,21 +511,42 @@ register("union_weekly_rolling", o.sql(
 
 for _field, _name in (("eq_count", "last_daily_count"), ("max_mag", "last_daily_max")):
     register(_name, o.sql(
-        f"SELECT source, time, {_field} FROM daily WHERE time = (SELECT max(time) FROM daily)", "catalogue",
-        daily=DAILY_POINTS))(over(daily_points, lambda df, f=_field: panels.last_value(df, f)))
+        f"""SELECT source, time, {_field} FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY time DESC) AS rn
+        FROM {o.since('daily', '7 days')}) WHERE rn = 1""", "catalogue", "live", daily=DAILY_BOTH))(
+        over(daily_both, lambda df, f=_field: panels.last_value(df, f)))
 
+# Each measurement with its table in Spark and the SQL of its rows.
 _STORED = {
-    "earthquake_events": "all_points", "daily_global_stats": "daily", "hourly_global_stats": "hourly",
-    "weekly_regional_stats": "weekly", "rolling_regional_stats": "rolling", "sequence_detection": "sequence",
+    "earthquake_events": (all_points, "SELECT * FROM all_points"),
+    "daily_global_stats": (daily_both, DAILY_BOTH),
+    "hourly_global_stats": (hourly_points, HOURLY_POINTS),
+    "weekly_regional_stats": (weekly_points, WEEKLY_POINTS),
+    "monthly_regional_stats": (
+        over(catalogue, lambda df: points.monthly_points(statistics.monthly_region_stats(df))),
+        f"SELECT year, month, region, {o.N} FROM catalogue GROUP BY ALL"),
+    "monthly_magnitude_stats": (
+        over(monthly_magnitude, lambda df: points.monthly_points(df, "monthly_magnitude_stats")), o.MONTHLY_MAGNITUDE),
+    "monthly_depth_stats": (
+        over(catalogue, lambda df: points.monthly_points(statistics.monthly_depth_stats(df), "monthly_depth_stats")),
+        o.MONTHLY_DEPTH),
+    "rolling_regional_stats": (
+        lambda spark, sf: panels.union(
+            rolling_points(spark, sf), points.rolling_points(statistics.rolling_24h(live(spark, sf)), "24h")),
+        f"SELECT region FROM ({o.ROLLING_7DAY}) UNION ALL SELECT region FROM ({o.ROLLING_24H})"),
+    "significant_event_alerts": (
+        over(live, lambda df: points.alert_points(statistics.significant_alerts(df))),
+        o.tumbling("5 minutes", "region", o.N, where="mag >= 6")),
+    "realtime_magnitude_distribution": (
+        over(live_magnitude, lambda df: points.stream_points(df, "realtime_magnitude_distribution")), o.LIVE_MAGNITUDE),
+    "depth_pattern_analysis": (
+        over(live, lambda df: points.stream_points(statistics.depth_patterns(df), "depth_pattern_analysis")), o.LIVE_DEPTH),
+    "sequence_detection": (sequence_points, SEQUENCE_POINTS),
 }
 register("storage_statistics", o.sql(
     " UNION ALL ".join(
-        f"SELECT '{m}' AS measurement, CAST(count(*) AS BIGINT) AS total_records FROM {t}" for m, t in _STORED.items()),
-    "all_points", daily=DAILY_POINTS, hourly=HOURLY_POINTS, sequence=SEQUENCE_POINTS, **_BOTH))(
-    lambda spark, sf: panels.storage_statistics(
-        earthquake_events=all_points(spark, sf), daily_global_stats=daily_points(spark, sf),
-        hourly_global_stats=hourly_points(spark, sf), weekly_regional_stats=weekly_points(spark, sf),
-        rolling_regional_stats=rolling_points(spark, sf), sequence_detection=sequence_points(spark, sf)))
+        f"SELECT '{m}' AS measurement, CAST(count(*) AS BIGINT) AS total_records FROM ({q})" for m, (_, q) in _STORED.items()),
+    "all_points"))(
+    lambda spark, sf: panels.storage_statistics(**{m: table(spark, sf) for m, (table, _) in _STORED.items()}))
 
 
 def _mean(table: str, every: str) -> str:
@@ -803,10 +859,21 @@ register("alert_history", o.sql(
 
 # --- streaming replays ------------------------------------------------------------------------
 
-_CLOSED = "SELECT * FROM ({q}) WHERE window_end <= (SELECT max(event_time) FROM live) - INTERVAL 30 SECOND"
+_SEEN = "(SELECT max(event_time) FROM live) - INTERVAL 30 SECOND"
+_CLOSED = f"SELECT * FROM ({{q}}) WHERE window_end <= {_SEEN}"
 for _name, _sql in (("hourly_global_stats", o.HOURLY), ("rolling_24h", o.ROLLING_24H), ("depth_pattern_analysis", o.LIVE_DEPTH)):
     register(f"stream_replay_{_name}", o.sql(_CLOSED.format(q=_sql), "live"))(
         lambda spark, sf, n=_name: replay.statistic(spark, sf, n))
+# Counts end before their instant and only closed windows are known; a run is over once its end has passed.
+register("stream_replay_swarm_rule", o.sql(
+    f"""SELECT region, 'pending' AS state, pending_at AS at FROM runs
+    UNION ALL SELECT region, 'firing', firing_at FROM runs WHERE firing_at IS NOT NULL
+    UNION ALL SELECT region, CASE WHEN firing_at IS NULL THEN 'cleared' ELSE 'resolved' END, resolved_at FROM runs
+      WHERE resolved_at <= {_SEEN}""", "live", runs=o.runs(
+        f"""SELECT region, make_timestamp(instant) AS tick, CAST(count(*) AS BIGINT) AS value FROM (
+          SELECT region, unnest(range(CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 15000000,
+            CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 300000001, 15000000)) AS instant FROM live)
+        WHERE make_timestamp(instant) <= {_SEEN} GROUP BY ALL HAVING count(*) >= 2""", "region", 60)))(replay.swarm_rule)
 register("stream_replay_dedupe", o.sql("SELECT id, mag, region FROM live", "live"))(replay.deduplicated)
 
-assert {m for m in _STORED} <= set(MEASUREMENTS)
+assert set(_STORED) == {m.removesuffix("_stream") for m in MEASUREMENTS}

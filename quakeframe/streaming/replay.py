@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quakeframe.operators.clean import enrich, live_required
 from quakeframe.plans.events import EVENTS, to_quakes
-from quakeframe.session import prepare, work_dir
-from quakeframe.streaming import live
+from quakeframe.session import SETTINGS, prepare, work_dir
+from quakeframe.streaming import hold, live
+
+PARTITIONS = "spark.sql.shuffle.partitions"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def event_stream(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
@@ -16,9 +19,16 @@ def event_stream(spark: SparkSession, sf_dir: str, duplicates: bool = False) ->
 
 
 def run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Runs a stream until its input is used up and reads what it wrote."""
-    root = work_dir(spark, name)
-    live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    """Runs a stream until its input is used up and reads what it wrote.
+
+    State has a fixed number of partitions, which adaptive execution does not merge: one per core.
+    """
+    root, before = work_dir(spark, name), spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    try:
+        live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    finally:
+        spark.conf.set(PARTITIONS, before)
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
@@ -31,3 +41,11 @@ def statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enrich(live.unique(event_stream(spark, sf_dir, duplicates=True)), "live")
     return run(spark, rows.select("id", "mag", "region"), "dedupe")
+
+
+def swarm_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of state of a count rule: two events in five minutes, held for a minute."""
+    if "RocksDB" not in spark.conf.get(PROVIDER):
+        spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
+    rows = enrich(event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK), "live")
+    return run(spark, hold.count_rule_stream(rows, at_least=2, hold_seconds=60), "swarm")
