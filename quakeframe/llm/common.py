@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quakeframe.session import work_dir
 
@@ -48,6 +49,29 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], s
     return df.mapInArrow(run, fields)
 
 
+def range_number(key: Column, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are not greater than ``key``; looks at every 64th first."""
+    coarse = F.array(*map(F.lit, bounds[63::64])) if len(bounds) >= 64 else None
+    passed = F.size(F.filter(coarse, lambda b: b <= key)) if coarse is not None else F.lit(0)
+    fine = F.slice(F.array(*map(F.lit, bounds)), passed * 64 + 1, F.lit(64)) if bounds else F.array().cast("array<bigint>")
+    return passed * 64 + F.size(F.filter(fine, lambda b: b <= key))
+
+
+def id_bounds(docs: DataFrame, key: Column, ranges: int) -> list[int]:
+    """The distinct ids at which ranges of about equally many rows begin, the smallest id first.
+
+    One value per range; only the ids are read. An empty table has none.
+    """
+    at = [i / ranges for i in range(ranges)]
+    row = docs.agg(F.min(key).alias("least"), F.percentile_approx(key, at, max(10_000, 20 * ranges)).alias("b")).first()
+    return sorted({row["least"], *row["b"]}) if row["least"] is not None else []
+
+
+def ordered_ranges(spark: SparkSession, rows: int, per_range: int) -> int:
+    """Ranges for a table in id order: as many as shuffles have partitions, more if they grow too large."""
+    return max(1, min(rows, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_range))))
+
+
 # ---------------------------------------------------------------------------- hashing of words
 
 _U64 = np.uint64

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quakeframe.llm import exact_dedup, mixing, redirects
+from quakeframe.llm import bpe, exact_dedup, mixing, redirects, token_files
 from quakeframe.llm.common import table
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,7 +29,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redirects.judged(table(spark, sf_dir, "pages"), redirects.default_rules(spark))
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup, op6_mixing, op7_url_filter)}
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe)}
 
 ORACLES = {
     "op5_exact_dedup": """
