@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quakeframe.llm import bpe, exact_dedup, mixing, redirects, token_files
+from quakeframe.llm import bpe, exact_dedup, language, mixing, redirects, token_files
 from quakeframe.llm.common import table
 
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -33,7 +37,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_token_files, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe)}
 
 ORACLES = {
     "op5_exact_dedup": """
