@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quakeframe.llm import bpe, exact_dedup, language, mixing, redirects, token_files
+from quakeframe.llm import bpe, exact_dedup, language, mixing, near_dedup, redirects, token_files
 from quakeframe.llm.common import table
 
 
@@ -37,7 +37,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_token_files, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_token_files, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe, op10_near_dedup)}
 
 ORACLES = {
     "op5_exact_dedup": """
