@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quakeframe.llm import bpe, exact_dedup, language, mixing, near_dedup, redirects, spans, token_files, toxicity
+from quakeframe.llm import bpe, exact_dedup, language, mixing, multiset, near_dedup, redirects, spans, token_files, toxicity
 from quakeframe.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.without_repeats(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_token_files, op4_substring_dedup, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe, op9_toxicity, op10_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_token_files, op3_fingerprints, op4_substring_dedup, op5_exact_dedup, op6_mixing, op7_url_filter, op8_bpe, op9_toxicity, op10_near_dedup)}
 
 ORACLES = {
     "op5_exact_dedup": """
