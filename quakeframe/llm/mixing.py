@@ -13,6 +13,7 @@ from quakeframe.llm.common import stored
 WEIGHTS = (5, 2, 1)  # by the source's place in code point order, repeating
 MOST_PASSES = 3  # a document is taken so many times at most
 SEED = 17
+KNAPSACK = 1 << 14  # words, about, that are left to the knapsack
 CELLS = 256  # ranges of the seeded hash; only one range per source and length is put in order
 
 
@@ -42,27 +43,26 @@ def targets(sizes: dict, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PA
 def fill(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take so that their words come as near ``budget`` as possible.
 
-    Each length gives its proportional part first. Of the words still missing, all but what the
-    longest few lengths span are filled from long to short, and a bounded knapsack over what is left
-    of each length (reachable sums as bits of an integer) closes the rest: exactly if some subset
-    does, else by the nearest sum, the smaller one of two equally near.
+    All but ``KNAPSACK`` words are given out in proportion, from each length alike, and what rounding
+    leaves of them from long to short. A bounded knapsack over what is left of each length (reachable
+    sums as bits of an integer) closes the rest: exactly if some subset does, else by the nearest sum,
+    the smaller one of two equally near.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget <= 0 or not total:
         return [0] * len(lengths)
     if budget >= total:
         return list(counts)
-    taken = [c * budget // total for c in counts]
+    taken = [c * max(0, budget - KNAPSACK) // total for c in counts]
     rest = budget - sum(n * t for n, t in zip(lengths, taken))
     order = sorted((i for i in range(len(lengths)) if lengths[i] > 0), key=lambda i: -lengths[i])
-    margin = 4 * lengths[order[len(order) // 2]] + 64  # left to the knapsack
     for i in order:
-        more = min(counts[i] - taken[i], max(0, rest - margin) // lengths[i])
+        more = min(counts[i] - taken[i], max(0, rest - KNAPSACK) // lengths[i])
         taken[i] += more
         rest -= more * lengths[i]
     limit = rest + lengths[order[0]]
     mask, reach, steps = (1 << (limit + 1)) - 1, 1, []
-    for i in sorted(order, key=lambda i: lengths[i]):
+    for i in sorted(order, key=lambda i: lengths[i] * 2654435761 % (1 << 32)):  # short and long ones in turn
         free, step = min(counts[i] - taken[i], limit // lengths[i]), 1
         while free > 0 and not reach >> rest & 1:  # binary parts of the number of copies
             part = min(step, free)
