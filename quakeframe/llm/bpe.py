@@ -9,6 +9,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -255,24 +256,36 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs``.
-
-    ``path`` names a tokenizer file that all executors have. Defined cases: a null text is an empty
-    one, with no ids; an empty decoded text has the digest of nothing; a null ``doc_id`` stays null;
-    repeated rows are encoded each; a text without white space is one stream whose window is bounded;
-    other columns are ignored.
-    """
+def _coded(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
     def rows(blocks):
         own = codec(path)
         for block in blocks:
-            n, ids, text = [], [], []
+            n, ids, digests, text = [], [], [], []
             for value in block["text"]:
                 count, numbers, decoded = own.both(value.as_py() or "")
                 n.append(count)
-                ids.append(hashlib.sha256(numbers.encode()).hexdigest())
+                if with_ids:
+                    ids.append(np.array(numbers.split(), dtype=np.int32))
+                digests.append(hashlib.sha256(numbers.encode()).hexdigest())
                 text.append(hashlib.sha256(decoded.encode()).hexdigest())
-            yield block["doc_id"], pa.array(n, pa.int64()), ids, text
+            shown = [pa.array(ids, pa.list_(pa.int32()))] if with_ids else []
+            yield block["doc_id"], pa.array(n, pa.int64()), *shown, digests, text
 
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    return map_rows(chosen, rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(chosen, rows, "doc_id long, n_tokens long, " + "ids array<int>, " * with_ids + "ids_sha256 string, decoded_sha256 string")
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row of ``docs``.
+
+    ``path`` names a tokenizer file that all executors have. Defined cases: a null text is an empty
+    one, with no ids; an empty decoded text has the digest of nothing; a null ``doc_id`` stays null;
+    repeated rows are encoded each; a text without white space is one stream whose window is bounded;
+    an empty table gives no rows; other columns are ignored.
+    """
+    return _coded(docs, path, False)
+
+
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """The same with the ids themselves."""
+    return _coded(docs, path, True)

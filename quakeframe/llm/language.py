@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -243,3 +244,22 @@ def identified(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     )
     return map_rows(chosen, rows, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
+
+def accepted(docs: DataFrame, least: float = 0.5, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose language is known: any but ``und`` with score ``least`` or more.
+
+    Where there is nothing to learn from, all rows with a letter are accepted.
+    """
+    learned = learn(docs, sample_docs)
+    model = docs.sparkSession.sparkContext.broadcast(learned)
+    spoken = docs.where(F.col("text").rlike(r"\p{L}"))
+    if not learned.languages:
+        return spoken
+    columns = docs.columns
+
+    def rows(blocks):
+        for block in blocks:
+            sure = [score >= least for _, score, _ in model.value.predict([t.as_py().encode() for t in block["text"]])]
+            yield [block[c].filter(pa.array(sure)) for c in columns]
+
+    return map_rows(spoken, rows, docs.schema)
