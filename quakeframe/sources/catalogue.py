@@ -31,12 +31,12 @@ def time_range(
     start: str | None = None, end: str | None = None, delta_seconds: int | None = None,
     now: datetime | None = None,
 ) -> tuple[datetime, datetime]:
-    """Explicit bounds win; otherwise the last ``delta_seconds`` before ``now``."""
+    """Explicit bounds win; otherwise the last ``delta_seconds`` before ``now``. Both are UTC, without a zone."""
     if start and end:
-        return datetime.fromisoformat(start), datetime.fromisoformat(end)
+        return utc(start).replace(tzinfo=None), utc(end).replace(tzinfo=None)
     if delta_seconds is None:
         raise ValueError("give start and end, or delta_seconds")
-    stop = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    stop = utc(now or datetime.now(timezone.utc)).replace(tzinfo=None)
     return stop - timedelta(seconds=int(delta_seconds)), stop
 
 
@@ -54,8 +54,20 @@ def as_of_column(df: DataFrame, time: str = "event_time") -> Column:
     return last.agg(F.max(time)).scalar()
 
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def utc(value: str | datetime) -> datetime:
+    """An instant with its zone; one without a zone is UTC, whatever the zone of this machine."""
+    moment = datetime.fromisoformat(value) if isinstance(value, str) else value
+    return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
+
+
 def _instant(value):
-    return value if not isinstance(value, (str, datetime)) else F.lit(value).cast("timestamp")
+    """A column as it is; a text or a ``datetime`` as a literal that no session or machine zone shifts."""
+    if not isinstance(value, (str, datetime)):
+        return value
+    return F.timestamp_micros(F.lit((utc(value) - _EPOCH) // timedelta(microseconds=1)))
 
 
 def range_scan(

@@ -32,6 +32,12 @@ def write_by_date(df: DataFrame, path: str, time: str = "time", mode: str = "ove
     )
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder, in whatever store it lies; a missing one is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def range_filter(df: DataFrame, start=None, stop=None, time: str = "time") -> DataFrame:
     """Half open: start included, stop not. Prunes the ``date`` folders where there are any."""
     out = df

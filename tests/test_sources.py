@@ -114,8 +114,50 @@ def test_runs_over_ranges_add_up(spark, csv, tmp_path):
     assert spark.read.parquet(f"{parts}/silver").count() == spark.read.parquet(f"{whole}/silver").count()
 
 
-def test_periods():
+def test_periods(spark):
     from datetime import date
 
-    assert batch.periods("2024-05-01", "2024-05-01") == (date(2024, 4, 29), date(2024, 5, 31))
-    assert batch.periods("2024-12-10", "2024-12-31") == (date(2024, 12, 1), date(2025, 1, 5))
+    def spans(day, name):
+        days = spark.createDataFrame([(date.fromisoformat(day),)], "date date")
+        firsts, every = batch.periods(days, batch.PERIODS[name])
+        dates = sorted(r.date for r in every.collect())
+        return [r.date for r in firsts.collect()], dates[0], dates[-1], len(dates)
+
+    assert spans("2024-05-01", "monthly_region") == ([date(2024, 5, 1)], date(2024, 5, 1), date(2024, 5, 31), 31)
+    assert spans("2024-05-01", "weekly_points") == ([date(2024, 4, 29)], date(2024, 4, 29), date(2024, 5, 5), 7)
+    assert spans("2025-01-01", "weekly_points") == ([date(2024, 12, 30)], date(2024, 12, 30), date(2025, 1, 5), 7)
+    # Calendar year 2024 with ISO week 1: the first seven days and the last two.
+    assert spans("2024-12-31", "weekly_region") == ([date(2024, 1, 1)], date(2024, 1, 1), date(2024, 12, 31), 9)
+
+
+def test_instants_do_not_depend_on_the_machine(spark, monkeypatch):
+    import time
+    from datetime import datetime, timezone
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        expected = datetime(2024, 1, 1, tzinfo=timezone.utc)
+        low, high = catalogue.time_range("2024-01-01", "2024-01-01T02:00:00+02:00")
+        assert low == high == expected.replace(tzinfo=None)
+        for value in ("2024-01-01", datetime(2024, 1, 1), expected):
+            micros = spark.range(1).select(F.unix_micros(catalogue._instant(value))).first()[0]
+            assert micros == int(expected.timestamp()) * 1_000_000
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_text_of_any_kind_reaches_the_points(spark, tmp_path):
+    rows = [(str(i), "2024-01-01T00:00:00.000Z", "1", "2", "3", "4.5", "mb", "north of A\tB") for i in range(3)]
+    rows += [("x", "bad", "1", "2", "3", "5", "mb", "y"), ("y", "2024-01-01T00:00:00.000Z", "1", "2", "3", "?", "mb", "z")]
+    from quakeframe.schema import CATALOGUE_FIELDS, KEPT_FIELDS
+
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in KEPT_FIELDS))
+    df = df.select(*[F.col(c) if c in KEPT_FIELDS else F.lit("z").alias(c) for c in CATALOGUE_FIELDS])
+    tables.write_csv(df, str(tmp_path / "in"))
+    batch.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    stored = spark.read.parquet(f"{tmp_path}/out/points/monthly_regional_stats").collect()
+    assert [(r.region, r.eq_count) for r in stored] == [("A\tB", 3)]
+    letters = spark.read.parquet(f"{tmp_path}/out/unreadable").collect()
+    assert sorted((r.id, r.reason) for r in letters) == [("x", "no time"), ("y", "no magnitude")]
