@@ -19,7 +19,7 @@ from quakeframe.plans.batch import run_batch
 from quakeframe.session import SETTINGS, prepare
 from quakeframe.sources.catalogue import MIN_MAGNITUDE, time_range
 from quakeframe.sources.live import read_kafka, read_text_stream
-from quakeframe.streaming.live import run_live
+from quakeframe.streaming.live import WATERMARK, correct, run_live
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
@@ -32,15 +32,19 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--end", default=env("END_DATE"))
     batch.add_argument("--last-seconds", type=int, default=env("DATA_DELTA_SECONDS"))
     batch.add_argument("--preview", type=int, default=0)
+    jobs.add_parser("correct").add_argument("--durations", choices=["intended", "demo"], default="intended")
     live = jobs.add_parser("live")
     live.add_argument("--kafka", default=env("KAFKA_BOOTSTRAP_SERVERS"))
     live.add_argument("--topic", default=env("KAFKA_TOPICS"))
     live.add_argument("--folder", help="JSON lines in place of Kafka")
-    live.add_argument("--checkpoints")
+    live.add_argument("--checkpoints", help="default: a folder under --out")
+    live.add_argument("--delay", default=WATERMARK, help="how long windows wait for late events")
+    live.add_argument("--retention", help="how long ids are remembered; default: for good")
     live.add_argument("--durations", choices=["intended", "demo"], default="intended")
     live.add_argument("--once", action="store_true", help="stop when the input is used up")
-    for job in (batch, live):
+    for job in jobs.choices.values():
         job.add_argument("--out", required=True)
+    for job in (batch, live):
         job.add_argument("--min-magnitude", type=float, default=float(env("MIN_MAGNITUDE", MIN_MAGNITUDE)))
     return parser.parse_args(arguments)
 
@@ -62,12 +66,16 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         start, end = time_range(options.start, options.end, options.last_seconds) if bounded else (None, None)
         run_batch(spark, options.csv, options.out, start, end, options.min_magnitude, options.preview)
         return
+    if options.job == "correct":
+        correct(spark, options.out, options.durations)
+        return
     messages = (
         read_text_stream(spark, options.folder) if options.folder
         else read_kafka(spark, options.kafka, options.topic)
     )
     run_live(
-        spark, messages, options.out, options.checkpoints, options.durations, options.min_magnitude, options.once)
+        spark, messages, options.out, options.checkpoints, options.durations, options.min_magnitude, options.once,
+        options.delay, options.retention)
     if not options.once:
         spark.streams.awaitAnyTermination()
 

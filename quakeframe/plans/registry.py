@@ -951,6 +951,10 @@ register("stream_replay_swarm_rule", o.sql(
           SELECT region, unnest(range(CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 15000000,
             CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 300000001, 15000000)) AS instant FROM live)
         WHERE make_timestamp(instant) <= {_SEEN} GROUP BY ALL HAVING count(*) >= 2""", "region", 60)))(replay.swarm_rule)
+_USABLE = "SELECT id, event_time, mag FROM live"
+register("live_late_events", o.sql(_USABLE, "live"))(replay.late_events)
+register("live_restart", o.sql(_USABLE, "live"))(replay.restarted)
+register("live_corrected_hours", o.sql(o.HOURLY, "live"))(replay.corrected)
 register("stream_replay_dedupe", o.sql("SELECT id, mag, region FROM live", "live"))(replay.deduplicated)
 
 assert set(_STORED) == {m.removesuffix("_stream") for m in MEASUREMENTS}

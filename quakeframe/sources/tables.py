@@ -38,6 +38,11 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def range_filter(df: DataFrame, start=None, stop=None, time: str = "time") -> DataFrame:
     """Half open: start included, stop not. Prunes the ``date`` folders where there are any."""
     out = df

@@ -16,7 +16,7 @@ from quakeframe.operators import clean, points, statistics
 from quakeframe.schema import MEASUREMENTS, QUAKES
 from quakeframe.session import work_dir
 from quakeframe.sources.catalogue import MIN_MAGNITUDE
-from quakeframe.sources.tables import write_by_date
+from quakeframe.sources.tables import delete, exists, write_by_date
 
 WATERMARK = "30 seconds"
 
@@ -48,22 +48,25 @@ def event_or_arrival(df: DataFrame, arrival: str = "timestamp") -> DataFrame:
     return df.withColumn("event_time", F.coalesce("event_time", arrival))
 
 
-def unique(df: DataFrame, delay: str = WATERMARK, forever: bool = False) -> DataFrame:
-    """The first record of each id.
+def unique(df: DataFrame, retention: str | None = None, arrival: str = "timestamp") -> DataFrame:
+    """The first record of each id, however late its event is: no event time takes part.
 
-    Ids are forgotten once the watermark has passed them, so the state is bounded. With
-    ``forever`` they are kept for good: needs RocksDB and disk for every id ever seen.
+    Ids are kept for good, in RocksDB on disk. With a ``retention`` they are forgotten that long
+    after their arrival, which bounds the state; an id that comes again later is then a new one.
     """
-    marked = df.withWatermark("event_time", delay)
-    return marked.dropDuplicates(["id"]) if forever else marked.dropDuplicatesWithinWatermark(["id"])
+    if retention is None:
+        return df.dropDuplicates(["id"])
+    return df.withWatermark(arrival, retention).dropDuplicatesWithinWatermark(["id"])
 
 
 def silver(
-    messages: DataFrame, min_magnitude: float = MIN_MAGNITUDE, delay: str = WATERMARK, forever: bool = False,
+    messages: DataFrame, min_magnitude: float = MIN_MAGNITUDE, delay: str = WATERMARK, retention: str | None = None,
 ) -> DataFrame:
+    """Usable events, each once, late ones included. The watermark is set behind the deduplication,
+    for what follows in the same query; writing the table needs none."""
     usable = clean.live_required(clean.parse_live(messages), min_magnitude)
-    rows = clean.enrich(unique(usable, delay, forever), "live")
-    return rows.select(*QUAKES.names)  # as they are: a cast would take the watermark off the time
+    rows = clean.enrich(unique(usable, retention), "live").select(*QUAKES.names)
+    return rows if retention else rows.withWatermark("event_time", delay)
 
 
 def rejected(messages: DataFrame) -> DataFrame:
@@ -134,17 +137,80 @@ def compact_log(spark: SparkSession, path: str, target: str) -> None:
     write_by_date(read_log(spark, path), target)
 
 
+def late_hours(silver_rows: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Hours that have more events than their closed window counted: ``window_start``.
+
+    ``hourly`` are the global hourly statistics as written. Hours after the last written one are
+    open. Both sides are one row per hour.
+    """
+    counted = silver_rows.groupBy(F.window("event_time", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    stored = hourly.groupBy(F.date_trunc("hour", "min_event_time").alias("window_start")).agg(F.max("eq_count").alias("m"))
+    closed = stored.agg(F.max("window_start").alias("last"))
+    have = counted.select(F.col("w.start").alias("window_start"), "n").join(stored, "window_start", "left")
+    late = have.where((F.col("n") > F.coalesce("m", F.lit(0))) & (F.col("window_start") <= closed.select("last").scalar()))
+    return late.select("window_start")
+
+
+def corrected(
+    silver_rows: DataFrame, late: DataFrame, name: str, durations: str = "intended",
+) -> DataFrame:
+    """All windows of a statistic that hold an event of one of the ``late`` hours, from all events.
+
+    The batch form of the statistic runs over the days that these windows touch, which prunes the
+    table by date; the windows that no late hour lies in are left as they were written.
+    """
+    size = statistics.WINDOWS[durations][_WINDOW_OF[name]][0]
+    reach = F.expr(f"interval {size} seconds")
+    days = late.select(F.explode(F.sequence(
+        F.to_date(F.col("window_start") - reach), F.to_date(F.col("window_start") + reach + F.expr("interval 1 hour")))).alias("date")).distinct()
+    rows = silver_rows.join(F.broadcast(days), "date", "left_semi")  # one row per day of the calendar
+    windows = STATISTICS[name](rows, durations).alias("w")
+    hour = F.broadcast(late.select(F.col("window_start").alias("hour"))).alias("h")  # one row per late hour
+    inside = F.expr("w.window_start < h.hour + interval 1 hour and w.window_end > h.hour")
+    return windows.join(hour, inside, "left_semi")
+
+
+_WINDOW_OF = {
+    "hourly_global_stats": "hourly_global", "daily_global_stats": "daily_global", "rolling_24h": "rolling_24h",
+    "rolling_7day": "rolling_7day", "significant_event_alerts": "significant", "realtime_magnitude_distribution": "magnitude",
+    "depth_pattern_analysis": "depth", "sequence_detection": "sequence",
+}
+
+
+def correct(spark: SparkSession, root: str, durations: str = "intended") -> None:
+    """Computes anew what late events have made wrong, for all statistics, under ``root``/corrected.
+
+    To be run now and then beside the streams. A reader takes a window from there if it is there,
+    else from the table that the stream appends to.
+    """
+    rows = spark.read.schema(QUAKES).parquet(f"{root}/silver")
+    late = late_hours(rows, spark.read.parquet(f"{root}/hourly_global_stats"))
+    folder = work_dir(spark, "late")
+    late.write.parquet(folder)
+    late = spark.read.schema(late.schema).parquet(folder)
+    for name in STATISTICS:
+        windows = corrected(rows, late, name, durations)
+        windows.write.mode("overwrite").parquet(f"{root}/corrected/{name}")
+    delete(spark, folder)
+
+
 def run_live(
     spark: SparkSession, messages: DataFrame, root: str, checkpoints: str | None = None,
     durations: str = "intended", min_magnitude: float = MIN_MAGNITUDE, once: bool = False,
+    delay: str = WATERMARK, retention: str | None = None,
 ) -> list[StreamingQuery]:
     """Starts the silver query, the dead letters, the raw points and all statistics.
 
     With ``once`` the stages run to completion one after the other; otherwise all run side by
-    side and the statistics follow the silver table. A fixed ``checkpoints`` folder makes a
-    restart go on where the last run stopped.
+    side and the statistics follow the silver table. Checkpoints lie under ``root`` unless another
+    folder is given, so a restart goes on where the last run stopped; an output that was written
+    under other checkpoints is refused, as batch numbers would begin anew and rows would be lost.
+    ``delay`` is how long a window waits for late events. Silver keeps later ones too, and
+    ``correct`` computes the windows that they belong to anew.
     """
-    checkpoints = checkpoints or work_dir(spark, "live")
+    checkpoints = checkpoints or f"{root}/_checkpoints"
+    if exists(spark, f"{root}/silver") and not exists(spark, f"{checkpoints}/silver"):
+        raise ValueError(f"{root} was written under other checkpoints than {checkpoints}")
     queries = []
 
     def launch(query: StreamingQuery) -> None:
@@ -153,10 +219,10 @@ def run_live(
             query.awaitTermination()
 
     silver_path = f"{root}/silver"
-    rows = silver(messages, min_magnitude)
+    rows = silver(messages, min_magnitude, delay, retention)
     launch(write_files(rows, silver_path, f"{checkpoints}/silver", "date", once))
     launch(write_files(rejected(messages), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
-    table = lambda: read_silver(spark, silver_path)
+    table = lambda: read_silver(spark, silver_path, delay)
     launch(write_log(points.event_points(table()), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
     for name in STATISTICS:
         shaped = POINTS[name](statistic(table(), name, durations))

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quakeframe.operators import statistics
 from quakeframe.operators.clean import enrich, live_required
-from quakeframe.plans.events import EVENTS, to_quakes
+from quakeframe.plans.events import EVENTS, quakes, to_quakes
+from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
+from quakeframe.sources.live import read_text_stream
+from quakeframe.sources.tables import write_by_date
 from quakeframe.streaming import hold, live
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -22,13 +27,18 @@ def run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Runs a stream until its input is used up and reads what it wrote.
 
     State has a fixed number of partitions, which adaptive execution does not merge: one per core.
+    It is kept in RocksDB. The caller's settings come back afterwards.
     """
-    root, before = work_dir(spark, name), spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    root = work_dir(spark, name)
+    wanted = {PARTITIONS: str(spark.sparkContext.defaultParallelism), PROVIDER: SETTINGS[PROVIDER]}
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
     finally:
-        spark.conf.set(PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
@@ -43,9 +53,44 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, rows.select("id", "mag", "region"), "dedupe")
 
 
+def _messages(spark: SparkSession, sf_dir: str, folder: str, files: int, order: str) -> DataFrame:
+    """The events as JSON messages in several files, by an ``order`` of arrival."""
+    time = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    fields = F.struct("id", time.alias("time"), "latitude", "longitude", "depth", "mag", "magType", "place")
+    rows = quakes(spark, sf_dir).select(F.to_json(fields).alias("value"), F.expr(order).alias("at"))
+    rows.repartitionByRange(files, "at").select("value").write.mode("append").text(folder)
+    return read_text_stream(spark, folder, max_files_per_trigger=1)
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver ids after messages in any order of arrival, over many micro-batches: days late, most of them."""
+    root = work_dir(spark, "late")
+    messages = _messages(spark, sf_dir, f"{root}/in", 6, "xxhash64(id)")
+    return run(spark, live.silver(messages).select("id", "event_time", "mag"), "late")
+
+
+def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver ids after two runs over one output, with messages of the first run sent again before the second."""
+    root = work_dir(spark, "restart")
+    for order in ("if(cast(id as int) % 3 > 0, xxhash64(id), 0)", "xxhash64(id, 1)"):
+        messages = _messages(spark, sf_dir, f"{root}/in", 2, order)
+        live.write_files(live.silver(messages).select("id", "event_time", "mag"), f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics when every 10th event comes after the windows have closed: written windows,
+    the corrected ones in place of those that lacked events."""
+    rows = enrich(live_required(quakes(spark, sf_dir)), "live")
+    folder = work_dir(spark, "silver")
+    write_by_date(rows, folder, "event_time")
+    table = spark.read.schema(QUAKES).parquet(folder)
+    written = statistics.hourly_global(table.where("cast(id as int) % 10 <> 3"))
+    fixed = live.corrected(table, live.late_hours(table, written), "hourly_global_stats")
+    return fixed.unionByName(written.join(fixed, "window_start", "left_anti").select(*fixed.columns))
+
+
 def swarm_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of state of a count rule: two events in five minutes, held for a minute."""
-    if "RocksDB" not in spark.conf.get(PROVIDER):
-        spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
     rows = enrich(event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK), "live")
     return run(spark, hold.count_rule_stream(rows, at_least=2, hold_seconds=60), "swarm")

@@ -75,11 +75,39 @@ def test_restart_goes_on_where_it_stopped(spark, lines, tmp_path):
 
 def test_both_forms_of_deduplication(spark, lines, tmp_path):
     write_files(tmp_path / "in", [lines[:500], lines[500:]])
-    for forever in (False, True):
+    for retention in (None, "7 days"):
         messages = read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
-        df = wiring.silver(messages, forever=forever)
-        wiring.write_files(df, f"{tmp_path}/{forever}", f"{tmp_path}/cp{forever}", once=True).awaitTermination()
-        assert spark.read.parquet(f"{tmp_path}/{forever}").count() == live(spark, SF).count()
+        df = wiring.silver(messages, retention=retention)
+        wiring.write_files(df, f"{tmp_path}/{retention}", f"{tmp_path}/cp{retention}", once=True).awaitTermination()
+        assert spark.read.parquet(f"{tmp_path}/{retention}").count() == live(spark, SF).count()
+
+
+def test_foreign_output_is_refused(spark, lines, tmp_path):
+    write_files(tmp_path / "in", [lines[:50]])
+    messages = read_text_stream(spark, str(tmp_path / "in"))
+    (tmp_path / "out" / "silver").mkdir(parents=True)
+    with pytest.raises(ValueError, match="other checkpoints"):
+        wiring.run_live(spark, messages, f"{tmp_path}/out", once=True)
+
+
+def test_late_events_are_in_silver_and_corrected(spark, tmp_path):
+    def event(i, time):
+        return json.dumps({**FLUSH, "id": i, "time": time, "place": "x, Chile"})
+
+    write_files(tmp_path / "in", [
+        [event("a", "2024-01-01T00:10:00.0Z")], [event("b", "2024-01-01T02:00:00.0Z")], [event("c", "2024-01-01T09:00:00.0Z")],
+        [event("late", "2024-01-01T00:20:00.0Z"), event("a", "2024-01-01T10:00:00.0Z")], [event("d", "2024-01-03T00:00:00.0Z")],
+    ])
+    root = str(tmp_path / "out")
+    messages = read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+    wiring.write_files(wiring.silver(messages), f"{root}/silver", f"{root}/cp", "date", once=True).awaitTermination()
+    silver = spark.read.parquet(f"{root}/silver")
+    assert sorted(r.id for r in silver.collect()) == ["a", "b", "c", "d", "late"]
+    closed = statistics.hourly_global(silver.where("id not in ('late', 'd')"))
+    late = wiring.late_hours(silver, closed)
+    assert [r.window_start.hour for r in late.collect()] == [0]
+    assert [(r.window_start.hour, r.eq_count) for r in wiring.corrected(silver, late, "hourly_global_stats").collect()] == [(0, 2)]
+    assert wiring.corrected(silver, late, "rolling_24h").count() == statistics.rolling_24h(silver).where("window_start < '2024-01-01 01:00:00'").count()
 
 
 def test_write_log_replaces_a_batch_that_runs_again(spark, tmp_path):
