@@ -53,45 +53,67 @@ DEFAULT_ROUTE = (10, 3600)
 
 # --- rules ------------------------------------------------------------------------------------
 
+def known_by(timeline: DataFrame, as_of: Column) -> DataFrame:
+    """Spells as they are known at an instant: those after it are left out, others end behind it at the latest."""
+    after = F.timestamp_micros(F.unix_micros(as_of) + 1)
+    return timeline.where(F.col("start") <= as_of).withColumn("end", F.least("end", after))
+
+
 def sustained(
-    timeline: DataFrame, keys: Sequence[str], hold_seconds: int, step_seconds: int = STEP_SECONDS,
+    timeline: DataFrame, keys: Sequence[str], hold_seconds: int, step_seconds: int = STEP_SECONDS, as_of: Column | None = None,
 ) -> DataFrame:
     """Runs of instants at which a condition holds, with the state each run reached.
 
     ``timeline`` has the spells ``[start, end)`` in which the condition is true, and their
     ``value``. A run is pending from its first instant, fires once it has held for
     ``hold_seconds`` and is resolved at the first instant at which the condition is gone.
+
+    A look-back lets spells reach beyond the data. With ``as_of`` nothing after that instant is
+    claimed: a run that holds there is open, without ``resolved_at``, and has fired only if it has
+    held long enough by then. ``ticks`` counts the instants of the run so far.
     """
-    runs = buckets.islands(timeline, keys, "value")
+    runs = buckets.islands(timeline if as_of is None else known_by(timeline, as_of), keys, "value")
     firing_at = times.shift(F.col("start"), hold_seconds)
+    resolved = F.col("end")
+    if as_of is not None:
+        until = F.timestamp_micros(F.unix_micros(as_of) - F.pmod(F.unix_micros(as_of), F.lit(step_seconds * 1_000_000)) + step_seconds * 1_000_000)
+        runs = runs.withColumn("_open", F.col("end") > as_of).withColumn("end", F.when(F.col("end") > as_of, until).otherwise(F.col("end")))
+        firing_at = F.when(firing_at <= as_of, firing_at)
+        resolved = F.when(~F.col("_open"), F.col("end"))
     return runs.select(
         *keys, F.col("start").alias("pending_at"),
         F.when(firing_at < F.col("end"), firing_at).alias("firing_at"),
-        F.col("end").alias("resolved_at"),
+        resolved.alias("resolved_at"),
         (times.seconds(F.col("start"), F.col("end")) / step_seconds).cast("bigint").alias("ticks"),
         F.col("value").alias("peak"),
     )
 
 
-def firing(timeline: DataFrame, rule: Rule, keys: Sequence[str] = ("region",), hold_seconds: int | None = None) -> DataFrame:
-    """The alerts of a rule: runs that held long enough."""
+def firing(
+    timeline: DataFrame, rule: Rule, keys: Sequence[str] = ("region",), hold_seconds: int | None = None, as_of: Column | None = None,
+) -> DataFrame:
+    """The alerts of a rule: runs that held long enough, by ``as_of`` if it is given."""
     hold = rule.hold_seconds if hold_seconds is None else hold_seconds
     return (
-        sustained(timeline, keys, hold).where(F.col("firing_at").isNotNull())
+        sustained(timeline, keys, hold, as_of=as_of).where(F.col("firing_at").isNotNull())
         .withColumns({"alertname": F.lit(rule.name), "severity": F.lit(rule.severity)})
     )
 
 
-def data_gaps(df: DataFrame, limit_seconds: int = 300, time: str = "time") -> DataFrame:
-    """Silences of the data: pending once over the limit, firing after the hold time."""
+def data_gaps(df: DataFrame, limit_seconds: int = 300, time: str = "time", as_of: Column | None = None) -> DataFrame:
+    """Silences of the data: pending once over the limit, firing after the hold time.
+
+    With ``as_of`` the silence that goes on at that instant is one of them, without ``resolved_at``,
+    and its length is what it has reached.
+    """
     rule = RULES["SeismicDataPipelineDown"]
     start, gap = F.col("gap_start"), F.col("gap_seconds")
     fires = gap >= limit_seconds + rule.hold_seconds
-    return buckets.silences(df, limit_seconds, time).select(
+    return buckets.silences(df, limit_seconds, time, as_of).select(
         F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),
         times.shift(start, limit_seconds).alias("pending_at"),
         F.when(fires, times.shift(start, limit_seconds + rule.hold_seconds)).alias("firing_at"),
-        F.col("gap_end").alias("resolved_at"), "gap_seconds",
+        (F.col("gap_end") if as_of is None else F.when(~F.col("open"), F.col("gap_end"))).alias("resolved_at"), "gap_seconds",
         describe(rule, times.humanize_seconds(gap), numeric=False).alias("description"),
     )
 

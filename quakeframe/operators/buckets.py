@@ -84,14 +84,18 @@ def islands(df: DataFrame, keys: Sequence[str], peak: str) -> DataFrame:
     return joined(joined(dated, [*keys, "day"]).drop("day"), keys)
 
 
-def silences(df: DataFrame, limit_seconds: int, time: str = "event_time") -> DataFrame:
+def silences(df: DataFrame, limit_seconds: int, time: str = "event_time", as_of: Column | None = None) -> DataFrame:
     """Gaps between neighbouring events that are longer than the limit.
 
+    With ``as_of`` events after it don't count, and the gap from the last event up to it is one more,
+    marked ``open``.
+
     No gap above the limit fits inside a bucket of that width, so first and last time per
     bucket are enough: the events themselves are never sorted. Buckets are compared within a day
     and days with each other, the latter being one row per day.
     """
     first, last = F.min("first").alias("first"), F.max("last").alias("last")
+    df = df if as_of is None else df.where(F.col(time) <= as_of)
     spans = df.groupBy(times.floor_to(F.col(time), limit_seconds).alias("bucket")).agg(
         F.min(time).alias("first"), F.max(time).alias("last")
     ).withColumn("day", F.to_date("bucket"))
@@ -102,6 +106,10 @@ def silences(df: DataFrame, limit_seconds: int, time: str = "event_time") -> Dat
     within = gaps(spans, Window.partitionBy("day").orderBy("bucket"))
     # One row per day of data, whatever the number of events.
     across = gaps(spans.groupBy("day").agg(first, last), Window.orderBy("day"))
-    return within.unionByName(across).withColumn(
+    found = within.unionByName(across)
+    if as_of is not None:
+        running = spans.agg(F.max("last").alias("gap_start")).select("gap_start", as_of.alias("gap_end"), F.lit(True).alias("open"))
+        found = found.withColumn("open", F.lit(False)).unionByName(running)
+    return found.withColumn(
         "gap_seconds", times.seconds(F.col("gap_start"), F.col("gap_end"))
     ).where(F.col("gap_seconds") > limit_seconds)

@@ -810,6 +810,23 @@ register("alert_data_gap", o.sql(
     over(stream_points, alerts.data_gaps))
 
 
+# In the middle of the data, between two instants of the grid; runs that hold there are open.
+_NOON = "2024-01-15 12:00:02"
+register("alert_open_runs", o.sql(
+    f"""SELECT region, pending_at, firing_at, CASE WHEN resolved_at <= TIMESTAMP '{_NOON}' THEN resolved_at END AS resolved_at, ticks, peak
+    FROM ({o.runs(f"SELECT * FROM ({o.count_ticks('stream_points', 1800, 2)}) WHERE tick <= TIMESTAMP '{_NOON}'", "region", 900)})""",
+    "stream_points"))(over(stream_points, lambda df: alerts.sustained(
+        metrics.count_timeline(df, lookback_seconds=1800, at_least=2), ["region"], 900, as_of=F.lit(_NOON).cast("timestamp"))))
+_GAP_ENDS = "(SELECT max(time) + INTERVAL 10 MINUTE FROM stream_points)"
+register("alert_open_silence", o.sql(
+    f"""SELECT gap_start + INTERVAL 300 SECOND AS pending_at, gap_end AS resolved_at,
+      CASE WHEN gap_seconds >= 420 THEN gap_start + INTERVAL 420 SECOND END AS firing_at, gap_seconds
+    FROM (SELECT gap_start, gap_end, (epoch_us(coalesce(gap_end, {_GAP_ENDS})) - epoch_us(gap_start)) / 1e6 AS gap_seconds
+      FROM (SELECT time AS gap_start, lead(time) OVER (ORDER BY time) AS gap_end FROM stream_points)) WHERE gap_seconds > 300""",
+    "stream_points"))(over(stream_points, lambda df: alerts.data_gaps(
+        df, as_of=df.agg(F.max("time") + F.expr("interval 10 minutes")).scalar()).select("pending_at", "resolved_at", "firing_at", "gap_seconds")))
+
+
 def all_alerts(spark, sf):
     """Alerts of four rules, with the labels all of them have."""
     columns = ["alertname", "severity", "region", "pending_at", "firing_at", "resolved_at", "peak"]
