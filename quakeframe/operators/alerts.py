@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.functions import times
@@ -20,6 +21,8 @@ class Rule:
     hold_seconds: int
     summary: str
     description: str  # with {value}, {region}, {depth_bin} as placeholders
+    action: str | None = None
+    research_note: str | None = None  # with {region}
 
 
 # Names, severities, hold times and texts of the rules.
@@ -27,17 +30,23 @@ RULES = {
     r.name: r
     for r in (
         Rule("HighMagnitudeEarthquake", "critical", 0, "HIGH MAGNITUDE EARTHQUAKE DETECTED",
-             "Earthquake with magnitude {value} detected in {region} (depth: {depth_bin})"),
+             "Earthquake with magnitude {value} detected in {region} (depth: {depth_bin})",
+             action="IMMEDIATE RESPONSE REQUIRED - Emergency protocols activated"),
         Rule("CriticalMagnitudeEarthquake", "critical", 0, "CRITICAL MAGNITUDE EARTHQUAKE",
-             "MAJOR earthquake with magnitude {value} in {region} - CATASTROPHIC EVENT"),
+             "MAJOR earthquake with magnitude {value} in {region} - CATASTROPHIC EVENT",
+             action="HIGHEST PRIORITY - Full emergency response required"),
         Rule("EarthquakeSwarmDetected", "warning", 120, "Earthquake swarm detected",
-             "{value} earthquakes detected in 5 minutes in {region}"),
+             "{value} earthquakes detected in 5 minutes in {region}",
+             research_note="Potential aftershock sequence, foreshocks, or volcanic activity"),
         Rule("EarthquakeSequenceActive", "warning", 60, "Active earthquake sequence detected",
-             "Rapid sequence of earthquakes detected in {region} - monitoring for escalation"),
+             "Rapid sequence of earthquakes detected in {region} - monitoring for escalation",
+             research_note="Sequence detection algorithm triggered - {region} showing unusual activity"),
         Rule("RegionalSeismicActivity", "warning", 600, "Elevated regional seismic activity",
-             "{value} earthquakes detected in last hour in {region}"),
+             "{value} earthquakes detected in last hour in {region}",
+             research_note="Regional activity above normal threshold"),
         Rule("SeismicDataPipelineDown", "critical", 120, "Seismic data pipeline failure",
-             "No seismic data updates received for {value}"),
+             "No seismic data updates received for {value}",
+             action="Check streaming pipeline, Kafka, and InfluxDB connectivity"),
     )
 }
 STEP_SECONDS = 15
@@ -49,6 +58,7 @@ ROUTES = [
     ({"alertname": "EarthquakeSwarm"}, 30, 7200),
 ]
 DEFAULT_ROUTE = (10, 3600)
+GROUP_INTERVAL = 10  # fixed value: seconds between times to send for one group
 
 
 # --- rules ------------------------------------------------------------------------------------
@@ -136,6 +146,29 @@ def describe(
     return F.concat(*parts, F.lit(rest))
 
 
+def annotations(alerts: DataFrame, value: str = "peak", rules: dict[str, Rule] = RULES) -> DataFrame:
+    """Adds what a notification says: ``summary, description, action, research_note``, by ``alertname``.
+
+    The region is a column already. Labels that an alert lacks leave an empty text.
+    """
+    missing = [F.lit(None).cast("string").alias(c) for c in ("region", "depth_bin") if c not in alerts.columns]
+    out = alerts.select("*", *missing)
+    texts = {
+        "summary": lambda r: F.lit(r.summary), "description": lambda r: describe(r, F.col(value)),
+        "action": lambda r: F.lit(r.action),
+        "research_note": lambda r: F.lit(None) if r.research_note is None else F.concat(*[
+            F.coalesce(F.col("region"), F.lit("")) if part == "{region}" else F.lit(part)
+            for part in re.split(r"(\{region\})", r.research_note)]),
+    }
+    columns = {}
+    for name, text in texts.items():
+        column = F.lit(None).cast("string")
+        for rule in rules.values():
+            column = F.when(F.col("alertname") == rule.name, text(rule)).otherwise(column)
+        columns[name] = column
+    return out.withColumns(columns).drop(*[c for c in ("region", "depth_bin") if c not in alerts.columns])
+
+
 # --- notifications ----------------------------------------------------------------------------
 
 def group_alerts(alerts: DataFrame, by: Sequence[str] = ("alertname", "region")) -> DataFrame:
@@ -160,31 +193,101 @@ def route(alerts: DataFrame, routes=ROUTES, default: tuple[int, int] = DEFAULT_R
     return alerts.withColumns({"route": number, "group_wait": wait, "repeat_interval": repeat})
 
 
+_DAY = 86_400_000_000
+
+
+def _by_day(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Spells ``[start, end)`` cut at midnight, with their ``day``, all in microseconds."""
+    low, high = F.unix_micros(start), F.unix_micros(end)
+    days = F.sequence(low - F.pmod(low, F.lit(_DAY)), high - 1 - F.pmod(high - 1, F.lit(_DAY)), F.lit(_DAY))
+    cut = df.where(F.col(start) < F.col(end)).withColumns({"_low": low, "_high": high}).withColumn("day", F.explode(days))
+    return cut.withColumns({"_low": F.greatest("_low", "day"), "_high": F.least("_high", F.col("day") + _DAY)})
+
+
 def inhibit(
-    targets: DataFrame, sources: DataFrame, equal: Sequence[str] = ("alertname", "region"), at: str = "tick",
+    targets: DataFrame, sources: DataFrame, equal: Sequence[str] = ("alertname", "region"),
+    start: str = "firing_at", end: str = "resolved_at",
 ) -> DataFrame:
-    """Targets without a source of the same labels firing at the same instant.
+    """The parts ``[part_start, part_end)`` of targets in which no source of the same labels fires.
 
-    Both sides are one row per alert and instant; the sources are made distinct, so a label that
-    fires in many forms does not multiply anything.
+    Spells are cut at midnight and meet by labels and day. Of the sources that overlap a target, in
+    order, the parts before each and behind the last are left; no row stands for an instant. A
+    target is told from others by all of its columns.
     """
-    return targets.join(sources.select(*equal, at).distinct(), [*equal, at], "left_anti")
-
-
-def firing_ticks(alerts: DataFrame, step_seconds: int = STEP_SECONDS) -> DataFrame:
-    """Alerts as one row per instant at which they fire."""
-    last = times.shift(F.col("resolved_at"), -step_seconds)
-    instants = F.sequence("firing_at", last, F.make_dt_interval(secs=F.lit(step_seconds)))
-    return alerts.where(F.col("firing_at").isNotNull()).withColumn("tick", F.explode(instants))
+    columns = targets.columns
+    t = _by_day(targets, start, end).alias("t")
+    s = _by_day(sources, start, end).select(*equal, "day", F.col("_low").alias("s_low"), F.col("_high").alias("s_high")).alias("s")
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in equal]
+    meets = (F.col("t.day") == F.col("s.day")) & (F.col("s_low") < F.col("t._high")) & (F.col("s_high") > F.col("t._low"))
+    for test in same:
+        meets = meets & test
+    met = t.join(s, meets, "left").select(*[F.col(f"t.{c}") for c in columns], "t.day", "t._low", "t._high", "s_low", "s_high")
+    key = [*columns, "day", "_low", "_high"]
+    reached = F.max("s_high").over(Window.partitionBy(*key).orderBy("s_low", "s_high").rowsBetween(Window.unboundedPreceding, -1))
+    before = met.withColumn("part_start", F.greatest("_low", F.coalesce(reached, "_low"))).withColumn("part_end", F.col("s_low"))
+    behind = met.groupBy(*key).agg(F.max("s_high").alias("part_start")).withColumns({
+        "part_start": F.greatest("_low", F.coalesce("part_start", "_low")), "part_end": F.col("_high")})
+    parts = before.select(*columns, "part_start", "part_end").unionByName(behind.select(*columns, "part_start", "part_end"))
+    return parts.where("part_start < part_end").withColumns({
+        "part_start": F.timestamp_micros("part_start"), "part_end": F.timestamp_micros("part_end")})
+
+
+def part_ticks(parts: DataFrame, step_seconds: int = STEP_SECONDS) -> DataFrame:
+    """The instants of parts, which end at midnight at the latest."""
+    last = times.shift(F.col("part_end"), -step_seconds)
+    return parts.withColumn("tick", F.explode(F.sequence("part_start", last, F.make_dt_interval(secs=F.lit(step_seconds)))))
+
+
+def repeat_suppression(
+    parts: DataFrame, keys: Sequence[str], repeat_seconds: Column | int, step_seconds: Column | int = STEP_SECONDS,
+    first: Column | None = None,
+) -> DataFrame:
+    """Notifications that are sent: in each repeat interval from ``first`` (by default ``firing_at``) on
+    the earliest instant of the grid of steps that lies in a part.
 
+    An interval's candidates are one for each part that reaches into it, found from the bounds.
+    """
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    micros = parts.withColumns({
+        "_first": F.unix_micros(F.col("firing_at") if first is None else first),
+        "_every": as_column(repeat_seconds).cast("bigint") * 1_000_000, "_step": as_column(step_seconds).cast("bigint") * 1_000_000,
+        "_low": F.unix_micros("part_start"), "_high": F.unix_micros("part_end"),
+    }).withColumn("_low", F.greatest("_low", "_first")).where("_low < _high")
+    number = lambda at: F.floor((at - F.col("_first")) / F.col("_every")).cast("bigint")
+    each = micros.withColumn("repeat", F.explode(F.sequence(number(F.col("_low")), number(F.col("_high") - 1))))
+    begin = F.greatest(F.col("_low"), F.col("_first") + F.col("repeat") * F.col("_every"))
+    sent = F.col("_first") + F.ceil((begin - F.col("_first")) / F.col("_step")).cast("bigint") * F.col("_step")
+    inside = (F.col("_sent") < F.col("_high")) & (F.col("_sent") < F.col("_first") + (F.col("repeat") + 1) * F.col("_every"))
+    return each.withColumn("_sent", sent).where(inside).groupBy(*keys, "firing_at", "repeat").agg(
+        F.timestamp_micros(F.min("_sent")).alias("sent_at"))
+
+
+def notifications(
+    alerts: DataFrame, sources: DataFrame, as_of: Column, equal: Sequence[str] = ("alertname", "region"), routes=ROUTES,
+    default: tuple[int, int] = DEFAULT_ROUTE, group_interval: int = GROUP_INTERVAL, labels: Sequence[str] = ("alertname", "region"),
+) -> DataFrame:
+    """Everything that is sent by ``as_of`` for alerts: ``labels, severity, firing_at, status, repeat, sent_at``.
 
-def repeat_suppression(ticks: DataFrame, keys: Sequence[str], repeat_seconds: Column | int) -> DataFrame:
-    """Notifications that are sent: the first firing instant of each repeat interval."""
-    every = repeat_seconds if isinstance(repeat_seconds, Column) else F.lit(repeat_seconds)
-    number = F.floor(times.seconds(F.col("firing_at"), F.col("tick")) / every).cast("bigint")
-    return ticks.withColumn("repeat", number).groupBy(*keys, "firing_at", "repeat").agg(
-        F.min("tick").alias("sent_at")
-    )
+    An alert's first notification waits for the routed ``group_wait``. From then on there is a time to
+    send every ``group_interval``; a firing alert is sent again at the first of these at which the
+    routed repeat interval has passed, unless a source with equal labels fires then, and the end of
+    an alert of which something was sent is told at the first one at or after it.
+    """
+    until = F.timestamp_micros(F.unix_micros(as_of) + 1)
+    keys = [*labels, "severity", "group_wait", "repeat_interval", "resolved_at"]
+    routed = route(alerts, routes, default).select(*keys, "firing_at", F.least(F.coalesce("resolved_at", until), until).alias("_until"))
+    ended = lambda df: df.withColumn("_until", F.least(F.coalesce("resolved_at", until), until))
+    parts = inhibit(routed, ended(sources), equal, end="_until")
+    first = F.timestamp_micros(F.unix_micros("firing_at") + F.col("group_wait").cast("bigint") * 1_000_000)
+    every = F.ceil(F.col("repeat_interval") / group_interval) * group_interval
+    sent = repeat_suppression(parts, keys, every, group_interval, first)
+    last = sent.groupBy(*keys, "firing_at").agg(F.max("repeat").alias("repeat")).where(F.col("resolved_at") <= as_of)
+    start, step = F.unix_micros(first), F.lit(group_interval * 1_000_000)
+    told = start + F.greatest(F.ceil((F.unix_micros("resolved_at") - start) / step).cast("bigint"), F.lit(0)) * step
+    resolved = last.withColumn("sent_at", F.timestamp_micros(told)).where(F.col("sent_at") <= as_of)
+    columns = [*labels, "severity", "firing_at", "status", "repeat", "sent_at"]
+    return sent.withColumn("status", F.lit("firing")).select(*columns).unionByName(
+        resolved.withColumn("status", F.lit("resolved")).select(*columns))
 
 
 # --- received payloads ------------------------------------------------------------------------

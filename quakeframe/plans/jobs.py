@@ -15,9 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from quakeframe.plans.alerting import run_alerts
 from quakeframe.plans.batch import run_batch
 from quakeframe.session import SETTINGS, prepare
-from quakeframe.sources.catalogue import MIN_MAGNITUDE, time_range
+from quakeframe.sources.catalogue import MIN_MAGNITUDE, _instant, time_range
 from quakeframe.sources.live import read_kafka, read_text_stream
 from quakeframe.streaming.live import WATERMARK, correct, run_live
 
@@ -32,6 +33,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--end", default=env("END_DATE"))
     batch.add_argument("--last-seconds", type=int, default=env("DATA_DELTA_SECONDS"))
     batch.add_argument("--preview", type=int, default=0)
+    jobs.add_parser("alerts").add_argument("--as-of", help="default: now")
     jobs.add_parser("correct").add_argument("--durations", choices=["intended", "demo"], default="intended")
     live = jobs.add_parser("live")
     live.add_argument("--kafka", default=env("KAFKA_BOOTSTRAP_SERVERS"))
@@ -66,6 +68,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         start, end = time_range(options.start, options.end, options.last_seconds) if bounded else (None, None)
         run_batch(spark, options.csv, options.out, start, end, options.min_magnitude, options.preview)
         return
+    if options.job == "alerts":
+        run_alerts(spark, options.out, _instant(options.as_of) if options.as_of else None)
+        return
     if options.job == "correct":
         correct(spark, options.out, options.durations)
         return

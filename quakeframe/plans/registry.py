@@ -872,9 +872,8 @@ _TICKS_SQL = """SELECT {columns}, unnest(generate_series(firing_at, resolved_at
 
 
 def _uninhibited(spark, sf):
-    """Activity warnings at the instants at which no critical alert fires in their region."""
-    targets = alerts.firing_ticks(activity_alerts(spark, sf))
-    return alerts.inhibit(targets, alerts.firing_ticks(high_alerts(spark, sf)), ["region"])
+    """Activity warnings while no critical alert fires in their region."""
+    return alerts.inhibit(activity_alerts(spark, sf), high_alerts(spark, sf), ["region"])
 
 
 _INHIBITION = """SELECT alertname, severity, region, firing_at, tick FROM targets t
@@ -885,13 +884,45 @@ _INHIBITION_TABLES = {
     "sources": _TICKS_SQL.format(columns="region", table="high"),
 }
 register("alert_inhibition", o.sql(_INHIBITION, "stream_points", **_INHIBITION_TABLES))(
-    over(_uninhibited, lambda df: df.select("alertname", "severity", "region", "firing_at", "tick")))
+    over(_uninhibited, lambda df: alerts.part_ticks(df).select("alertname", "severity", "region", "firing_at", "tick")))
 register("alert_repeat_suppression", o.sql(
     """SELECT alertname, region, firing_at, CAST(floor((epoch_us(tick) - epoch_us(firing_at)) / 9e8) AS BIGINT) AS repeat,
       min(tick) AS sent_at FROM kept GROUP BY ALL""", "stream_points", **_INHIBITION_TABLES, kept=_INHIBITION))(
     over(_uninhibited, lambda df: alerts.repeat_suppression(df, ["alertname", "region"], 900)))
 
 
+_NOTES = {
+    "action": "CASE alertname WHEN 'HighMagnitudeEarthquake' THEN 'IMMEDIATE RESPONSE REQUIRED - Emergency protocols activated' "
+              "WHEN 'CriticalMagnitudeEarthquake' THEN 'HIGHEST PRIORITY - Full emergency response required' END",
+    "research_note": "CASE alertname WHEN 'RegionalSeismicActivity' THEN 'Regional activity above normal threshold' "
+                     "WHEN 'EarthquakeSequenceActive' THEN 'Sequence detection algorithm triggered - ' || region || ' showing unusual activity' END",
+}
+register("alert_notes", o.sql(
+    f"SELECT alertname, region, firing_at, {_NOTES['action']} AS action, {_NOTES['research_note']} AS research_note FROM alerts",
+    "stream_points", **ALERTS_SQL))(over(all_alerts, lambda df: alerts.annotations(df).select(
+        "alertname", "region", "firing_at", "action", "research_note")))
+
+# Times to send lie every ten seconds from the first one, so a repeat waits for the next of them.
+_SENT_COLUMNS = "alertname, region, severity, group_wait, repeat_interval, firing_at, resolved_at"
+_SENT_TABLES = {
+    **ALERTS_SQL, "critical_ones": "SELECT * FROM alerts WHERE severity = 'critical'",
+    "routed": f"""SELECT *, {_route(*[w for _, w, _ in _ROUTES], alerts.DEFAULT_ROUTE[0])} AS group_wait,
+      {_route(*[r for _, _, r in _ROUTES], alerts.DEFAULT_ROUTE[1])} AS repeat_interval FROM alerts WHERE severity = 'warning'""",
+    "times": f"""SELECT DISTINCT {_SENT_COLUMNS}, firing_at + INTERVAL 1 SECOND * group_wait AS first,
+      unnest(generate_series(firing_at + INTERVAL 1 SECOND * group_wait, resolved_at + INTERVAL 10 SECOND, INTERVAL 10 SECOND)) AS tick FROM routed""",
+    "sent": f"""SELECT {_SENT_COLUMNS}, CAST(floor((epoch_us(tick) - epoch_us(first)) / (ceil(repeat_interval / 10) * 1e7)) AS BIGINT) AS repeat,
+      min(tick) AS sent_at FROM times t WHERE tick < resolved_at AND NOT EXISTS (
+        SELECT 1 FROM critical_ones s WHERE s.region = t.region AND s.firing_at <= tick AND tick < s.resolved_at) GROUP BY ALL""",
+}
+register("notifications_sent", o.sql(
+    f"""SELECT alertname, region, severity, firing_at, 'firing' AS status, repeat, sent_at FROM sent
+    UNION ALL SELECT s.alertname, s.region, s.severity, s.firing_at, 'resolved', max(s.repeat),
+      (SELECT min(tick) FROM times t WHERE t.alertname = s.alertname AND t.region = s.region AND t.firing_at = s.firing_at AND t.tick >= s.resolved_at)
+    FROM sent s GROUP BY s.alertname, s.region, s.severity, s.firing_at, s.resolved_at""", "stream_points", **_SENT_TABLES))(
+    over(all_alerts, lambda df: alerts.notifications(
+        df.where("severity = 'warning'"), df.where("severity = 'critical'"), F.lit("2034-01-01").cast("timestamp"), ["region"], _ROUTES)))
+
+
 def _number_text(x: str) -> str:
     return f"CASE WHEN {x} % 1 = 0 THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END"
 

@@ -103,11 +103,11 @@ def test_inhibition_and_repeats(spark):
         return run.withColumns({"alertname": F.lit(name), "severity": F.lit(severity)})
 
     warning, critical = alert("A", "warning", 0, 120), alert("B", "critical", 30, 60)
-    ticks, sources = alerts.firing_ticks(warning), alerts.firing_ticks(critical)
-    assert alerts.inhibit(ticks, sources).count() == 8  # other names never inhibit
-    kept = alerts.inhibit(ticks, sources, ["region"])
+    ticks = alerts.inhibit(warning, critical)
+    assert alerts.part_ticks(ticks).count() == 8  # other names never inhibit
+    kept = alerts.inhibit(warning, critical, ["region"])
     at = lambda df, c: sorted((r[c] - T0).total_seconds() for r in df.collect())
-    assert at(kept, "tick") == [0, 15, 60, 75, 90, 105]
+    assert at(alerts.part_ticks(kept), "tick") == [0, 15, 60, 75, 90, 105]
     assert at(alerts.repeat_suppression(ticks, ["alertname"], 45), "sent_at") == [0, 45, 90]
     assert at(alerts.repeat_suppression(kept, ["alertname"], 30), "sent_at") == [0, 60, 90]
 

@@ -4,8 +4,9 @@ import json
 
 from pyspark.sql import functions as F
 
+from quakeframe.operators import statistics
 from quakeframe.plans import jobs
-from quakeframe.plans.events import quakes
+from quakeframe.plans.events import live, quakes
 from quakeframe.schema import CATALOGUE_FIELDS
 from quakeframe.sources import tables
 
@@ -38,3 +39,21 @@ def test_live_command(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/silver").count() == 5
     # The watermark stands at 03:30, so three of the minutes are closed.
     assert spark.read.parquet(f"{tmp_path}/out/hourly_global_stats").count() == 3
+
+
+def test_alert_and_correction_commands(spark, tmp_path):
+    live(spark, SF).write.parquet(f"{tmp_path}/silver")
+    statistics.hourly_global(live(spark, SF).where("cast(id as int) % 9 <> 0")).write.parquet(f"{tmp_path}/hourly_global_stats")
+    jobs.main(["alerts", "--out", str(tmp_path), "--as-of", "2024-02-15"], spark)
+    found = spark.read.parquet(f"{tmp_path}/alerts")
+    strong = found.where("alertname = 'HighMagnitudeEarthquake'")
+    assert strong.count() > 0 and strong.where("action is null or resolved_at is null").count() == 0
+    open_ones = found.where("resolved_at is null").collect()
+    assert [r.alertname for r in open_ones] == ["SeismicDataPipelineDown"]  # nothing has come for two weeks
+    sent = spark.read.parquet(f"{tmp_path}/notifications")
+    told = {r.status: r.n for r in sent.where("alertname = 'HighMagnitudeEarthquake'").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert told["resolved"] == strong.count() <= told["firing"]
+    jobs.main(["correct", "--out", str(tmp_path)], spark)
+    fixed = spark.read.parquet(f"{tmp_path}/corrected/hourly_global_stats")
+    whole = statistics.hourly_global(live(spark, SF))
+    assert fixed.count() > 0 and fixed.join(whole, ["window_start", "eq_count"], "left_anti").count() == 0
