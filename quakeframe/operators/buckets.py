@@ -34,12 +34,12 @@ def bucket_count(df: DataFrame, keys: Sequence[str], every: str = "1 minute", ti
     )
 
 
-_STEPS = {"day": "interval 1 day", "month": "interval 1 month", "year": "interval 12 month"}
+STEPS = {"day": "interval 1 day", "month": "interval 1 month", "year": "interval 12 month"}
 
 
 def spine(spark: SparkSession, start: Column, stop: Column, unit: str = "day") -> DataFrame:
     """One row per calendar unit between two instants, from literals or scalar subqueries."""
-    units = F.sequence(F.date_trunc(unit, start), F.date_trunc(unit, stop), F.expr(_STEPS[unit]))
+    units = F.sequence(F.date_trunc(unit, start), F.date_trunc(unit, stop), F.expr(STEPS[unit]))
     return spark.range(1).select(F.explode(units).alias("bucket"))
 
 
@@ -57,7 +57,7 @@ def calendar_count(
     )
     if spine is None:
         spine = counts.groupBy(*keys).agg(F.min("bucket").alias("low"), F.max("bucket").alias("high")).select(
-            *keys, F.explode(F.sequence("low", "high", F.expr(_STEPS[unit]))).alias("bucket")
+            *keys, F.explode(F.sequence("low", "high", F.expr(STEPS[unit]))).alias("bucket")
         )
     return spine.join(counts, [*keys, "bucket"], "left").select(
         *keys, "bucket", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")

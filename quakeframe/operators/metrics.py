@@ -75,37 +75,35 @@ def freshness(points: DataFrame, as_of: Column) -> DataFrame:
     return newest.withColumn("age_seconds", times.seconds(F.col("last_update"), as_of))
 
 
-_SNAPSHOT = {
-    "earthquake_magnitude": ("magnitude", "depth_bin"),
-    "earthquake_count_5min": ("eq_count", None),
-    "earthquake_count_hourly": ("eq_count", None),
-    "earthquake_swarm_detected": ("swarm_detected", None),
-    "earthquake_sequence_count": ("sequence_count", None),
-    "max_earthquake_magnitude_24h": ("max_magnitude", None),
-}
+def _gauges(df: DataFrame, *gauges: tuple[str, Column, Column | None]) -> DataFrame:
+    """Rows (metric, region, depth_bin, value) from the columns of one row per region; null values are left out."""
+    rows = [
+        F.struct(F.lit(metric).alias("metric"), (F.lit(None).cast("string") if label is None else label).alias("depth_bin"),
+                 value.cast("double").alias("value"))
+        for metric, value, label in gauges
+    ]
+    return df.select("region", F.inline(F.array(*rows))).where("value is not null").select("metric", "region", "depth_bin", "value")
 
 
 def snapshot(points: DataFrame, hourly: DataFrame, sequences: DataFrame, as_of: Column) -> DataFrame:
-    """All gauges at one instant as (metric, region, label, value). Old labels never persist."""
-    count, flags = recent_count(points, as_of), swarm_flag(sequences, as_of)
-    tables = {
-        "earthquake_magnitude": recent_strongest(points, as_of),
-        "earthquake_count_5min": count,
-        "earthquake_count_hourly": latest_hourly(hourly, as_of),
-        "earthquake_swarm_detected": flags,
-        "earthquake_sequence_count": flags,
-        "max_earthquake_magnitude_24h": max_magnitude(points, as_of),
-    }
-    out = None
-    for metric, table in tables.items():
-        value, label = _SNAPSHOT[metric]
-        rows = table.select(
-            F.lit(metric).alias("metric"), "region",
-            (F.col(label) if label else F.lit(None).cast("string")).alias("depth_bin"),
-            F.col(value).cast("double").alias("value"),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """All gauges at one instant as (metric, region, label, value). Old labels never persist.
+
+    Each table is read once: the gauges of five minutes and of a day are parts of one aggregation.
+    """
+    recent = F.col("time") >= as_of - F.make_dt_interval(mins=F.lit(5))
+    by_region = since(points, as_of, hours=24).groupBy("region").agg(
+        F.max(F.when(recent, F.struct("magnitude", "time", "event_id", "depth_bin"))).alias("best"),
+        F.count_if(recent).alias("n"), F.max("magnitude").alias("max_magnitude"),
+    )
+    tables = [
+        _gauges(by_region, ("earthquake_magnitude", F.col("best.magnitude"), F.col("best.depth_bin")),
+                ("earthquake_count_5min", F.when(F.col("n") > 0, F.col("n")), None),
+                ("max_earthquake_magnitude_24h", F.col("max_magnitude"), None)),
+        _gauges(latest_hourly(hourly, as_of), ("earthquake_count_hourly", F.col("eq_count"), None)),
+        _gauges(swarm_flag(sequences, as_of), ("earthquake_swarm_detected", F.col("swarm_detected"), None),
+                ("earthquake_sequence_count", F.col("sequence_count"), None)),
+    ]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
 # --- timelines --------------------------------------------------------------------------------

@@ -156,29 +156,40 @@ def ingestion_rate(points: DataFrame, as_of=None) -> DataFrame:
     return rows.select("time", "source", (F.col("n") / 60.0).alias("rate"))
 
 
-def liveness(points: DataFrame, panel: str, as_of: Column, unit: str = "day", months: int = 0, days: int = 0) -> DataFrame:
-    """A flag per calendar unit of the range: 1 where points arrived, 0 where none did."""
-    start = as_of - F.make_ym_interval(months=F.lit(months)) if months else _before(as_of, days=days)
-    rows = points.where((F.col("time") >= start) & (F.col("time") <= as_of))
-    filled = buckets.calendar_count(
-        rows, [], unit, buckets.spine(points.sparkSession, start, as_of, unit)
-    )
-    flag = F.when(F.col("n") > 0, 1).otherwise(0)
-    return filled.select(
-        F.lit(panel).alias("panel"), "bucket", flag.alias("flag"), bins.flag_text(flag, panel).alias("status")
-    )
+# Panel, source of its points (all if none), calendar unit and range.
+LIVENESS = [
+    ("streaming", "stream", "day", {"days": 1}), ("batch", "batch", "year", {"months": 12}),
+    ("producer", None, "day", {"days": 1}), ("store", None, "day", {"days": 1}),
+]
 
 
-def source_liveness(points: DataFrame, as_of: Column) -> DataFrame:
-    """The four status panels: live path, batch path, producer and store."""
-    live, batch = points.where("source = 'stream'"), points.where("source = 'batch'")
-    panels = [
-        liveness(live, "streaming", as_of, days=1),
-        liveness(batch, "batch", as_of, "year", months=12),
-        liveness(points, "producer", as_of, days=1),
-        liveness(points, "store", as_of, days=1),
-    ]
-    return reduce(DataFrame.unionByName, panels)
+def source_liveness(points: DataFrame, as_of: Column, panels=LIVENESS) -> DataFrame:
+    """The status panels: a flag per calendar unit of a panel's range, 1 where points arrived, 0 where none did.
+
+    The points are read once. Each names the panels and units that it counts for, and what is left
+    after counting, a row per panel and unit, is joined to the units of all panels.
+    """
+    time, hits, units, starts = F.col("time"), [], [], []
+    back = lambda end, months=None, **rest: (
+        end - F.make_ym_interval(months=F.lit(months)) if months else _before(end, **rest))
+    for panel, source, unit, interval in panels:
+        start = back(as_of, **interval)
+        hit = (time >= start) if source is None else (time >= start) & (F.col("source") == source)
+        hits.append(F.when(hit, F.struct(F.lit(panel).alias("panel"), F.date_trunc(unit, time).alias("bucket"))))
+        now = F.col("now")
+        days = F.sequence(F.date_trunc(unit, back(now, **interval)), F.date_trunc(unit, now), F.expr(buckets.STEPS[unit]))
+        named = F.array_repeat(F.lit(panel), F.size(days))
+        units.append(F.arrays_zip(named.alias("panel"), days.alias("bucket")))
+        starts.append(start)
+    recent = points.where((time >= F.least(*starts)) & (time <= as_of))
+    hit = recent.select(F.explode(F.array(*hits)).alias("hit")).where("hit is not null").select("hit.*")
+    counts = hit.groupBy("panel", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    spine = points.sparkSession.range(1).select(as_of.alias("now")).select(F.inline(F.concat(*units)))
+    flag = F.when(F.col("n") > 0, 1).otherwise(0)
+    status = reduce(
+        lambda text, panel: F.when(F.col("panel") == panel[0], bins.flag_text(flag, panel[0])).otherwise(text),
+        panels, F.lit(None).cast("string"))
+    return spine.join(counts, ["panel", "bucket"], "left").select("panel", "bucket", flag.alias("flag"), status.alias("status"))
 
 
 def series_names(df: DataFrame) -> DataFrame:

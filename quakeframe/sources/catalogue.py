@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,11 +48,16 @@ def has_date(df: DataFrame) -> bool:
 def as_of_column(df: DataFrame, time: str = "event_time") -> Column:
     """The latest time in a table, as a scalar subquery.
 
-    It aggregates map-side and is a literal for the scan that uses it. A table kept by date is
-    read only in its last folder.
+    It aggregates map-side and is a literal for the scan that uses it. Of a table kept by date only
+    the last folder is opened, which the listing of its files tells. Where rows were filtered out that
+    folder need not have any left, so there the last day is looked up among the rows.
     """
-    last = df.where(F.col("date") == df.agg(F.max("date")).scalar()) if has_date(df) else df
-    return last.agg(F.max(time)).scalar()
+    if not has_date(df):
+        return df.agg(F.max(time)).scalar()
+    days = re.findall(r"/date=(\d{4}-\d{2}-\d{2})/", "\n".join(df.inputFiles()))
+    whole = days and not re.search(r"Filter|Limit|Join|Aggregate|Sample", df._jdf.queryExecution().analyzed().toString())
+    last = F.lit(max(days)).cast("date") if whole else df.agg(F.max("date")).scalar()
+    return df.where(F.col("date") == last).agg(F.max(time)).scalar()
 
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)

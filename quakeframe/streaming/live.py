@@ -159,15 +159,17 @@ def corrected(
     The batch form of the statistic runs over the days that these windows touch, which prunes the
     table by date; the windows that no late hour lies in are left as they were written.
     """
-    size = statistics.WINDOWS[durations][_WINDOW_OF[name]][0]
+    size, *slides = statistics.WINDOWS[durations][_WINDOW_OF[name]]
+    slide = slides[0] if slides else size
     reach = F.expr(f"interval {size} seconds")
     days = late.select(F.explode(F.sequence(
         F.to_date(F.col("window_start") - reach), F.to_date(F.col("window_start") + reach + F.expr("interval 1 hour")))).alias("date")).distinct()
     rows = silver_rows.join(F.broadcast(days), "date", "left_semi")  # one row per day of the calendar
-    windows = STATISTICS[name](rows, durations).alias("w")
-    hour = F.broadcast(late.select(F.col("window_start").alias("hour"))).alias("h")  # one row per late hour
-    inside = F.expr("w.window_start < h.hour + interval 1 hour and w.window_end > h.hour")
-    return windows.join(hour, inside, "left_semi")
+    second = F.unix_seconds("window_start")
+    first = F.floor((second - size) / slide) * slide + slide  # the windows that overlap the hour, by their start
+    starts = late.select(F.explode(F.sequence(first.cast("bigint"), second + 3599, F.lit(slide).cast("bigint"))).alias("s"))
+    starts = starts.select(F.timestamp_seconds("s").alias("window_start")).distinct()
+    return STATISTICS[name](rows, durations).join(starts, "window_start", "left_semi")
 
 
 _WINDOW_OF = {

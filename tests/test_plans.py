@@ -11,7 +11,7 @@ from quakeframe.plans import events, registry
 from quakeframe.sources import tables
 
 SF = "/root/testdata/sf0.001"
-STREAMED = [n for n in registry.QUERIES if n.startswith("stream_replay")]
+STREAMED = [n for n in registry.QUERIES if n.startswith(("stream_replay", "live_late", "live_restart", "batch_range", "silver_revision"))]
 
 
 def plan(df):
@@ -86,6 +86,16 @@ def test_relative_ranges_prune_days(spark, tmp_path):
         points.event_points(events.live(spark, SF))).collect()
 
 
+def test_panels_and_gauges_read_a_table_once(spark):
+    from quakeframe.operators import panels
+
+    stored = points.event_points(events.live(spark, SF))
+    noon = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    counted = stored.selectExpr("*", "length(region) as eq_count", "1.0 as avg_mag", "1.0 as max_mag")
+    assert plan(panels.source_liveness(stored, noon)).count("FileScan") == 1
+    assert plan(metrics.snapshot(stored, counted, counted, noon)).count("FileScan") == 3
+
+
 def test_timelines_shuffle_three_times(spark, silver):
     stored = points.event_points(silver)
     rule = alerts.RULES["EarthquakeSwarmDetected"]
