@@ -11,6 +11,8 @@ import os
 import tempfile
 import time
 
+from pyspark.sql import functions as F
+
 from quakeframe.operators import alerts, clean, metrics, panels, points, statistics
 from quakeframe.plans import events
 from quakeframe.plans.registry import QUERIES
@@ -40,6 +42,13 @@ def main() -> None:
     silver = lambda: spark.read.parquet(f"{root}/silver")
     live = lambda: spark.read.parquet(f"{root}/live")
     stored = lambda: points.event_points(live())
+
+    def many() -> None:
+        """Each event a hundred times, spread over as many months: ten million rows at sf0.1."""
+        rows = live().withColumn("event_time", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(99)), lambda i: F.timestamp_micros(F.unix_micros("event_time") + i.cast("bigint") * 2_592_000_000_000))))
+        rows.select("event_time", "mag", "region").write.mode("overwrite").parquet(f"{root}/many")
+
     swarm = alerts.RULES["EarthquakeSwarmDetected"]
     timed = {
         "write_silver": write_silver,
@@ -60,6 +69,8 @@ def main() -> None:
         "metric_max_24h": lambda: consume(metrics.max_magnitude(stored())),
         "alert_swarm": lambda: consume(alerts.firing(metrics.count_timeline(stored(), at_least=2), swarm)),
         "alert_high_magnitude": lambda: consume(QUERIES["alert_high_magnitude"](spark, SF_DIR)),
+        "source_liveness": lambda: consume(QUERIES["source_liveness"](spark, SF_DIR)),
+        "metrics_snapshot": lambda: consume(QUERIES["metrics_snapshot"](spark, SF_DIR)),
         "alert_data_gap": lambda: consume(alerts.data_gaps(stored())),
         "stream_replay_rolling_24h": lambda: consume(QUERIES["stream_replay_rolling_24h"](spark, SF_DIR)),
         "stream_replay_dedupe": lambda: consume(QUERIES["stream_replay_dedupe"](spark, SF_DIR)),
@@ -72,6 +83,11 @@ def main() -> None:
             run()
             runs.append(time.perf_counter() - begin)
         seconds[name] = round(min(runs), 3)
+    many()
+    for name, panes in (("rolling_24h_panes_100x", True), ("rolling_24h_direct_100x", False)):
+        begin = time.perf_counter()
+        consume(statistics.rolling_24h(spark.read.parquet(f"{root}/many"), panes=panes))
+        seconds[name] = round(time.perf_counter() - begin, 3)
     events_read = events.read_events(spark, SF_DIR).count()
     print(json.dumps({
         "metric": "headline queries, total wall time", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -41,6 +41,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     live.add_argument("--folder", help="JSON lines in place of Kafka")
     live.add_argument("--checkpoints", help="default: a folder under --out")
     live.add_argument("--delay", default=WATERMARK, help="how long windows wait for late events")
+    live.add_argument("--arrival-for-time", action="store_true", help="for events without a readable time")
     live.add_argument("--retention", help="how long ids are remembered; default: for good")
     live.add_argument("--durations", choices=["intended", "demo"], default="intended")
     live.add_argument("--once", action="store_true", help="stop when the input is used up")
@@ -80,7 +81,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     )
     run_live(
         spark, messages, options.out, options.checkpoints, options.durations, options.min_magnitude, options.once,
-        options.delay, options.retention)
+        options.delay, options.retention, options.arrival_for_time)
     if not options.once:
         spark.streams.awaitAnyTermination()
 

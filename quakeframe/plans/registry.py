@@ -20,6 +20,7 @@ from quakeframe.session import work_dir
 from quakeframe.sources import catalogue as scans
 from quakeframe.sources.tables import delete, range_filter, read_points, write_by_date, write_csv
 from quakeframe.streaming import replay
+from quakeframe.streaming.live import event_or_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,6 +264,9 @@ def messages(spark, sf):
 
 _WHOLE = "latitude IS NOT NULL"
 _CUT_MAG = "CASE WHEN place IS NULL THEN 0.0 ELSE mag END"
+register("event_time_or_arrival", o.sql(
+    f"SELECT id, event_time FROM quakes WHERE {_WHOLE}"))(
+    over(messages, lambda df: event_or_arrival(clean.parse_live(df)).where("_corrupt is null").select("id", "event_time")))
 register("parse_json_events", o.sql(
     f"""SELECT id, CASE WHEN depth IS NOT NULL THEN event_time END AS event_time, latitude, longitude, depth,
     CAST({_CUT_MAG} AS DOUBLE) AS mag, magType, place FROM quakes WHERE {_WHOLE}"""))(
@@ -454,6 +458,15 @@ register("points_long_daily", o.sql(
         f"CAST({f} AS DOUBLE) AS value_num, CAST(NULL AS VARCHAR) AS value_str, time FROM daily"
         for f in ("eq_count", "avg_mag", "max_mag")), "catalogue", daily=DAILY_POINTS))(
     over(daily_points, lambda df: points.to_long(df, "daily_global_stats").select(*_LONG_COLUMNS)))
+_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
+register("points_long_stream", o.sql(
+    " UNION ALL ".join([
+        f"SELECT 'hourly_global_stats' AS measurement, 'region=global,source=stream' AS series, '{f}' AS field, {value}, min_event_time AS time FROM hours"
+        for f, value in [
+            *[(f, f"CAST({f} AS DOUBLE) AS value_num, CAST(NULL AS VARCHAR) AS value_str") for f in ("eq_count", "avg_mag", "max_mag")],
+            *[(f, f"CAST(NULL AS DOUBLE) AS value_num, {_ISO.format(f)} AS value_str") for f in ("min_event_time", "max_event_time")],
+        ]]), "live", hours=o.HOURLY))(
+    over(hourly_points, lambda df: points.to_long(df, "hourly_global_stats").select(*_LONG_COLUMNS)))
 register("points_pivot_by_time", o.sql(
     f"""SELECT {_SERIES} AS series, time, max(magnitude) AS magnitude, max(latitude) AS latitude,
     max(longitude) AS longitude, max(place) AS place FROM points GROUP BY 1, 2""", "points"))(

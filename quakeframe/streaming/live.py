@@ -61,17 +61,21 @@ def unique(df: DataFrame, retention: str | None = None, arrival: str = "timestam
 
 def silver(
     messages: DataFrame, min_magnitude: float = MIN_MAGNITUDE, delay: str = WATERMARK, retention: str | None = None,
+    arrival_for_time: bool = False,
 ) -> DataFrame:
     """Usable events, each once, late ones included. The watermark is set behind the deduplication,
-    for what follows in the same query; writing the table needs none."""
-    usable = clean.live_required(clean.parse_live(messages), min_magnitude)
+    for what follows in the same query; writing the table needs none. With ``arrival_for_time`` an
+    event whose time cannot be read gets that of its arrival instead of being a dead letter."""
+    parsed = clean.parse_live(messages)
+    usable = clean.live_required(event_or_arrival(parsed) if arrival_for_time else parsed, min_magnitude)
     rows = clean.enrich(unique(usable, retention), "live").select(*QUAKES.names)
     return rows if retention else rows.withWatermark("event_time", delay)
 
 
-def rejected(messages: DataFrame) -> DataFrame:
+def rejected(messages: DataFrame, arrival_for_time: bool = False) -> DataFrame:
     """Messages that cannot be used, with the reason and their text."""
     parsed = clean.parse_live(messages)
+    parsed = event_or_arrival(parsed) if arrival_for_time else parsed
     return clean.dead_letters(parsed, clean.live_reject_reason(parsed)).select("value", "reason", "timestamp")
 
 
@@ -199,7 +203,7 @@ def correct(spark: SparkSession, root: str, durations: str = "intended") -> None
 def run_live(
     spark: SparkSession, messages: DataFrame, root: str, checkpoints: str | None = None,
     durations: str = "intended", min_magnitude: float = MIN_MAGNITUDE, once: bool = False,
-    delay: str = WATERMARK, retention: str | None = None,
+    delay: str = WATERMARK, retention: str | None = None, arrival_for_time: bool = False,
 ) -> list[StreamingQuery]:
     """Starts the silver query, the dead letters, the raw points and all statistics.
 
@@ -221,9 +225,9 @@ def run_live(
             query.awaitTermination()
 
     silver_path = f"{root}/silver"
-    rows = silver(messages, min_magnitude, delay, retention)
+    rows = silver(messages, min_magnitude, delay, retention, arrival_for_time)
     launch(write_files(rows, silver_path, f"{checkpoints}/silver", "date", once))
-    launch(write_files(rejected(messages), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
+    launch(write_files(rejected(messages, arrival_for_time), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
     table = lambda: read_silver(spark, silver_path, delay)
     launch(write_log(points.event_points(table()), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
     for name in STATISTICS:
