@@ -75,6 +75,12 @@ def freshness(points: DataFrame, as_of: Column) -> DataFrame:
     return newest.withColumn("age_seconds", times.seconds(F.col("last_update"), as_of))
 
 
+_SNAPSHOT = (
+    "earthquake_magnitude", "earthquake_count_5min", "earthquake_count_hourly", "earthquake_swarm_detected",
+    "earthquake_sequence_count", "max_earthquake_magnitude_24h",
+)
+
+
 def _gauges(df: DataFrame, *gauges: tuple[str, Column, Column | None]) -> DataFrame:
     """Rows (metric, region, depth_bin, value) from the columns of one row per region; null values are left out."""
     rows = [
