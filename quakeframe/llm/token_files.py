@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
+import re
 import struct
 import uuid
 import zlib
@@ -36,6 +38,7 @@ SAMPLE_BYTES = 8 << 20  # and bytes of them at most
 DICTIONARY_BYTES = 32 << 10
 DOCS_PER_FILE = 50_000
 LEAST = -(1 << 63)
+WORDS, CHUNKS = 300_000, 200_000  # words and chunks that a worker remembers, in each of two generations
 END_ID = 1
 
 
@@ -47,21 +50,32 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.type = {2: "<u2", 4: "<u4"}[width]
-        self.chunks = Remembered(self._chunk, 150_000)
-        self.words = Remembered(self._word, 150_000)
-        pre = str(self.tokenizer.pre_tokenizer)
+        self.model = self.tokenizer.model
+        self.code = {2: "H", 4: "I"}[width]
+        self.chunks = Remembered(self._chunk, CHUNKS)
+        self.words = Remembered(self._word, WORDS)
+        spec = json.loads(self.tokenizer.to_str())
+        norm, pre = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+        split = next((p for p in pre.get("pretokenizers", []) if p["type"] == "Split" and "Regex" in p["pattern"]), None)
         # Where white space is dropped before words are made, no token spans it.
-        self.by_chunk = "Removed" in pre and "invert=True" in pre
+        self.by_chunk = bool(split and split["behavior"] == "Removed" and split["invert"])
+        # Of ASCII characters the normalizer only changes capitals here, and the pattern needs no tables.
+        plain = [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        pattern = split["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9") if split else r"\p"
+        self.ascii = re.compile(pattern, re.ASCII) if plain and r"\p" not in pattern else None
         self.special = any(not t.content.startswith("<|") for t in self.tokenizer.get_added_tokens_decoder().values())
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], dtype=self.type).tobytes()
+        ids = [t.id for t in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
         words = self.words
+        if self.ascii and chunk.isascii():
+            return b"".join([words[w] if len(w) <= 64 else self._word(w) for w in self.ascii.findall(chunk.lower())])
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))
         return b"".join([words[w] if len(w) <= 64 else self._word(w) for w, _ in pieces])
 
