@@ -61,21 +61,24 @@ def runs(text: str) -> list[tuple[int, int, bytes]]:
 
 
 def span_runs(docs: DataFrame) -> DataFrame:
-    """``high, low`` (hash of a run), ``doc_id`` and ``first`` (its first sentence) for every run of every row."""
+    """``high, low`` (hash of a run), ``doc_id``, ``first`` (its first sentence) and ``again`` for every run of
+    every row. ``again`` tells that the run occurs before in the same row, so no other row need be asked."""
     def rows(blocks):
         for block in blocks:
-            high, low, ids, first = [], [], [], []
+            high, low, ids, first, again = [], [], [], [], []
             for doc_id, text in zip(block["doc_id"].to_pylist(), block["text"].to_pylist()):
-                found = runs(text or "")
+                found, seen = runs(text or ""), set()
                 for a, _, digest in found:
+                    again.append(digest in seen)
+                    seen.add(digest)
                     high.append(int.from_bytes(digest[:8], "little", signed=True))
                     low.append(_low(digest))
                     first.append(a)
                 ids += [doc_id] * len(found)
             if ids:
-                yield high, low, ids, first
+                yield high, low, ids, first, again
 
-    return map_rows(_rows(docs), rows, "high long, low long, doc_id long, first int", block=256)
+    return map_rows(_rows(docs), rows, "high long, low long, doc_id long, first int, again boolean", block=256)
 
 
 def _low(digest: bytes) -> int:
@@ -90,13 +93,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, spans`` (first sentence and second half of the hash) of runs that occur before.
 
     The first occurrence of a run is the one in the smallest (doc_id, place). It is found by an
-    aggregation, which combines before the shuffle, and joined back to all occurrences; so a passage
-    that any share of the documents has goes through no single task.
+    aggregation, which combines before the shuffle, and joined back to the occurrences, of which each
+    document brings one; so a sentence that a document repeats, or a passage that any share of the
+    documents has, goes through no single task.
     """
-    found = stored(span_runs(docs), "runs")
+    every = stored(span_runs(docs), "runs")
+    found = every.where("not again")
     firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "first")).alias("origin"), F.count("*").alias("n"))
     firsts = firsts.where("n > 1").select("high", "low", "origin")
     later = found.join(firsts, ["high", "low"]).where(F.struct("doc_id", "first") != F.col("origin"))
+    later = later.select("doc_id", "first", "low").unionByName(every.where("again").select("doc_id", "first", "low"))
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("first", "low")).alias("spans"))
 
 
