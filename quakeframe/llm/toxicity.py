@@ -148,7 +148,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             data = [t.as_py().lower().encode() for t in block["text"]]
             yield block["y"], pa.array([terms([d])[1].astype(np.int32) for d in data], pa.list_(pa.int32()))
 
-    sample = map_rows(texts.join(chosen, "doc_id").select("y", "text"), columns, "y int, columns array<int>")
+    # The chosen ids are about ``sample_rows`` by their shares, and a quarter more of the held-out fold.
+    sample = map_rows(texts.join(F.broadcast(chosen), "doc_id").select("y", "text"), columns, "y int, columns array<int>")
     rows = [(np.array(r["columns"], dtype=np.int64), r["y"]) for r in sample.collect()]
     machine = fit(sorted(rows, key=lambda r: (r[1], len(r[0]), r[0].tolist())))
     machine.bias -= float(np.log(share.get(1, 1.0) / share.get(0, 1.0)))  # the labels' own shares, not the sample's
