@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakeframe.llm.common import id_bounds, map_rows, mix, ordered_ranges, range_number, shingle_hashes, word_hashes
+from quakeframe.llm.common import SHINGLE_WORDS, id_bounds, map_rows, mix, ordered_ranges, range_number, shingle_hashes, word_hashes
 
 LANES, SKETCH = 1024, 512
 ROWS_PER_RANGE = 20_000
@@ -30,15 +30,25 @@ def paragraphs(text: str) -> list[str]:
     return text.split("\n") if text else []
 
 
+def _runs(parts: list[str]) -> np.ndarray:
+    """Hashes of the runs of five words within each paragraph, or of all words of a shorter one."""
+    data = "\n".join(parts).lower().encode()
+    counts = np.array([len(line.split()) for line in data.split(b"\n")])
+    words = word_hashes(data)
+    begin = np.cumsum(counts) - counts
+    found = [shingle_hashes(words[begin[i] : begin[i] + counts[i]]) for i in np.flatnonzero((counts > 0) & (counts < SHINGLE_WORDS))]
+    if len(words) >= SHINGLE_WORDS:
+        paragraph = np.repeat(np.arange(len(counts)), counts)
+        found.append(shingle_hashes(words)[paragraph[: 1 - SHINGLE_WORDS] == paragraph[SHINGLE_WORDS - 1 :]])
+    return np.concatenate(found) if found else words
+
+
 def vector(parts: Iterable[str]) -> np.ndarray:
     """The sum of the paragraphs' vectors."""
-    total = np.zeros(LANES + SKETCH, dtype=np.uint16)
-    runs = []
+    total, parts = np.zeros(LANES + SKETCH, dtype=np.uint16), list(parts)
     for part in parts:
-        data = part.encode()
-        total[:LANES] += np.frombuffer(hashlib.shake_128(data).digest(2 * LANES), dtype="<u2")
-        runs.append(shingle_hashes(word_hashes(part.lower().encode())))
-    hashed = mix(np.concatenate(runs)) if runs else np.empty(0, np.uint64)
+        total[:LANES] += np.frombuffer(hashlib.shake_128(part.encode()).digest(2 * LANES), dtype="<u2")
+    hashed = mix(_runs(parts)) if parts else np.empty(0, np.uint64)
     lane = (hashed >> np.uint64(1)) % np.uint64(SKETCH)
     sign = np.where(hashed & np.uint64(1), 1.0, -1.0)
     total[LANES:] = np.bincount(lane.astype(np.int64), sign, SKETCH).astype(np.int64).astype(np.uint16)
