@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -62,3 +63,53 @@ def test_odd_documents(docs):
     assert [r for r in found if r[0] != 5] == sorted(
         [(1, None, 0), (2, "", 0), (3, long, 0), (3, long, 0), (4, "More here.", len(long) + 1), (None, "", len(long)), (6, "short. one. two.", 0), (6, "short. one. two.", 0)], key=str)
     assert spans.without_repeats(docs([])).collect() == []
+
+
+def shared_spans(rows, least):
+    """(doc_id, first word, word behind the last) of the maximal runs of ``least`` words or more that an earlier text has."""
+    seen, found = set(), []
+    for doc_id, text in rows:
+        words = text.lower().split()
+        grams = [tuple(words[i : i + least]) for i in range(len(words) - least + 1)]
+        at = None
+        for i, gram in enumerate([*grams, None]):
+            if gram in seen:
+                at = i if at is None else at
+            elif at is not None:
+                found.append((doc_id, at, i - 1 + least))
+                at = None
+        seen.update(grams)
+    return found
+
+
+@pytest.mark.parametrize("length", [1, 5, 8, 9, 14, 23, 200])
+def test_passages_behind_any_prefix_and_across_sentences(docs, length):
+    rng = random.Random(length)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+
+    def prose(n):
+        return [word() + ("." if rng.random() < 1 / length else "") for _ in range(n)]
+
+    rows = []
+    for _ in range(40):
+        passage = prose(51)
+        rows += [(len(rows) + k, " ".join(prose(rng.randint(0, 30)) + passage + prose(rng.randint(0, 30)))) for k in range(4)]
+    expected = shared_spans(rows, 51)
+    assert len(expected) == 120
+    removed = {r.doc_id: [(p.start, p.end) for p in r.removed] for r in spans.without_repeats(docs(rows)).collect()}
+    texts = dict(rows)
+    for doc_id, first, last in expected:
+        starts = [m.start() for m in re.finditer(r"\S+", texts[doc_id])]
+        gone = [i for i, at in enumerate(starts) if any(a <= at < b for a, b in removed[doc_id])]
+        assert len(gone) >= spans.WORDS and first <= gone[0] < first + 15 and last - 24 < gone[-1] < last
+    assert not any(removed[i] for i in range(0, len(rows), 4))
+
+
+def test_cuts_fall_alike_whatever_precedes():
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(500)}" for _ in range(300)]
+    tails = set()
+    for n in range(40):
+        text = " ".join(["other"] * n + words)
+        tails.add(tuple(text[a:b] for a, b, _ in spans.sentences(text))[-40:])
+    assert len(tails) == 1 and all(n <= spans.PIECE for *_, n in spans.sentences(text))
