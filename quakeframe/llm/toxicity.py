@@ -14,8 +14,9 @@ FACTORS = 8  # length of the vector of a term, whose products are the pairwise w
 SAMPLE_ROWS = 6000  # labelled documents, about, that the model is fitted on
 SAMPLE_TERMS = 4_000_000  # terms of them, about: documents are fewer if they are longer
 LEAST_DOCS = 4  # sampled documents that a term must be in to get a weight
-LEAST_SCORE = 3.0  # standard deviations by which its share of documents must differ between the labels
-EPOCHS, BATCH, RATE, DECAY = 20, 64, 0.1, 1e-4
+EPOCHS, STEPS, BATCH, RATE = 20, 1500, 64, 0.1  # at least so many of either
+SHRINK, SCORE = 5.0, 3.0  # penalty of a weight whose term's share differs by SCORE standard deviations between the labels
+DECAY = 0.01  # penalty of the vectors
 FOLD, FOLDS = 0, 5
 BLOCK_BYTES = 1 << 20  # texts are taken apart together up to this size
 _U64 = np.uint64
@@ -73,12 +74,17 @@ class Machine:
 
 
 def fit(rows: list[tuple[np.ndarray, int]], seed: int = 7) -> Machine:
-    """Logistic loss by stochastic gradients in small batches, with a step size for each number (Adagrad).
-
-    ``rows`` are (columns of the terms, label). Vectors start small and random, weights at zero.
-    Columns in fewer than ``LEAST_DOCS`` rows, or about as frequent in either label, keep zeros: of the
-    very many terms of a text most say nothing, and would only be learned by heart. Without rows, or
-    with one label only, the model is its bias.
+    """Logistic loss by stochastic gradients in small batches.
+
+    ``rows`` are (columns of the terms, label). Every column in ``LEAST_DOCS`` rows has a weight and a
+    vector. While they are learned, the share of rows that have a term is taken off its input, 1 or 0;
+    so pairs that tell are not hidden by terms that most texts have, and the parts of single terms are
+    put into weights and bias in the end. Very many terms say nothing and would be learned by heart:
+    weights have a step size for each (Adagrad) and are shrunk by the fourth power of the standard
+    deviations by which the term's share differs between the labels, so that few rows or equal shares
+    leave a small weight, not none. Vectors start small and random, with one step size for all, so that
+    they grow in proportion to the rows that speak for a pair; ``DECAY`` is what that must exceed.
+    Without rows, or with one label only, the model is its bias.
     """
     rng = np.random.default_rng(seed)
     weight, vector = np.zeros(1 << BITS), np.zeros((1 << BITS, FACTORS))
@@ -87,38 +93,44 @@ def fit(rows: list[tuple[np.ndarray, int]], seed: int = 7) -> Machine:
     machine = Machine(bias, weight, vector)
     if not 0 < sum(y for _, y in rows) < len(rows):
         return machine
-    sizes = [sum(label == y for _, label in rows) for y in (0, 1)]
-    clean, toxic = (np.bincount(np.concatenate([c for c, label in rows if label == y]), minlength=1 << BITS) for y in (0, 1))
+    y = np.array([label for _, label in rows], dtype=float)
+    clean, toxic = (np.bincount(np.concatenate([c for c, label in rows if label == k]), minlength=1 << BITS) for k in (0, 1))
+    machine.used = clean + toxic >= LEAST_DOCS
+    clean, toxic, columns = clean[machine.used], toxic[machine.used], int(machine.used.sum())
+    number = np.cumsum(machine.used) - 1
+    own = [number[c[machine.used[c]]] for c, _ in rows]
     common = (clean + toxic) / len(rows)
-    spread = np.sqrt(np.maximum(common * (1 - common), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
-    machine.used = (clean + toxic >= LEAST_DOCS) & (np.abs(toxic / sizes[1] - clean / sizes[0]) >= LEAST_SCORE * spread)
-    rows = [(c[machine.used[c]], y) for c, y in rows]
-    vector[machine.used] = rng.normal(0, 0.01, (int(machine.used.sum()), FACTORS))
-    past_w, past_v, past_b = np.full(1 << BITS, 1e-6), np.full((1 << BITS, FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    spread = common * (1 - common) * (1 / (len(y) - y.sum()) + 1 / y.sum())
+    square = (toxic / y.sum() - clean / (len(y) - y.sum())) ** 2 / np.maximum(spread, 1e-12)
+    penalty = SHRINK * (SCORE**2 / np.maximum(square, 0.01)) ** 2 / len(rows)
+    w, v = np.zeros(columns), rng.normal(0, 0.01, (columns, FACTORS))
+    past_w, past_b = np.full(columns, 1e-6), 1e-6
+    for _ in range(max(EPOCHS, -(-STEPS // -(-len(rows) // BATCH)))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
-            part = [rows[i] for i in order[at : at + BATCH]]
-            text = np.repeat(np.arange(len(part)), [len(c) for c, _ in part])
-            column = np.concatenate([c for c, _ in part])
-            y = np.array([label for _, label in part], dtype=float)
-            own = vector[column]
-            summed = np.zeros((len(part), FACTORS))
-            np.add.at(summed, text, own)
-            margin = machine.bias + np.bincount(text, weight[column], len(part))
-            margin += 0.5 * ((summed**2).sum(axis=1) - np.bincount(text, (own**2).sum(axis=1), len(part)))
-            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / len(part)
-            unique, place = np.unique(column, return_inverse=True)
-            grad_w = np.bincount(place, error[text], len(unique)) + DECAY * weight[unique]
-            grad_v = np.zeros((len(unique), FACTORS))
-            np.add.at(grad_v, place, error[text][:, None] * (summed[text] - own))
-            grad_v += DECAY * vector[unique]
-            past_w[unique] += grad_w**2
-            past_v[unique] += grad_v**2
+            part = order[at : at + BATCH]
+            text = np.repeat(np.arange(len(part)), [len(own[i]) for i in part])
+            column = np.concatenate([own[i] for i in part])
+            chosen, square = v[column], (v * v).sum(axis=1)
+            summed = np.stack([np.bincount(text, chosen[:, f], len(part)) for f in range(FACTORS)], axis=1) - common @ v
+            squares = np.bincount(text, ((1 - 2 * common) * square)[column], len(part)) + common**2 @ square
+            margin = bias + np.bincount(text, w[column], len(part)) - common @ w + 0.5 * ((summed**2).sum(axis=1) - squares)
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[part]) / len(part)
+            pulled = error[:, None] * summed
+            errors = np.bincount(column, error[text], columns)
+            grad_w = errors - common * error.sum()
+            grad_v = np.stack([np.bincount(column, pulled[text, f], columns) for f in range(FACTORS)], axis=1)
+            grad_v -= common[:, None] * pulled.sum(axis=0) + ((1 - 2 * common) * errors + common**2 * error.sum())[:, None] * v
+            grad_v += DECAY * v
+            past_w += grad_w**2
             past_b += error.sum() ** 2
-            weight[unique] -= RATE * grad_w / np.sqrt(past_w[unique])
-            vector[unique] -= 0.2 * RATE * grad_v / np.sqrt(past_v[unique])
-            machine.bias -= RATE * error.sum() / np.sqrt(past_b)
+            step = RATE / np.sqrt(past_w)
+            w = (w - step * grad_w) / (1 + step * penalty)
+            v -= RATE * grad_v / max(1.0, np.sqrt((grad_v**2).sum()))
+            bias -= RATE * error.sum() / np.sqrt(past_b)
+    mean, square = common @ v, (v * v).sum(axis=1)
+    machine.bias = float(bias - common @ w + 0.5 * (mean @ mean - common**2 @ square))
+    weight[machine.used], vector[machine.used] = w - v @ mean + common * square, v
     return machine
 
 

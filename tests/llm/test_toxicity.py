@@ -38,6 +38,34 @@ def test_learns_pairs_that_no_sum_of_weights_can_tell():
     assert score["both"] > 0.8 and score["insult"] < 0.2 and score["group"] < 0.2
 
 
+def test_learns_pairs_of_words_that_are_as_frequent_in_either_label():
+    rng = random.Random(3)
+
+    def row(i, y):
+        words = [f"w{rng.randrange(2000)}" for _ in range(60)] + [f"common{k}" for k in range(12) if rng.random() < 0.7]
+        has = (i < 900, i < 900) if y else (i < 900, 900 <= i < 1800)
+        return toxicity.terms([" ".join(words + ["insult"] * has[0] + ["group"] * has[1]).encode()])[1], y
+
+    rows = [row(i, y) for y in (0, 1) for i in range(3000)]
+    machine = toxicity.fit([r for k, r in enumerate(rows) if k % 5])
+    margin = lambda c: machine.margin(np.zeros(len(c), np.int64), c, 1)[0]
+    left = [(k % 3000, margin(c), y) for k, (c, y) in enumerate(rows) if k % 5 == 0]
+    both = [m for i, m, y in left if y and i < 900]
+    one = [m for i, m, y in left if not y and i < 1800]
+    assert np.mean([m > 0 for m in both]) > 0.9 and np.mean([m < 0 for m in one]) > 0.9
+
+
+def test_rare_words_of_one_label_count():
+    rng = random.Random(5)
+    rows = []
+    for i in range(6000):
+        words = [f"w{rng.randrange(500)}" for _ in range(20)] + ["awful"] * (i % 2 and i % 3 == 0) + ["vile"] * (i in (11, 505, 1201, 3003))
+        rows.append((toxicity.terms([" ".join(words).encode()])[1], i % 2))
+    machine = toxicity.fit(rows)
+    column = {w: toxicity.terms([w.encode()])[1] for w in ("awful", "vile")}
+    assert machine.used[column["vile"]].all() and 0 < machine.weight[column["vile"]] < machine.weight[column["awful"]]
+
+
 def test_query_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     found = QUERIES["op9_toxicity"](spark, sf)
