@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quakeframe.llm.common import mix as mixed_bits
 from quakeframe.llm.common import stored
 
 WEIGHTS = (5, 2, 1)  # by the source's place in code point order, repeating
@@ -40,11 +43,12 @@ def targets(sizes: dict, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PA
     return {s: float(result[s]) for s in order}
 
 
-def fill(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+def fill(lengths: list[int], counts: list[int], budget: int, seed: int = SEED) -> list[int]:
     """How many documents of each length to take so that their words come as near ``budget`` as possible.
 
-    All but ``KNAPSACK`` words are given out in proportion, from each length alike, and what rounding
-    leaves of them from long to short. A bounded knapsack over what is left of each length (reachable
+    All but ``KNAPSACK`` words are given out in proportion, from each length alike. What rounding leaves
+    goes to lengths in the order of a seeded random number over the fraction that a length lost, so that
+    one gets a document more about as often as its fraction says, be it long or short. A bounded knapsack over what is left of each length (reachable
     sums as bits of an integer) closes the rest: exactly if some subset does, else by the nearest sum,
     the smaller one of two equally near.
     """
@@ -53,13 +57,15 @@ def fill(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         return [0] * len(lengths)
     if budget >= total:
         return list(counts)
-    taken = [c * max(0, budget - KNAPSACK) // total for c in counts]
+    shares = [divmod(c * max(0, budget - KNAPSACK), total) for c in counts]
+    taken = [t for t, _ in shares]
     rest = budget - sum(n * t for n, t in zip(lengths, taken))
+    drawn = mixed_bits(mixed_bits(np.array(lengths, dtype=np.uint64)) + np.uint64(seed)).tolist()
     order = sorted((i for i in range(len(lengths)) if lengths[i] > 0), key=lambda i: -lengths[i])
-    for i in order:
-        more = min(counts[i] - taken[i], max(0, rest - KNAPSACK) // lengths[i])
-        taken[i] += more
-        rest -= more * lengths[i]
+    for i in sorted((i for i in order if shares[i][1]), key=lambda i: Fraction(drawn[i], shares[i][1])):
+        if rest - KNAPSACK >= lengths[i]:
+            taken[i] += 1
+            rest -= lengths[i]
     limit = rest + lengths[order[0]]
     mask, reach, steps = (1 << (limit + 1)) - 1, 1, []
     for i in sorted(order, key=lambda i: lengths[i] * 2654435761 % (1 << 32)):  # short and long ones in turn
@@ -80,13 +86,14 @@ def fill(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
-def _quota(groups: pd.DataFrame) -> pd.DataFrame:
+def _quota(groups: pd.DataFrame, seed: int = SEED) -> pd.DataFrame:
     """For one source, the extra copies of each length. One row per length comes in, not one per document."""
+    seed = seed % (1 << 31) << 32 | zlib.crc32(str(groups["source"].iloc[0]).encode())
     groups = groups.sort_values("size")
     total = int((groups["size"] * groups["n"]).sum())
     budget = round(float(groups["target"].iloc[0]))
     passes = min(MOST_PASSES, budget // total) if total else 0
-    extra = fill([int(x) for x in groups["size"]], [int(x) for x in groups["n"]], budget - passes * total) if passes < MOST_PASSES else [0] * len(groups)
+    extra = fill([int(x) for x in groups["size"]], [int(x) for x in groups["n"]], budget - passes * total, seed) if passes < MOST_PASSES else [0] * len(groups)
     return pd.DataFrame({"source": groups["source"], "size": groups["size"], "passes": passes, "extra": extra, "source_size": total, "target": groups["target"]})
 
 
@@ -113,7 +120,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -
     histogram = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
     histogram = histogram.join(wanted, histogram["source"].eqNullSafe(wanted["source"])).drop(wanted["source"])
     quota = histogram.groupBy("source").applyInPandas(
-        _quota, "source string, size long, passes int, extra long, source_size long, target double",
+        lambda groups: _quota(groups, seed), "source string, size long, passes int, extra long, source_size long, target double",
     )
     quota = stored(quota, "quota")
     # Where each hash range of a source and length starts and ends in the order of documents.

@@ -93,3 +93,20 @@ def test_odd_documents(docs):
     assert mixed.columns == frame.columns
     assert collections.Counter(r.doc_id for r in mixed.collect()) == +taken
     assert mixing.mix(docs([])).collect() == [] and mixing.mixed(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.3, 0.78])
+def test_rare_lengths_are_taken_in_proportion(share):
+    rng = random.Random(6)
+    lengths = sorted({int(rng.lognormvariate(5.5, 0.8)) + 1 for _ in range(2000)})
+    counts = [1] * len(lengths)
+    budget = round(share * sum(lengths))
+    by_quarter = [0.0] * 4
+    for seed in range(8):
+        taken = mixing.fill(lengths, counts, budget, seed)
+        assert sum(n * t for n, t in zip(lengths, taken)) == budget and max(taken) == 1
+        for q in range(4):
+            part = taken[q * len(taken) // 4 : (q + 1) * len(taken) // 4]
+            by_quarter[q] += sum(part) / len(part) / 8
+    assert all(abs(x - share) < 0.1 for x in by_quarter)
+    assert mixing.fill(lengths, counts, budget, 1) != mixing.fill(lengths, counts, budget, 2)
