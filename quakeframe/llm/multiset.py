@@ -1,11 +1,12 @@
 """Document fingerprints: a homomorphic hash of the multiset of paragraphs.
 
 Each paragraph is hashed to a wide vector of 16-bit numbers, and a text's vector is the sum of its
-paragraphs' vectors modulo 2 ** 16. So the order of paragraphs does not count, a paragraph is put in
+paragraphs' vectors, kept modulo 2 ** 32 and named modulo 2 ** 16. So the order of paragraphs does not count, a paragraph is put in
 by adding its vector and taken out by subtracting it, and parts of a text can be summed anywhere.
 The first ``LANES`` numbers are those of an extendable hash: sums are equal for equal multisets, and
 to find another multiset with the same sum is hard. The other ``SKETCH`` numbers say how alike two
-multisets are: each run of five words in a paragraph adds one or takes one off in one of them.
+multisets are: each run of five words in a paragraph adds one or takes one off in one of them, which
+needs all 32 bits if a text repeats a run very often.
 """
 
 from __future__ import annotations
@@ -45,13 +46,13 @@ def _runs(parts: list[str]) -> np.ndarray:
 
 def vector(parts: Iterable[str]) -> np.ndarray:
     """The sum of the paragraphs' vectors."""
-    total, parts = np.zeros(LANES + SKETCH, dtype=np.uint16), list(parts)
+    total, parts = np.zeros(LANES + SKETCH, dtype=np.uint32), list(parts)
     for part in parts:
         total[:LANES] += np.frombuffer(hashlib.shake_128(part.encode()).digest(2 * LANES), dtype="<u2")
     hashed = mix(_runs(parts)) if parts else np.empty(0, np.uint64)
     lane = (hashed >> np.uint64(1)) % np.uint64(SKETCH)
     sign = np.where(hashed & np.uint64(1), 1.0, -1.0)
-    total[LANES:] = np.bincount(lane.astype(np.int64), sign, SKETCH).astype(np.int64).astype(np.uint16)
+    total[LANES:] = np.bincount(lane.astype(np.int64), sign, SKETCH).astype(np.int64).astype(np.uint32)
     return total
 
 
@@ -64,7 +65,7 @@ def delete(total: np.ndarray, parts: Iterable[str]) -> np.ndarray:
 
 
 def digest(total: np.ndarray) -> str:
-    """The vector's name: equal for equal vectors."""
+    """The vector's name: equal for vectors that are equal modulo 2 ** 16."""
     return hashlib.sha256(total.astype("<u2").tobytes()).hexdigest()
 
 
@@ -74,7 +75,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     The expected product of two sketches is the number of common runs: twice that over the sum of
     both texts' own products, 0 if it is negative.
     """
-    x, y = a[LANES:].astype(np.int16).astype(float), b[LANES:].astype(np.int16).astype(float)
+    x, y = a[LANES:].astype(np.int32).astype(float), b[LANES:].astype(np.int32).astype(float)
     both = x @ x + y @ y
     return float(min(1.0, max(0.0, 2 * (x @ y) / both))) if both else float(np.array_equal(a, b))
 

@@ -64,3 +64,9 @@ def test_odd_documents(docs):
     assert sorted(found, key=str) == slow(rows)
     for few in ([], [(4, "only one")], [(4, "one"), (4, "two")]):
         assert sorted(map(tuple, multiset.fingerprints(docs(few)).collect()), key=str) == slow(few)
+
+
+def test_likeness_of_texts_that_repeat_a_run_very_often():
+    whole, half = (multiset.vector(["one two three four five"] * n) for n in (50_000, 25_000))
+    assert multiset.likeness(whole, half) == pytest.approx(0.8)
+    assert multiset.digest(multiset.delete(whole, ["one two three four five"] * 25_000)) == multiset.digest(half)
