@@ -34,6 +34,38 @@ def node(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host(url), path(url), query))
 
 
+def _numeric(text: Column, pattern: str, base: int) -> Column:
+    """Character references of one base replaced; those of no character stay."""
+    def replaced(done: Column, found: Column) -> Column:
+        digits = F.regexp_extract(found, pattern, 1)
+        code = F.conv(digits, base, 10).cast("long")
+        letter = F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32")
+        return F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.replace(done, found, letter)).otherwise(done)
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), text, replaced)
+
+
+def decoded(text: Column) -> Column:
+    """Numeric character references and those of markup characters replaced, each once: ``&amp;lt;`` is ``&lt;``."""
+    text = F.regexp_replace(text, r"(?i)&#(0*38|x0*26)(;|(?![0-9a-f]))", "&amp;")
+    text = _numeric(_numeric(text, r"&#(\d{1,7});", 10), r"&#[xX]([0-9a-fA-F]{1,6});", 16)
+    for name, letter in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(letter))
+    return text
+
+
+def without_dots(url: Column) -> Column:
+    """The URL with the segments ``.`` and ``..`` of its path resolved."""
+    parts = F.split(path(url), "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(part))),
+    )
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    begin, end = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract(url, r"(?s)^.*?://[^?#]*(.*)$", 1)
+    return F.when(path(url).rlike(r"/\.\.?(/|$)"), F.concat(begin, F.lit("/"), F.array_join(kept, "/"), end)).otherwise(url)
+
+
 def absolute(target: Column, url: Column) -> Column:
     """A link target as a URL: with a scheme, with a host only, from the root, or beside ``url``."""
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
@@ -48,12 +80,17 @@ def absolute(target: Column, url: Column) -> Column:
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """``a, b, url``: canonical links and page refreshes of each page, as nodes, and the target's URL."""
+    """``a, b, url``: canonical links and page refreshes of each page, as nodes, and the target's URL.
+
+    Targets are taken without character references and segments of dots.
+    """
     found = F.explode(F.array_union(
         F.regexp_extract_all("html", F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all("html", F.lit(_REFRESH), F.lit(1)),
     ))
     targets = pages.where(F.col("html").isNotNull() & (F.instr("url", "://") > 0)).select("url", found.alias("target"))
+    targets = targets.select("url", decoded(F.col("target")).alias("target"))
     targets = targets.select(node(F.col("url")).alias("a"), absolute(F.col("target"), F.col("url")).alias("url"))
+    targets = targets.select("a", without_dots(F.col("url")).alias("url"))
     return targets.select("a", node(F.col("url")).alias("b"), "url").where("b is not null")
 
 

@@ -66,3 +66,25 @@ def test_no_pages_and_no_rules(spark):
     assert redirects.judged(pages(spark, []), rules).collect() == []
     found = redirects.judged(pages(spark, [("http://c.com/de/", None)]), rules.limit(0)).collect()
     assert [(r.rule, r.verdict) for r in found] == [(None, "allow")]
+
+
+def test_character_references_in_targets(column):
+    texts = ["a?b=1&amp;c=2", "a&#38;b&#x26;c&#038;d", "&amp;lt;", "&#38;lt;", "&lt;&gt;&quot;&apos;", "caf&#233;&#xE9;&#X1F600;", "a&copy=1&b", "&#0;&#55296;", "", None]
+    assert column(texts, "string", redirects.decoded) == [
+        "a?b=1&c=2", "a&b&c&d", "&lt;", "&lt;", "<>\"'", "caf\u00e9\u00e9\U0001f600", "a&copy=1&b", "&#0;&#55296;", "", None]
+
+
+def test_dot_segments_in_targets(column):
+    ends = ["/a/b/c/./../../g", "/a/../../../b", "/a/.", "/a/..", "/..", "/a//../b", "/a/.b/..c/d.", "/a/./b?x=/../y#/./z", "?x=/../y", ""]
+    expected = ["/a/g", "/b", "/a/", "/", "/", "/a/b", "/a/.b/..c/d.", "/a/b?x=/../y#/./z", "?x=/../y", ""]
+    assert column(["http://h" + e for e in ends], "string", redirects.without_dots) == ["http://h" + e for e in expected]
+
+
+def test_aliases_meet_by_references_and_dots(spark):
+    rows = [("http://x.com/blocked/p?a=1&b=2", None), ("http://y.net/q", '<link rel="canonical" href="http://x.com/blocked/p?a=1&amp;b=2">'),
+            ("http://x.com/open/deep/r", '<link rel="canonical" href="../.././blocked/s">'), ("http://z.net/t", None)]
+    rules = spark.createDataFrame([("x.com", "/blocked/", "block")], redirects.RULE_SCHEMA)
+    found = {r.page_id: r.verdict for r in redirects.judged(pages(spark, rows), rules).collect()}
+    assert found == {0: "block", 1: "block", 2: "block", 3: "allow"}
+    links = {(r.a, r.b) for r in redirects.alias_links(pages(spark, rows)).collect()}
+    assert links == {("y.net/q", "x.com/blocked/p?a=1&b=2"), ("x.com/open/deep/r", "x.com/blocked/s")}
