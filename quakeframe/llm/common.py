@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -49,6 +50,24 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], s
     return df.mapInArrow(run, fields)
 
 
+def byte_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Cuts batches so that the values of ``column`` in one block have ``limit`` bytes at most, or are a single one."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def shards(spark: SparkSession) -> int:
+    """Into how many groups to deal counts that are merged group by group: small parts of a shuffle partition."""
+    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def range_number(key: Column, bounds: list[int]) -> Column:
     """How many of the ascending ``bounds`` are not greater than ``key``; looks at every 64th first."""
     coarse = F.array(*map(F.lit, bounds[63::64])) if len(bounds) >= 64 else None
