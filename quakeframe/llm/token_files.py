@@ -74,7 +74,7 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> bytes:
         words = self.words
-        if self.ascii and chunk.isascii():
+        if self.ascii and chunk.isascii() and chunk.isprintable():  # control characters have names of their own in the vocabulary
             return b"".join([words[w] if len(w) <= 64 else self._word(w) for w in self.ascii.findall(chunk.lower())])
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))
         return b"".join([words[w] if len(w) <= 64 else self._word(w) for w, _ in pieces])
