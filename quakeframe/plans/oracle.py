@@ -90,8 +90,13 @@ def rounded(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+def mean(x: str) -> str:
+    """One division of whole units of 1e-8: a sum of decimals loses a digit on its way to a double."""
+    return f"CAST(sum(CAST(round({x} * 1e8) AS HUGEINT)) AS DOUBLE) / (count({x}) * 1e8)"
+
+
 def mags(digits: int) -> str:
-    average = rounded("CAST(sum(CAST(mag AS DECIMAL(30,12))) AS DOUBLE) / count(*)", digits)
+    average = rounded(mean("mag"), digits)
     return f"{N}, {average} AS avg_mag, {rounded('max(mag)', digits)} AS max_mag"
 
 

@@ -19,7 +19,7 @@ from quakeframe.schema import CATALOGUE_FIELDS, KEPT_FIELDS, MEASUREMENTS
 from quakeframe.session import work_dir
 from quakeframe.sources import catalogue as scans
 from quakeframe.sources.tables import delete, range_filter, read_points, write_by_date, write_csv
-from quakeframe.streaming import replay
+from quakeframe.streaming import replay, rules
 from quakeframe.streaming.live import event_or_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -643,7 +643,7 @@ register("batch_daily_trend", o.sql(_mean("daily", "1 day"), "catalogue", daily=
     over(daily_points, lambda df: panels.count_trend(df, "1 day")))
 register("bucket_mean_magnitude", o.sql(
     f"""SELECT {o.bucket('1 hour', 'time')} + INTERVAL '1 hour' AS time, region,
-      {o.rounded("CAST(sum(CAST(magnitude AS DECIMAL(30,12))) AS DOUBLE) / count(magnitude)", 6)} AS value FROM points GROUP BY ALL""",
+      {o.rounded(o.mean("magnitude"), 6)} AS value FROM points GROUP BY ALL""",
     "points"))(over(batch_points, lambda df: buckets.bucket_mean(df, ["region"], "magnitude", "1 hour").withColumn(
         "value", F.round("value", 6))))
 register("live_minute_trend", o.sql(_mean("hourly", "1 minute"), "live", hourly=HOURLY_POINTS))(
@@ -1012,6 +1012,15 @@ register("stream_replay_swarm_rule", o.sql(
           SELECT region, unnest(range(CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 15000000,
             CAST(floor(epoch_us(event_time) / 15e6) AS BIGINT) * 15000000 + 300000001, 15000000)) AS instant FROM live)
         WHERE make_timestamp(instant) <= {_SEEN} GROUP BY ALL HAVING count(*) >= 2""", "region", 60)))(replay.swarm_rule)
+# The look-backs of all rules on a stream that is stopped and started again; runs that are over by then.
+_OVER = "SELECT {columns} FROM ({q}) WHERE resolved_at <= (SELECT max(time) FROM stream_points) - INTERVAL 30 SECOND"
+_RUN = "region, {label} AS depth_bin, pending_at, firing_at, resolved_at, ticks, CAST(peak AS DOUBLE) AS peak, alertname, severity"
+for _name, _watch, _sql, _label in (
+    ("high", rules.Watch(HIGH, above=6.0), HIGH_SQL, "depth_bin"), ("critical", rules.Watch(CRITICAL, above=7.0), CRITICAL_SQL, "depth_bin"),
+    ("activity", rules.Watch(ACTIVITY, 3600, at_least=3), ACTIVITY_SQL, "CAST(NULL AS VARCHAR)"),
+):
+    register(f"stream_replay_{_name}_rule", o.sql(_OVER.format(columns=_RUN.format(label=_label), q=_sql), "stream_points"))(
+        lambda spark, sf, w=_watch: replay.rule(spark, sf, w))
 _USABLE = "SELECT id, event_time, mag FROM live"
 register("live_late_events", o.sql(_USABLE, "live"))(replay.late_events)
 register("live_restart", o.sql(_USABLE, "live"))(replay.restarted)

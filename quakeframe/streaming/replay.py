@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.operators import statistics
+from quakeframe.operators import points, statistics
 from quakeframe.operators.clean import enrich, live_required
 from quakeframe.plans.events import EVENTS, quakes, to_quakes
+from quakeframe.plans.events import live as live_events
 from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
 from quakeframe.sources.live import read_text_stream
 from quakeframe.sources.tables import write_by_date
-from quakeframe.streaming import hold, live
+from quakeframe.streaming import hold, live, rules
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -23,25 +27,52 @@ def event_stream(spark: SparkSession, sf_dir: str, duplicates: bool = False) ->
     return live_required(to_quakes(files, duplicates))
 
 
-def run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Runs a stream until its input is used up and reads what it wrote.
-
-    State has a fixed number of partitions, which adaptive execution does not merge: one per core.
-    It is kept in RocksDB. The caller's settings come back afterwards.
-    """
-    root = work_dir(spark, name)
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """State has a fixed number of partitions, which adaptive execution does not merge: one per core.
+    It is kept in RocksDB. The caller's settings come back afterwards."""
     wanted = {PARTITIONS: str(spark.sparkContext.defaultParallelism), PROVIDER: SETTINGS[PROVIDER]}
     before = {key: spark.conf.get(key) for key in wanted}
     try:
         for key, value in wanted.items():
             spark.conf.set(key, value)
-        live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+        yield
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Runs a stream until its input is used up and reads what it wrote."""
+    root = work_dir(spark, name)
+    with state_settings(spark):
+        live.write_files(df, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
+def run_in_parts(
+    spark: SparkSession, rows: DataFrame, time: str, name: str, build: Callable[[DataFrame], DataFrame], parts: int = 3,
+) -> DataFrame:
+    """Runs a stream over ``rows`` that arrive in ``parts`` of about equal size by time, and reads what it wrote.
+
+    The query stops after each part and is started again on its checkpoint before the next, so that its
+    state outlives a restart in the midst of whatever goes on.
+    """
+    root = work_dir(spark, name)
+    staged = f"{root}/rows"
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    at = [i / parts for i in range(1, parts)]
+    edges = rows.agg(F.percentile_approx(F.unix_micros(time), at).alias("e")).first()["e"] or [0] * len(at)
+    number = sum((F.when(F.unix_micros(time) > edge, 1).otherwise(0) for edge in edges), F.lit(0))
+    with state_settings(spark):
+        for part in range(parts):
+            rows.where(number == part).write.mode("append").parquet(f"{root}/in")
+            stream = build(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
+            live.write_files(stream, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
 def statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The windows of a live statistic that the watermark has closed."""
     rows = event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK)
@@ -94,3 +125,10 @@ def swarm_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of state of a count rule: two events in five minutes, held for a minute."""
     rows = enrich(event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK), "live")
     return run(spark, hold.count_rule_stream(rows, at_least=2, hold_seconds=60), "swarm")
+
+
+def rule(spark: SparkSession, sf_dir: str, watch: rules.Watch) -> DataFrame:
+    """The alerts of a rule that are over when the watermark stops, from a stream that is restarted twice."""
+    stored = points.event_points(live_events(spark, sf_dir))
+    changes = run_in_parts(spark, stored, "time", "rule", lambda df: rules.rule_stream(df.withWatermark("time", live.WATERMARK), (watch,)))
+    return rules.closed_alerts(changes)
