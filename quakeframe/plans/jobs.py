@@ -2,6 +2,7 @@
 
     spark-submit quakeframe/plans/jobs.py batch --csv IN --out ROOT --start 2024-09-01 --end 2025-08-31
     spark-submit quakeframe/plans/jobs.py live --kafka HOST:PORT --topic NAME --out ROOT --checkpoints DIR
+    spark-submit quakeframe/plans/jobs.py rules --out ROOT
 
 Options left out are taken from the environment: START_DATE, END_DATE, DATA_DELTA_SECONDS,
 MIN_MAGNITUDE, KAFKA_BOOTSTRAP_SERVERS and KAFKA_TOPICS.
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from quakeframe.plans.alerting import run_alerts
+from quakeframe.plans.alerting import run_alerts, run_rules
 from quakeframe.plans.batch import run_batch
 from quakeframe.session import SETTINGS, prepare
 from quakeframe.sources.catalogue import MIN_MAGNITUDE, _instant, time_range
@@ -34,6 +35,10 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     batch.add_argument("--last-seconds", type=int, default=env("DATA_DELTA_SECONDS"))
     batch.add_argument("--preview", type=int, default=0)
     jobs.add_parser("alerts").add_argument("--as-of", help="default: now")
+    rules = jobs.add_parser("rules")
+    rules.add_argument("--checkpoints", help="default: a folder under --out")
+    rules.add_argument("--delay", default=WATERMARK, help="how long rules wait for late events")
+    rules.add_argument("--once", action="store_true", help="stop at the end of the table")
     jobs.add_parser("correct").add_argument("--durations", choices=["intended", "demo"], default="intended")
     live = jobs.add_parser("live")
     live.add_argument("--kafka", default=env("KAFKA_BOOTSTRAP_SERVERS"))
@@ -72,6 +77,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     if options.job == "alerts":
         run_alerts(spark, options.out, _instant(options.as_of) if options.as_of else None)
         return
+    if options.job == "rules":
+        run_rules(spark, options.out, options.checkpoints, options.once, options.delay)
+        if not options.once:
+            spark.streams.awaitAnyTermination()
+        return
     if options.job == "correct":
         correct(spark, options.out, options.durations)
         return

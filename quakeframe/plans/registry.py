@@ -927,11 +927,11 @@ _SENT_TABLES = {
       min(tick) AS sent_at FROM times t WHERE tick < resolved_at AND NOT EXISTS (
         SELECT 1 FROM critical_ones s WHERE s.region = t.region AND s.firing_at <= tick AND tick < s.resolved_at) GROUP BY ALL""",
 }
-register("notifications_sent", o.sql(
-    f"""SELECT alertname, region, severity, firing_at, 'firing' AS status, repeat, sent_at FROM sent
+_SENT_SQL = """SELECT alertname, region, severity, firing_at, 'firing' AS status, repeat, sent_at FROM sent
     UNION ALL SELECT s.alertname, s.region, s.severity, s.firing_at, 'resolved', max(s.repeat),
       (SELECT min(tick) FROM times t WHERE t.alertname = s.alertname AND t.region = s.region AND t.firing_at = s.firing_at AND t.tick >= s.resolved_at)
-    FROM sent s GROUP BY s.alertname, s.region, s.severity, s.firing_at, s.resolved_at""", "stream_points", **_SENT_TABLES))(
+    FROM sent s GROUP BY s.alertname, s.region, s.severity, s.firing_at, s.resolved_at"""
+register("notifications_sent", o.sql(_SENT_SQL, "stream_points", **_SENT_TABLES))(
     over(all_alerts, lambda df: alerts.notifications(
         df.where("severity = 'warning'"), df.where("severity = 'critical'"), F.lit("2034-01-01").cast("timestamp"), ["region"], _ROUTES)))
 
@@ -1021,6 +1021,12 @@ for _name, _watch, _sql, _label in (
 ):
     register(f"stream_replay_{_name}_rule", o.sql(_OVER.format(columns=_RUN.format(label=_label), q=_sql), "stream_points"))(
         lambda spark, sf, w=_watch: replay.rule(spark, sf, w))
+_WARNINGS_SEEN = "(SELECT max(greatest(firing_at, resolved_at)) FROM alerts WHERE severity IN ('warning', 'critical')) - INTERVAL 30 SECOND"
+register("stream_replay_notifications", o.sql(f"SELECT * FROM ({_SENT_SQL}) WHERE sent_at <= {_WARNINGS_SEEN}", "stream_points", **_SENT_TABLES))(
+    lambda spark, sf: replay.notified(spark, all_alerts(spark, sf), ["region"], _ROUTES))
+register("stream_replay_inhibition", o.sql(_INHIBITION, "stream_points", **_INHIBITION_TABLES))(
+    lambda spark, sf: alerts.part_ticks(replay.inhibited(spark, activity_alerts(spark, sf), high_alerts(spark, sf).select("region", "firing_at", "resolved_at"), ["region"])).select(
+        "alertname", "severity", "region", "firing_at", "tick"))
 _USABLE = "SELECT id, event_time, mag FROM live"
 register("live_late_events", o.sql(_USABLE, "live"))(replay.late_events)
 register("live_restart", o.sql(_USABLE, "live"))(replay.restarted)

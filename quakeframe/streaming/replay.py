@@ -16,7 +16,7 @@ from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
 from quakeframe.sources.live import read_text_stream
 from quakeframe.sources.tables import write_by_date
-from quakeframe.streaming import hold, live, rules
+from quakeframe.streaming import hold, live, notices, rules
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -132,3 +132,27 @@ def rule(spark: SparkSession, sf_dir: str, watch: rules.Watch) -> DataFrame:
     stored = points.event_points(live_events(spark, sf_dir))
     changes = run_in_parts(spark, stored, "time", "rule", lambda df: rules.rule_stream(df.withWatermark("time", live.WATERMARK), (watch,)))
     return rules.closed_alerts(changes)
+
+
+def notified(spark: SparkSession, found: DataFrame, equal: list[str], routes) -> DataFrame:
+    """What is sent for warnings, muted by critical alerts, of alerts whose changes come in order in three parts."""
+    labels = ["alertname", "region", "severity"]
+    both = [notices.changes_of(found.where(F.col("severity") == severity), role, labels)
+            for severity, role in (("warning", notices.TARGET), ("critical", notices.SOURCE))]
+    sent = run_in_parts(spark, both[0].unionByName(both[1]), "at", "notify", lambda df: notices.notification_stream(
+        df.withWatermark("at", live.WATERMARK), equal, labels, routes))
+    return sent.select("alertname", "region", "severity", F.timestamp_millis("firing_ms").alias("firing_at"), "status", "repeat",
+                       F.timestamp_millis("sent_ms").alias("sent_at"))
+
+
+def inhibited(spark: SparkSession, targets: DataFrame, sources: DataFrame, equal: list[str]) -> DataFrame:
+    """The parts of targets that no source mutes. Sources come half a day after the targets that they mute,
+    so that parts which were put out are taken back."""
+    rows = targets.withColumn("source", F.lit(False)).unionByName(sources.withColumn("source", F.lit(True)), allowMissingColumns=True)
+    rows = rows.withColumn("arrival", F.when(F.col("source"), F.col("resolved_at") + F.expr("interval 12 hours")).otherwise(F.col("resolved_at")))
+
+    def build(df: DataFrame) -> DataFrame:
+        side = lambda source: df.where(F.col("source") == source).drop("source", "arrival").withWatermark("resolved_at", "1 day")
+        return notices.inhibition_stream(side(False), side(True), equal, 7 * 86400)
+
+    return notices.net_parts(run_in_parts(spark, rows, "arrival", "inhibit", build, parts=5))
