@@ -19,10 +19,11 @@ DEPTH = 3  # words of a phrase at most
 TOP = 2000  # phrases reported of a language
 COVERED = 50  # per cent of a pair's occurrences within one longer candidate, from which the pair is dropped
 SMALL = 1 << 18  # pointers that are sorted at once
-BLOCK = 1 << 25  # bytes of text whose suffixes a task sorts together
+BLOCK = 1 << 23  # bytes of text whose suffixes a task sorts together
+SHARDS = 4  # into which what a shuffle partition gets is dealt
 SALTS = 64  # parts of a language in which its first phrases are sought before they meet
 
-ROUTED = "shard int, words array<string>, langs array<string>, lang array<int>, first array<int>, second array<int>, third array<int>, n array<int>"
+PACKED = pa.ipc.IpcWriteOptions(compression="zstd")
 COUNTED = "lang string, first string, second string, third string, f long"
 
 
@@ -91,8 +92,8 @@ def _suffixes(block: pa.RecordBatch) -> tuple[list[np.ndarray], pa.Array, pa.Arr
     blank, stop = (pc.index(words.dictionary, pa.scalar(x, pa.large_string())).as_py() for x in ("", "\n"))
     there = code != blank
     code, doc = code[there], doc[there]
-    key = np.where(code == stop, 0, code + 1)
-    keys = [langs.indices.to_numpy()[doc] + 1, key]
+    key = np.where(code == stop, 0, code + 1).astype(np.int32)
+    keys = [langs.indices.to_numpy()[doc] + np.int32(1), key]
     for _ in range(1, DEPTH):
         behind = np.zeros_like(key)
         behind[:-1] = np.where(doc[1:] == doc[:-1], keys[-1][1:], 0)
@@ -124,30 +125,31 @@ def _phrases(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
         order = np.argsort(route, kind="stable")
         route, columns, n = route[order], [c[order] for c in columns], n[order]
         edges = [*np.flatnonzero(np.diff(route, prepend=-1)), len(route)]
-        rows: list[list] = [[] for _ in range(8)]
+        packed = []
         for a, b in zip(edges, edges[1:]):
             own = np.unique(np.concatenate([c[a:b] for c in columns[1:]]))
             own = own[own > 0]
-            values = [route[a], words.take(pa.array(own - 1)), langs, columns[0][a:b] - 1]
-            values += [np.searchsorted(own, c[a:b]).astype(np.int32) + (c[a:b] > 0) - 1 for c in columns[1:]]
-            for row, value in zip(rows, [*values, n[a:b]]):
-                row.append(value)
-        yield pa.record_batch(
-            [pa.array(rows[0], pa.int32()), _lists(rows[1], pa.string()), _lists(rows[2], pa.string()), *(_lists(r, pa.int32()) for r in rows[3:])],
-            names=["shard", "words", "langs", "lang", "first", "second", "third", "n"],
-        )
+            local = [np.searchsorted(own, c[a:b]) + (c[a:b] > 0) - 1 for c in columns[1:]]
+            packed.append(_packed(words.take(pa.array(own - 1)), langs, [columns[0][a:b] - 1, *local, n[a:b]]))
+        yield pa.record_batch([pa.array(route[edges[:-1]]), pa.array(packed, pa.binary())], names=["shard", "part"])
 
 
-def _lists(values: list, kind: pa.DataType) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays([v if isinstance(v, pa.Array) else pa.array(v.astype(np.int32)) for v in values]).cast(kind))
+def _packed(words: pa.Array, langs: pa.Array, columns: list[np.ndarray]) -> bytes:
+    """The phrases that a block has for a shard, as one compressed row of Arrow lists: words and languages once each, then their numbers."""
+    lists = [words, langs, *(pa.array(c.astype(np.int32)) for c in columns)]
+    names = ["words", "langs", "lang", "first", "second", "third", "n"]
+    row = pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists], names=names)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=PACKED) as writer:
+        writer.write_batch(row)
+    return sink.getvalue().to_pybytes()
 
 
 def _merged(least: int):
     """For one shard, the phrases with ``least`` occurrences; words of each language as a row without a phrase."""
     def merge(shard: pa.Table) -> pa.Table:
-        shard = shard.combine_chunks()
-        lists = {name: shard[name].combine_chunks() for name in shard.column_names if name != "shard"}
+        rows = pa.concat_tables([pa.ipc.open_stream(part.as_buffer()).read_all() for part in shard["part"]])
+        lists = {name: rows[name].combine_chunks() for name in rows.column_names}
         words, langs = (pc.list_flatten(lists[name]).dictionary_encode() for name in ("words", "langs"))
         row = pc.list_parent_indices(lists["n"]).to_numpy()
 
@@ -184,8 +186,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     once, with its count, to the shard of its words; so a phrase of any frequency brings one row a block to
     the shard, and phrases that begin alike don't meet in one.
     """
-    parts = shards(docs.sparkSession)
-    routed = docs.select("lang", "text").mapInArrow(lambda batches: _phrases(batches, parts), ROUTED)
+    parts = shards(docs.sparkSession, SHARDS)
+    routed = docs.select("lang", "text").mapInArrow(lambda batches: _phrases(batches, parts), "shard int, part binary")
     return routed.groupBy("shard").applyInArrow(_merged(least), COUNTED)
 
 
@@ -197,7 +199,8 @@ def _score(a: str, left: str, right: str) -> Column:
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: int = COVERED) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of the first ``top`` phrases of each language.
 
-    Counts, joins and scores are exact (decimals of 38 digits). A phrase is scored by its weakest cut, the
+    Each of ``SALTS`` parts of a language is put in order by itself; at most ``top`` phrases of each meet in
+    one task. Counts, joins and scores are exact (decimals of 38 digits). A phrase is scored by its weakest cut, the
     earliest of equals; a pair with ``covered`` per cent of its occurrences in one longer candidate is dropped.
 
     Defined cases: a null text is empty; a null language is ``und``; a text or language without

@@ -63,9 +63,9 @@ def byte_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <
             at = to
 
 
-def shards(spark: SparkSession) -> int:
-    """Into how many groups to deal counts that are merged group by group: small parts of a shuffle partition."""
-    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def shards(spark: SparkSession, each: int = 16) -> int:
+    """Into how many groups to deal counts that are merged group by group: ``each`` for a shuffle partition."""
+    return each * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def range_number(key: Column, bounds: list[int]) -> Column:
