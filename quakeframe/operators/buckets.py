@@ -64,12 +64,17 @@ def calendar_count(
     )
 
 
+_DAY = 86_400_000_000
+
+
 def islands(df: DataFrame, keys: Sequence[str], peak: str) -> DataFrame:
     """Joins spells ``[start, end)`` of one key that touch or overlap; ``peak`` becomes their maximum.
 
-    Spells are first joined within a day and then over midnight, so that a key which is active all
-    the time is spread over its days instead of filling one task. A ``day`` column that the input
-    is already partitioned by is used as it is, which saves a shuffle.
+    Spells are cut at midnight and joined within each day, so that a key which is active all the time is
+    spread over its days. What is left of a day are spells apart from each other, of which only the first can
+    begin at midnight and only the last can end there. Just these go on to be joined over midnight: two rows
+    a key and day at most, however many spells there are. A ``day`` column says that spells are cut already;
+    where the input is partitioned by it, that saves a shuffle.
     """
     def joined(frame: DataFrame, by: Sequence[str]) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("start", "end")
@@ -80,8 +85,21 @@ def islands(df: DataFrame, keys: Sequence[str], peak: str) -> DataFrame:
             F.min("start").alias("start"), F.max("end").alias("end"), F.max(peak).alias(peak)
         ).drop("_run")
 
-    dated = df if "day" in df.columns else df.withColumn("day", F.to_date("start"))
-    return joined(joined(dated, [*keys, "day"]).drop("day"), keys)
+    at_midnight = lambda c: F.pmod(F.unix_micros(c), F.lit(_DAY)) == 0
+    within = joined(df if "day" in df.columns else _cut(df), [*keys, "day"]).drop("day")
+    border = at_midnight("start") | at_midnight("end")
+    return within.where(~border).unionByName(joined(within.where(border), keys))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Spells cut at midnight, with the ``day`` that each part lies in."""
+    low, high = F.unix_micros("start"), F.unix_micros("end")
+    midnight = lambda c: c - F.pmod(c, F.lit(_DAY))
+    days = F.sequence(midnight(low), F.greatest(midnight(high - 1), midnight(low)), F.lit(_DAY))
+    parts = df.withColumns({"_low": low, "_high": high}).withColumn("day", F.explode(days))
+    return parts.withColumns({
+        "start": F.timestamp_micros(F.greatest("_low", "day")), "end": F.timestamp_micros(F.least("_high", F.col("day") + _DAY)),
+    }).drop("_low", "_high")
 
 
 def silences(df: DataFrame, limit_seconds: int, time: str = "event_time", as_of: Column | None = None) -> DataFrame:

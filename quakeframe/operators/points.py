@@ -38,7 +38,9 @@ def _stat_points(df: DataFrame, measurement: str, time: Column, source: str, **d
     spans = [c for c in m.texts if c.endswith("event_time")]
     if spans:
         out = out.withColumns({c: times.iso_text(F.col(c)) for c in spans})
-    return out.select("time", *[F.col(tag).cast("string").alias(tag) for tag in m.tags], *m.fields)
+    # The ``window`` of a statistic, if it is named, stays beside the point: neighbouring windows share times.
+    window = ["window"] if "window" in df.columns else []
+    return out.select("time", *[F.col(tag).cast("string").alias(tag) for tag in m.tags], *m.fields, *window)
 
 
 def daily_points(stats: DataFrame) -> DataFrame:

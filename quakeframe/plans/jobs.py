@@ -21,7 +21,8 @@ from quakeframe.plans.batch import run_batch
 from quakeframe.session import SETTINGS, prepare
 from quakeframe.sources.catalogue import MIN_MAGNITUDE, _instant, time_range
 from quakeframe.sources.live import read_kafka, read_text_stream
-from quakeframe.streaming.live import WATERMARK, correct, run_live
+from quakeframe.streaming.corrections import correct
+from quakeframe.streaming.live import WATERMARK, run_live
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
@@ -39,7 +40,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     rules.add_argument("--checkpoints", help="default: a folder under --out")
     rules.add_argument("--delay", default=WATERMARK, help="how long rules wait for late events")
     rules.add_argument("--once", action="store_true", help="stop at the end of the table")
-    jobs.add_parser("correct").add_argument("--durations", choices=["intended", "demo"], default="intended")
+    correction = jobs.add_parser("correct")
+    correction.add_argument("--durations", choices=["intended", "demo"], default="intended")
+    correction.add_argument("--delay", default=WATERMARK, help="that of the live job")
     live = jobs.add_parser("live")
     live.add_argument("--kafka", default=env("KAFKA_BOOTSTRAP_SERVERS"))
     live.add_argument("--topic", default=env("KAFKA_TOPICS"))
@@ -83,7 +86,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             spark.streams.awaitAnyTermination()
         return
     if options.job == "correct":
-        correct(spark, options.out, options.durations)
+        correct(spark, options.out, options.durations, options.delay)
         return
     messages = (
         read_text_stream(spark, options.folder) if options.folder

@@ -1031,6 +1031,15 @@ _USABLE = "SELECT id, event_time, mag FROM live"
 register("live_late_events", o.sql(_USABLE, "live"))(replay.late_events)
 register("live_restart", o.sql(_USABLE, "live"))(replay.restarted)
 register("live_corrected_hours", o.sql(o.HOURLY, "live"))(replay.corrected)
+# Windows that had closed before the late events came: the watermark is that of the others.
+_BEFORE = "(SELECT max(event_time) FROM live WHERE CAST(id AS INTEGER) % 10 <> 3) - INTERVAL 30 SECOND"
+for _name, _sql, _columns in (
+    ("rolling_24h", o.ROLLING_24H, "window_start AS \"window\", min_event_time AS time, region, eq_count, avg_mag, max_mag"),
+    ("realtime_magnitude_distribution", o.LIVE_MAGNITUDE, "window_start AS \"window\", min_event_time AS time, mag_bin, eq_count"),
+):
+    register(f"live_corrected_{_name}", o.sql(f"SELECT {_columns} FROM ({_sql}) WHERE window_end <= {_BEFORE}", "live"))(
+        lambda spark, sf, n=_name: replay.corrected_statistic(spark, sf, n).select(
+            "window", "time", *(["region", "eq_count", "avg_mag", "max_mag"] if n == "rolling_24h" else ["mag_bin", "eq_count"])))
 register("stream_replay_dedupe", o.sql("SELECT id, mag, region FROM live", "live"))(replay.deduplicated)
 
 assert set(_STORED) == {m.removesuffix("_stream") for m in MEASUREMENTS}

@@ -6,7 +6,7 @@ on that table with its own watermark and checkpoint, so it can be restarted or c
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quakeframe.operators import clean, points, statistics
 from quakeframe.schema import MEASUREMENTS, QUAKES
-from quakeframe.session import work_dir
 from quakeframe.sources.catalogue import MIN_MAGNITUDE
-from quakeframe.sources.tables import delete, exists, write_by_date
+from quakeframe.sources.tables import exists, write_by_date
 
 WATERMARK = "30 seconds"
 
@@ -163,7 +162,7 @@ def corrected(
     The batch form of the statistic runs over the days that these windows touch, which prunes the
     table by date; the windows that no late hour lies in are left as they were written.
     """
-    size, *slides = statistics.WINDOWS[durations][_WINDOW_OF[name]]
+    size, *slides = statistics.WINDOWS[durations][WINDOW_OF[name]]
     slide = slides[0] if slides else size
     reach = F.expr(f"interval {size} seconds")
     days = late.select(F.explode(F.sequence(
@@ -176,43 +175,26 @@ def corrected(
     return STATISTICS[name](rows, durations).join(starts, "window_start", "left_semi")
 
 
-_WINDOW_OF = {
+WINDOW_OF = {
     "hourly_global_stats": "hourly_global", "daily_global_stats": "daily_global", "rolling_24h": "rolling_24h",
     "rolling_7day": "rolling_7day", "significant_event_alerts": "significant", "realtime_magnitude_distribution": "magnitude",
     "depth_pattern_analysis": "depth", "sequence_detection": "sequence",
 }
 
 
-def correct(spark: SparkSession, root: str, durations: str = "intended") -> None:
-    """Computes anew what late events have made wrong, for all statistics, under ``root``/corrected.
-
-    To be run now and then beside the streams. A reader takes a window from there if it is there,
-    else from the table that the stream appends to.
-    """
-    rows = spark.read.schema(QUAKES).parquet(f"{root}/silver")
-    late = late_hours(rows, spark.read.parquet(f"{root}/hourly_global_stats"))
-    folder = work_dir(spark, "late")
-    late.write.parquet(folder)
-    late = spark.read.schema(late.schema).parquet(folder)
-    for name in STATISTICS:
-        windows = corrected(rows, late, name, durations)
-        windows.write.mode("overwrite").parquet(f"{root}/corrected/{name}")
-    delete(spark, folder)
-
-
 def run_live(
     spark: SparkSession, messages: DataFrame, root: str, checkpoints: str | None = None,
     durations: str = "intended", min_magnitude: float = MIN_MAGNITUDE, once: bool = False,
-    delay: str = WATERMARK, retention: str | None = None, arrival_for_time: bool = False,
+    delay: str = WATERMARK, retention: str | None = None, arrival_for_time: bool = False, names: Sequence[str] | None = None,
 ) -> list[StreamingQuery]:
-    """Starts the silver query, the dead letters, the raw points and all statistics.
+    """Starts the silver query, the dead letters, the raw points and all statistics (or those of ``names``).
 
     With ``once`` the stages run to completion one after the other; otherwise all run side by
     side and the statistics follow the silver table. Checkpoints lie under ``root`` unless another
     folder is given, so a restart goes on where the last run stopped; an output that was written
     under other checkpoints is refused, as batch numbers would begin anew and rows would be lost.
     ``delay`` is how long a window waits for late events. Silver keeps later ones too, and
-    ``correct`` computes the windows that they belong to anew.
+    ``corrections.correct`` computes the windows that they belong to anew; so points keep the start of their ``window``.
     """
     checkpoints = checkpoints or f"{root}/_checkpoints"
     if exists(spark, f"{root}/silver") and not exists(spark, f"{checkpoints}/silver"):
@@ -230,7 +212,7 @@ def run_live(
     launch(write_files(rejected(messages, arrival_for_time), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
     table = lambda: read_silver(spark, silver_path, delay)
     launch(write_log(points.event_points(table()), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
-    for name in STATISTICS:
-        shaped = POINTS[name](statistic(table(), name, durations))
+    for name in names or STATISTICS:
+        shaped = POINTS[name](statistic(table(), name, durations).withColumn("window", F.col("window_start")))
         launch(write_files(shaped, f"{root}/{name}", f"{checkpoints}/{name}", None, once))
     return queries

@@ -16,7 +16,7 @@ from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
 from quakeframe.sources.live import read_text_stream
 from quakeframe.sources.tables import write_by_date
-from quakeframe.streaming import hold, live, notices, rules
+from quakeframe.streaming import corrections, hold, live, notices, rules
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -121,6 +121,20 @@ def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.unionByName(written.join(fixed, "window_start", "left_anti").select(*fixed.columns))
 
 
+def corrected_statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A statistic as it is read after every tenth event came when all windows were closed: from the files
+    that the live job and the correction job write."""
+    root = work_dir(spark, "corrected")
+    fields = F.struct("id", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time"), "latitude", "longitude", "depth", "mag", "magType", "place")
+    rows = quakes(spark, sf_dir).select(F.to_json(fields).alias("value"), (F.col("id").cast("int") % 10 == 3).alias("late"))
+    with state_settings(spark):
+        for late in (False, True):
+            rows.where(F.col("late") == late).select("value").write.mode("append").text(f"{root}/in")
+            live.run_live(spark, read_text_stream(spark, f"{root}/in"), f"{root}/out", once=True, names=[name])
+        corrections.correct(spark, f"{root}/out", names=[name])
+    return corrections.read_statistic(spark, f"{root}/out", name)
+
+
 def swarm_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of state of a count rule: two events in five minutes, held for a minute."""
     rows = enrich(event_stream(spark, sf_dir).withWatermark("event_time", live.WATERMARK), "live")

@@ -1,14 +1,16 @@
 """The command lines."""
 
 import json
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from quakeframe.operators import statistics
 from quakeframe.plans import jobs
 from quakeframe.plans.events import live, quakes
 from quakeframe.schema import CATALOGUE_FIELDS
 from quakeframe.sources import tables
+from quakeframe.streaming import corrections
+from quakeframe.streaming.live import STATISTICS
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,7 +45,6 @@ def test_live_command(spark, tmp_path):
 
 def test_alert_and_correction_commands(spark, tmp_path):
     live(spark, SF).write.parquet(f"{tmp_path}/silver")
-    statistics.hourly_global(live(spark, SF).where("cast(id as int) % 9 <> 0")).write.parquet(f"{tmp_path}/hourly_global_stats")
     jobs.main(["alerts", "--out", str(tmp_path), "--as-of", "2024-02-15"], spark)
     found = spark.read.parquet(f"{tmp_path}/alerts")
     strong = found.where("alertname = 'HighMagnitudeEarthquake'")
@@ -53,7 +54,45 @@ def test_alert_and_correction_commands(spark, tmp_path):
     sent = spark.read.parquet(f"{tmp_path}/notifications")
     told = {r.status: r.n for r in sent.where("alertname = 'HighMagnitudeEarthquake'").groupBy("status").agg(F.count("*").alias("n")).collect()}
     assert told["resolved"] == strong.count() <= told["firing"]
-    jobs.main(["correct", "--out", str(tmp_path)], spark)
-    fixed = spark.read.parquet(f"{tmp_path}/corrected/hourly_global_stats")
-    whole = statistics.hourly_global(live(spark, SF))
-    assert fixed.count() > 0 and fixed.join(whole, ["window_start", "eq_count"], "left_anti").count() == 0
+
+
+def stored(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_corrections_of_all_statistics(spark, tmp_path):
+    """Silver has events that the statistics were closed without; then a window that was open closes; then nothing comes."""
+    root, silver = str(tmp_path), live(spark, SF)
+    on_time, late = silver.where("cast(id as int) % 9 <> 0"), silver.where("cast(id as int) % 9 = 0")
+    end = silver.agg(F.max("event_time")).first()[0]
+
+    def whole(rows, name):
+        return corrections.shaped(STATISTICS[name](rows), name)
+
+    def over(name, days):
+        """The windows that end so many days before the last event."""
+        return F.col("window") < end - timedelta(days, corrections.window_of(name)[0])
+
+    def versions():
+        return sorted(str(f.relative_to(root)) for f in tmp_path.rglob("*.parquet") if "silver" not in str(f))
+
+    on_time.write.parquet(f"{root}/silver")
+    for name in STATISTICS:  # the stream has closed what ended two days before the last event
+        whole(on_time, name).where(over(name, 2)).write.parquet(f"{root}/{name}")
+    jobs.main(["correct", "--out", root], spark)
+    assert not any(spark.read.schema("window timestamp").parquet(f"{root}/corrected/{name}").count() for name in STATISTICS)
+    late.write.mode("append").parquet(f"{root}/silver")
+    jobs.main(["correct", "--out", root], spark)
+    fixed = {name: spark.read.parquet(f"{root}/corrected/{name}").count() for name in STATISTICS}
+    assert sum(n > 0 for n in fixed.values()) >= 6, fixed  # the fixture has few strong events and no sequences of half an hour
+    for name in STATISTICS:
+        closed = F.col("window") <= spark.read.parquet(f"{root}/{name}").agg(F.max("window")).scalar()
+        assert stored(corrections.read_statistic(spark, root, name)) == stored(whole(silver, name).where(closed)), name
+    name = "rolling_24h"  # a day later; these windows were closed without the late events too
+    whole(on_time, name).where(~over(name, 2) & over(name, 1)).write.mode("append").parquet(f"{root}/{name}")
+    on_time.limit(1).withColumn("id", F.lit("again")).withColumn("event_time", F.lit(end)).write.mode("append").parquet(f"{root}/silver")
+    jobs.main(["correct", "--out", root], spark)
+    assert stored(corrections.read_statistic(spark, root, name)) == stored(whole(silver, name).where(over(name, 1)))
+    before = versions()
+    jobs.main(["correct", "--out", root], spark)
+    assert versions() == before

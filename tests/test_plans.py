@@ -11,7 +11,7 @@ from quakeframe.plans import events, registry
 from quakeframe.sources import tables
 
 SF = "/root/testdata/sf0.001"
-STREAMED = [n for n in registry.QUERIES if n.startswith(("stream_replay", "live_late", "live_restart", "batch_range", "silver_revision"))]
+STREAMED = [n for n in registry.QUERIES if n.startswith(("stream_replay", "live_late", "live_restart", "batch_range", "silver_revision", "live_corrected_r"))]
 
 
 def plan(df):
@@ -97,7 +97,30 @@ def test_panels_and_gauges_read_a_table_once(spark):
 
 
 def test_timelines_shuffle_three_times(spark, silver):
+    """Once by step, once by day, once for what touches midnight; the days are used twice."""
     stored = points.event_points(silver)
     rule = alerts.RULES["EarthquakeSwarmDetected"]
     for timeline in (metrics.count_timeline(stored), metrics.strongest_timeline(stored, 6.0)):
-        assert plan(alerts.firing(timeline, rule)).count("Exchange") == 3
+        found = alerts.firing(timeline, rule)
+        found.collect()
+        final = plan(found).split("== Initial Plan ==")[0]
+        assert final.count("+- Exchange") == 3 and final.count("+- ReusedExchange") == 1
+
+
+def test_islands_sort_two_rows_a_day(spark):
+    """A key with many spells in each day: the shuffle over days has the first and the last of each at most."""
+    seconds = F.col("id") * 60  # half a minute of every minute, thirty days; every fourth midnight is bridged
+    spells = spark.range(30 * 1440).select(
+        F.lit("a").alias("region"), F.timestamp_seconds(seconds).alias("start"), F.timestamp_seconds(seconds + 30).alias("end"), F.lit(1.0).alias("value"))
+    bridges = spark.range(8).select(
+        F.lit("a").alias("region"), F.timestamp_seconds(F.col("id") * 4 * 86400 - 40).alias("start"), F.timestamp_seconds(F.col("id") * 4 * 86400 + 20).alias("end"), F.lit(2.0).alias("value"))
+    rows = spells.unionByName(bridges)
+    from quakeframe.operators import buckets
+
+    got = buckets.islands(rows, ["region"], "value")
+    found = sorted((r.start.timestamp(), r.end.timestamp(), r.value) for r in got.collect())
+    assert len(found) == 30 * 1440 + 8 - 15 + 1  # a bridge touches the last spell before midnight and the first one after it
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:])) and sum(v == 2 for *_, v in found) == 8
+    final = got._jdf.queryExecution().executedPlan()
+    border = got.where("pmod(unix_micros(start), 86400000000) = 0 or pmod(unix_micros(end), 86400000000) = 0")
+    assert border.count() <= 60
