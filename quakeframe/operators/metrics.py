@@ -91,6 +91,15 @@ def _gauges(df: DataFrame, *gauges: tuple[str, Column, Column | None]) -> DataFr
     return df.select("region", F.inline(F.array(*rows))).where("value is not null").select("metric", "region", "depth_bin", "value")
 
 
+def hourly_gauges(hourly: DataFrame, as_of: Column) -> DataFrame:
+    return _gauges(latest_hourly(hourly, as_of), ("earthquake_count_hourly", F.col("eq_count"), None))
+
+
+def sequence_gauges(sequences: DataFrame, as_of: Column) -> DataFrame:
+    return _gauges(swarm_flag(sequences, as_of), ("earthquake_swarm_detected", F.col("swarm_detected"), None),
+                   ("earthquake_sequence_count", F.col("sequence_count"), None))
+
+
 def snapshot(points: DataFrame, hourly: DataFrame, sequences: DataFrame, as_of: Column) -> DataFrame:
     """All gauges at one instant as (metric, region, label, value). Old labels never persist.
 
@@ -105,9 +114,7 @@ def snapshot(points: DataFrame, hourly: DataFrame, sequences: DataFrame, as_of:
         _gauges(by_region, ("earthquake_magnitude", F.col("best.magnitude"), F.col("best.depth_bin")),
                 ("earthquake_count_5min", F.when(F.col("n") > 0, F.col("n")), None),
                 ("max_earthquake_magnitude_24h", F.col("max_magnitude"), None)),
-        _gauges(latest_hourly(hourly, as_of), ("earthquake_count_hourly", F.col("eq_count"), None)),
-        _gauges(swarm_flag(sequences, as_of), ("earthquake_swarm_detected", F.col("swarm_detected"), None),
-                ("earthquake_sequence_count", F.col("sequence_count"), None)),
+        hourly_gauges(hourly, as_of), sequence_gauges(sequences, as_of),
     ]
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 

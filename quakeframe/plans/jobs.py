@@ -22,7 +22,7 @@ from quakeframe.session import SETTINGS, prepare
 from quakeframe.sources.catalogue import MIN_MAGNITUDE, _instant, time_range
 from quakeframe.sources.live import read_kafka, read_text_stream
 from quakeframe.streaming.corrections import correct
-from quakeframe.streaming.live import WATERMARK, run_live
+from quakeframe.streaming.live import WATERMARK, compact, run_live
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
@@ -40,6 +40,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     rules.add_argument("--checkpoints", help="default: a folder under --out")
     rules.add_argument("--delay", default=WATERMARK, help="how long rules wait for late events")
     rules.add_argument("--once", action="store_true", help="stop at the end of the table")
+    jobs.add_parser("compact").add_argument("--keep", type=int, default=2, help="manifests that stay for readers")
     correction = jobs.add_parser("correct")
     correction.add_argument("--durations", choices=["intended", "demo"], default="intended")
     correction.add_argument("--delay", default=WATERMARK, help="that of the live job")
@@ -85,6 +86,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         if not options.once:
             spark.streams.awaitAnyTermination()
         return
+    if options.job == "compact":
+        compact(spark, options.out, options.keep)
+        return
     if options.job == "correct":
         correct(spark, options.out, options.durations, options.delay)
         return

@@ -747,21 +747,27 @@ def _gauge(metric: str, value: str, table: str, label: str = "CAST(NULL AS VARCH
             f"FROM {table} {tail}")
 
 
-register("metrics_snapshot", o.sql(" UNION ALL ".join([
+_EVENT_GAUGES = [
     _gauge("earthquake_magnitude", "magnitude",
            f"(SELECT *, {_STRONGEST} FROM {o.since('stream_points', '5 minutes', of='live_times')})",
            "depth_bin", "WHERE rn = 1"),
     _gauge("earthquake_count_5min", "count(*)", o.since("stream_points", "5 minutes", of="live_times"), tail="GROUP BY region"),
+    _gauge("max_earthquake_magnitude_24h", "max(magnitude)",
+           o.since("stream_points", "24 hours", of="live_times"), tail="GROUP BY region"),
+]
+register("metrics_snapshot", o.sql(" UNION ALL ".join([
+    *_EVENT_GAUGES,
     _gauge("earthquake_count_hourly", "eq_count",
            f"(SELECT *, row_number() OVER (ORDER BY time DESC) AS rn FROM {o.since('hourly', '1 hour', of='live_times')})",
            tail="WHERE rn = 1"),
     _gauge("earthquake_swarm_detected", "1", o.since("sequence", "1 hour", of="live_times"), tail="GROUP BY region"),
     _gauge("earthquake_sequence_count", "arg_max(eq_count, (time, eq_count))",
            o.since("sequence", "1 hour", of="live_times"), tail="GROUP BY region"),
-    _gauge("max_earthquake_magnitude_24h", "max(magnitude)",
-           o.since("stream_points", "24 hours", of="live_times"), tail="GROUP BY region"),
 ]), "stream_points", live_times="SELECT event_time AS time FROM live", hourly=HOURLY_POINTS,
     sequence=SEQUENCE_POINTS))(_snapshot)
+# Kept by a stream, as of its watermark.
+register("stream_replay_gauges", o.sql(" UNION ALL ".join(_EVENT_GAUGES), "stream_points",
+    live_times="SELECT date_trunc('milliseconds', max(time)) - INTERVAL 30 SECOND AS time FROM stream_points"))(replay.series)
 
 # --- alerts -----------------------------------------------------------------------------------
 

@@ -43,6 +43,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder, which need not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in store.listStatus(folder)] if store.exists(folder) else []
+
+
 def range_filter(df: DataFrame, start=None, stop=None, time: str = "time") -> DataFrame:
     """Half open: start included, stop not. Prunes the ``date`` folders where there are any."""
     out = df

@@ -30,11 +30,6 @@ def window_of(name: str, durations: str = "intended") -> tuple[int, int]:
     return statistics.WINDOWS[durations][live.WINDOW_OF[name]]
 
 
-def shaped(stats: DataFrame, name: str) -> DataFrame:
-    """The stored form of a statistic: its points, and the start of the window they are of."""
-    return live.POINTS[name](stats.withColumn("window", F.col("window_start")))
-
-
 def windows_over(spans: DataFrame, name: str, durations: str) -> DataFrame:
     """``window``: the windows of a statistic that overlap ``[low, low + grain)``, given in seconds, for each row."""
     size, slide = window_of(name, durations)
@@ -50,22 +45,16 @@ def recomputed(silver: DataFrame, windows: DataFrame, name: str, durations: str)
     reach = F.col("window") + F.expr(f"interval {size - 1} seconds")
     days = windows.select(F.explode(F.sequence(F.to_date("window"), F.to_date(reach))).alias("date")).distinct()
     rows = silver.join(F.broadcast(days), "date", "left_semi")  # one row per day of the calendar
-    return shaped(live.STATISTICS[name](rows, durations), name).join(windows, "window", "left_semi")
-
-
-def written(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """What the stream has written, without corrections; it may be nothing yet."""
-    none = spark.createDataFrame([], QUAKES)
-    return spark.read.schema(shaped(live.STATISTICS[name](none), name).schema).parquet(f"{root}/{name}")
+    return live.shaped(live.STATISTICS[name](rows, durations), name).join(windows, "window", "left_semi")
 
 
 def read_statistic(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A live statistic with its corrections: of each window the rows of the highest version.
 
     Versions are whole windows, so that only the list of corrected windows, with their highest version, is
-    joined to the table: nothing is grouped or sorted.
+    joined to the table: nothing is grouped or sorted, and filters on ``date`` reach the folders.
     """
-    base = written(spark, root, name)
+    base = live.read_table(spark, root, name)
     path = f"{root}/corrected/{name}"
     if not exists(spark, path):
         return base
@@ -132,7 +121,7 @@ def correct(
         spans = session.read.parquet(staged)
         kept = [session.createDataFrame([], STATE)]
         for name in names:
-            last = written(session, root, name).agg(F.max("window")).first()[0]  # one instant
+            last = live.read_table(session, root, name).agg(F.max("window")).first()[0]  # one instant
             touched = windows_over(spans, name, durations).where("end <= bound").select("window")
             waiting = touched.unionByName(before.where(F.col("name") == name).select("window")).distinct()
             closed: Column = F.lit(False) if last is None else F.col("window") <= F.lit(last)

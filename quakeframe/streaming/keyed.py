@@ -40,6 +40,10 @@ class Ordered(StatefulProcessor):
     def step(self, key: tuple, state: dict, at: int) -> list[tuple]:
         raise NotImplementedError
 
+    def settle(self, key: tuple, state: dict) -> list[tuple]:
+        """What is put out once all is worked off that the watermark allows."""
+        return []
+
     def idle(self, state: dict) -> bool:
         """Whether the state can be forgotten once nothing is to come."""
         return True
@@ -77,6 +81,7 @@ class Ordered(StatefulProcessor):
         while at is not None and at <= self.now:
             out += self.step(key, state, at)
             at = self.next_at(key, state)
+        out += self.settle(key, state)
         if state["timer"] not in (None, at):
             self.handle.deleteTimer(state["timer"])
         if at is not None and state["timer"] != at:

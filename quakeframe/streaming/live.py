@@ -11,11 +11,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from quakeframe.operators import clean, points, statistics
 from quakeframe.schema import MEASUREMENTS, QUAKES
 from quakeframe.sources.catalogue import MIN_MAGNITUDE
 from quakeframe.sources.tables import exists, write_by_date
+from quakeframe.streaming import compaction
 
 WATERMARK = "30 seconds"
 
@@ -113,12 +115,14 @@ def write_files(
 
 
 def write_log(df: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = "1 minute") -> StreamingQuery:
-    """A log of writes, one folder per micro-batch, to be merged by ``points.upsert``.
+    """A log of writes, one folder per micro-batch, with folders by day if rows have a ``date``.
 
-    A batch that is run again after a failure replaces its own folder, so nothing is doubled.
+    A batch that is run again after a failure replaces its own folder, so nothing is doubled. To be read by
+    ``compaction.read``, or merged field by field by ``points.upsert`` where points are written more than once.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        out = batch.write.mode("overwrite")
+        (out.partitionBy("date") if "date" in batch.columns else out).parquet(f"{path}/batch_id={batch_id}")
 
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
@@ -140,6 +144,33 @@ def compact_log(spark: SparkSession, path: str, target: str) -> None:
     write_by_date(read_log(spark, path), target)
 
 
+def by_day(stored: DataFrame) -> DataFrame:
+    return stored.withColumn("date", F.to_date("time"))
+
+
+def shaped(stats: DataFrame, name: str) -> DataFrame:
+    """The stored form of a statistic: its points, the start of the window they are of, and their day."""
+    return by_day(POINTS[name](stats.withColumn("window", F.col("window_start"))))
+
+
+def stored_schema(spark: SparkSession, name: str) -> StructType:
+    """The columns of a live table."""
+    none = spark.createDataFrame([], QUAKES)
+    return (by_day(points.event_points(none)) if name == "earthquake_events" else shaped(STATISTICS[name](none), name)).schema
+
+
+def read_table(spark: SparkSession, root: str, name: str, at: compaction.Snapshot | None = None) -> DataFrame:
+    """A live table by day, as it was written: the event points or a statistic. Each row is seen once, whatever is compacted meanwhile."""
+    return compaction.read(spark, f"{root}/{name}", stored_schema(spark, name), at)
+
+
+def compact(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Gathers the small files of all live tables into their days. To be run now and then beside the streams."""
+    for name in ("earthquake_events", *STATISTICS):
+        if compaction.compact(spark, f"{root}/{name}", stored_schema(spark, name)) is not None:
+            compaction.expire(spark, f"{root}/{name}", keep)
+
+
 def late_hours(silver_rows: DataFrame, hourly: DataFrame) -> DataFrame:
     """Hours that have more events than their closed window counted: ``window_start``.
 
@@ -211,8 +242,7 @@ def run_live(
     launch(write_files(rows, silver_path, f"{checkpoints}/silver", "date", once))
     launch(write_files(rejected(messages, arrival_for_time), f"{root}/dead_letters", f"{checkpoints}/dead_letters", None, once))
     table = lambda: read_silver(spark, silver_path, delay)
-    launch(write_log(points.event_points(table()), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
+    launch(write_log(by_day(points.event_points(table())), f"{root}/earthquake_events", f"{checkpoints}/earthquake_events", once))
     for name in names or STATISTICS:
-        shaped = POINTS[name](statistic(table(), name, durations).withColumn("window", F.col("window_start")))
-        launch(write_files(shaped, f"{root}/{name}", f"{checkpoints}/{name}", None, once))
+        launch(write_log(shaped(statistic(table(), name, durations), name), f"{root}/{name}", f"{checkpoints}/{name}", once))
     return queries

@@ -16,7 +16,7 @@ from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
 from quakeframe.sources.live import read_text_stream
 from quakeframe.sources.tables import write_by_date
-from quakeframe.streaming import corrections, hold, live, notices, rules
+from quakeframe.streaming import corrections, gauges, hold, live, notices, rules
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -59,6 +59,14 @@ def run_in_parts(
     state outlives a restart in the midst of whatever goes on.
     """
     root = work_dir(spark, name)
+    for stream in arriving(spark, rows, time, root, parts):
+        built = build(stream)
+        live.write_files(built, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(built.schema).parquet(f"{root}/out")
+
+
+def arriving(spark: SparkSession, rows: DataFrame, time: str, root: str, parts: int) -> Iterator[DataFrame]:
+    """A stream over what has arrived, after each of ``parts`` of the rows by time."""
     staged = f"{root}/rows"
     rows.write.parquet(staged)
     rows = spark.read.schema(rows.schema).parquet(staged)
@@ -68,9 +76,7 @@ def run_in_parts(
     with state_settings(spark):
         for part in range(parts):
             rows.where(number == part).write.mode("append").parquet(f"{root}/in")
-            stream = build(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
-            live.write_files(stream, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+            yield spark.readStream.schema(rows.schema).parquet(f"{root}/in")
 
 
 def statistic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -170,3 +176,12 @@ def inhibited(spark: SparkSession, targets: DataFrame, sources: DataFrame, equal
         return notices.inhibition_stream(side(False), side(True), equal, 7 * 86400)
 
     return notices.net_parts(run_in_parts(spark, rows, "arrival", "inhibit", build, parts=5))
+
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gauges over events as they are kept when the watermark stops."""
+    root = work_dir(spark, "gauges")
+    for stream in arriving(spark, points.event_points(live_events(spark, sf_dir)), "time", root, 3):
+        changes = gauges.gauge_stream(stream.withWatermark("time", live.WATERMARK))
+        gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return gauges.read_series(spark, f"{root}/out").drop("at_ms")

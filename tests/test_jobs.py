@@ -10,7 +10,7 @@ from quakeframe.plans.events import live, quakes
 from quakeframe.schema import CATALOGUE_FIELDS
 from quakeframe.sources import tables
 from quakeframe.streaming import corrections
-from quakeframe.streaming.live import STATISTICS
+from quakeframe.streaming.live import STATISTICS, read_table, shaped
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,7 +67,7 @@ def test_corrections_of_all_statistics(spark, tmp_path):
     end = silver.agg(F.max("event_time")).first()[0]
 
     def whole(rows, name):
-        return corrections.shaped(STATISTICS[name](rows), name)
+        return shaped(STATISTICS[name](rows), name)
 
     def over(name, days):
         """The windows that end so many days before the last event."""
@@ -78,7 +78,7 @@ def test_corrections_of_all_statistics(spark, tmp_path):
 
     on_time.write.parquet(f"{root}/silver")
     for name in STATISTICS:  # the stream has closed what ended two days before the last event
-        whole(on_time, name).where(over(name, 2)).write.parquet(f"{root}/{name}")
+        whole(on_time, name).where(over(name, 2)).write.partitionBy("date").parquet(f"{root}/{name}/batch_id=0")
     jobs.main(["correct", "--out", root], spark)
     assert not any(spark.read.schema("window timestamp").parquet(f"{root}/corrected/{name}").count() for name in STATISTICS)
     late.write.mode("append").parquet(f"{root}/silver")
@@ -86,10 +86,11 @@ def test_corrections_of_all_statistics(spark, tmp_path):
     fixed = {name: spark.read.parquet(f"{root}/corrected/{name}").count() for name in STATISTICS}
     assert sum(n > 0 for n in fixed.values()) >= 6, fixed  # the fixture has few strong events and no sequences of half an hour
     for name in STATISTICS:
-        closed = F.col("window") <= spark.read.parquet(f"{root}/{name}").agg(F.max("window")).scalar()
+        closed = F.col("window") <= read_table(spark, root, name).agg(F.max("window")).scalar()
         assert stored(corrections.read_statistic(spark, root, name)) == stored(whole(silver, name).where(closed)), name
     name = "rolling_24h"  # a day later; these windows were closed without the late events too
-    whole(on_time, name).where(~over(name, 2) & over(name, 1)).write.mode("append").parquet(f"{root}/{name}")
+    whole(on_time, name).where(~over(name, 2) & over(name, 1)).write.partitionBy("date").parquet(f"{root}/{name}/batch_id=1")
+    jobs.main(["compact", "--out", root], spark)
     on_time.limit(1).withColumn("id", F.lit("again")).withColumn("event_time", F.lit(end)).write.mode("append").parquet(f"{root}/silver")
     jobs.main(["correct", "--out", root], spark)
     assert stored(corrections.read_statistic(spark, root, name)) == stored(whole(silver, name).where(over(name, 1)))
