@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quakeframe.functions import bins
 from quakeframe.operators import buckets
 from quakeframe.sources.catalogue import as_of_column, has_date
-from quakeframe.sources.tables import range_filter
+from quakeframe.sources.tables import newest, range_filter
 
 
 def _before(as_of: Column, **interval: int) -> Column:
@@ -36,22 +36,30 @@ def latest(df: DataFrame, n: int, *columns: str, time: str = "time", tie: str =
     return out.select(*columns) if columns else out
 
 
-def live_feed(points: DataFrame, n: int = 50, start=None, stop=None) -> DataFrame:
-    rows = range_filter(points, start, stop).dropna(subset=["magnitude", "place"])
+def _newest(points: DataFrame, n: int, rows: Callable[[DataFrame], DataFrame], days: Sequence[str] | None) -> DataFrame:
+    """The rows to sort: of a table by date whose ``days`` are given (``tables.days_of``), those of the newest days that suffice."""
+    return rows(points) if days is None else newest(points, days, n, rows)
+
+
+def live_feed(points: DataFrame, n: int = 50, start=None, stop=None, days: Sequence[str] | None = None) -> DataFrame:
+    rows = _newest(points, n, lambda df: range_filter(df, start, stop).dropna(subset=["magnitude", "place"]), days)
     return latest(rows, n, "time", "place", "magnitude")
 
 
-def event_map(points: DataFrame, n: int = 1000, region: str | None = None, start=None, stop=None) -> DataFrame:
+def event_map(
+    points: DataFrame, n: int = 1000, region: str | None = None, start=None, stop=None, days: Sequence[str] | None = None,
+) -> DataFrame:
     """Latest positioned events with their display band, optionally of regions matching a pattern."""
-    rows = range_filter(points, start, stop).dropna(subset=["magnitude", "latitude", "longitude"])
-    if region is not None:
-        rows = rows.where(F.col("region").rlike(region))
-    top = latest(rows, n, "time", "event_id", "magnitude", "latitude", "longitude", "place")
+    def rows(df: DataFrame) -> DataFrame:
+        found = range_filter(df, start, stop).dropna(subset=["magnitude", "latitude", "longitude"])
+        return found if region is None else found.where(F.col("region").rlike(region))
+
+    top = latest(_newest(points, n, rows, days), n, "time", "event_id", "magnitude", "latitude", "longitude", "place")
     return top.withColumn("band", bins.band(F.col("magnitude"), bins.MAP_BANDS))
 
 
-def recent_alerts(points: DataFrame, n: int = 20, start=None, stop=None) -> DataFrame:
-    strong = range_filter(points, start, stop).where(F.col("magnitude") >= bins.SIGNIFICANT_FROM)
+def recent_alerts(points: DataFrame, n: int = 20, start=None, stop=None, days: Sequence[str] | None = None) -> DataFrame:
+    strong = _newest(points, n, lambda df: range_filter(df, start, stop).where(F.col("magnitude") >= bins.SIGNIFICANT_FROM), days)
     top = latest(strong, n, "time", "region", "magnitude")
     return top.select(
         "time", "region", F.col("magnitude").alias("max_magnitude"),

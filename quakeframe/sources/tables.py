@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +53,27 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in store.listStatus(folder)] if store.exists(folder) else []
 
 
+def days_of(spark: SparkSession, path: str) -> list[str]:
+    """The days of a table kept by date, newest first: one listing of its folder, no file is opened."""
+    found = (re.fullmatch(r"date=(\d{4}-\d{2}-\d{2})", name) for name in names_in(spark, path))
+    return sorted((m.group(1) for m in found if m), reverse=True)
+
+
+def newest(df: DataFrame, days: Sequence[str], n: int, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` of the newest days that have ``n`` of them together, or of all days if they have fewer.
+
+    Goes back from the newest day, twice as many days each time, and counts no more than are still missing;
+    so a search for the latest of a year opens a day or two. Rows of one day are later than those of the days
+    before, so the ``n`` latest rows of the table, whatever the ties, are among the result.
+    """
+    at, span, have = 0, 1, 0
+    while at < len(days) and have < n:
+        last = min(len(days), at + span) - 1
+        have += rows(df.where(F.col("date").between(F.lit(days[last]).cast("date"), F.lit(days[at]).cast("date")))).limit(n - have).count()
+        at, span = last + 1, 2 * span
+    return rows(df.where(F.col("date") >= F.lit(days[at - 1]).cast("date")) if at else df)
+
+
 def range_filter(df: DataFrame, start=None, stop=None, time: str = "time") -> DataFrame:
     """Half open: start included, stop not. Prunes the ``date`` folders where there are any."""
     out = df

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quakeframe.sources.tables import delete, names_in
+from quakeframe.sources.tables import days_of, delete, names_in
 
 MANIFEST = "date date, version int, last int"
 DAYS, MANIFESTS = "_days", "_manifests"
@@ -69,6 +69,13 @@ def read(spark: SparkSession, log: str, schema: StructType, at: Snapshot | None
     return out
 
 
+def days_in(spark: SparkSession, log: str, at: Snapshot | None = None) -> list[str]:
+    """The days of a log, newest first, from its manifest and the folders of the batches behind it."""
+    at = snapshot(spark, log) if at is None else at
+    found = {date for date, _ in at.days}
+    return sorted(found.union(*(days_of(spark, f"{log}/batch_id={batch}") for batch in at.batches)), reverse=True)
+
+
 def compact(spark: SparkSession, log: str, schema: StructType) -> int | None:
     """Gathers the batches since the last manifest into their days; returns the new version, if there is one.
 

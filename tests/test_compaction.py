@@ -91,3 +91,26 @@ def test_nothing_yet(spark, tmp_path):
     assert compaction.read(spark, str(tmp_path / "none"), schema).count() == 0
     assert compaction.compact(spark, str(tmp_path / "none"), schema) is None
     compaction.expire(spark, str(tmp_path / "none"))
+
+
+def test_latest_rows_open_the_newest_days(spark, tmp_path):
+    """A year of days, with rows of equal time on both sides of midnight and days without rows that count."""
+    from quakeframe.sources import tables
+
+    second = F.timestamp_seconds(1704067200 + F.col("day") * 86400 + F.when(F.col("i") < 4, 0).when(F.col("i") < 8, 86399).otherwise(F.col("i") * 600))
+    rows = spark.range(366 * 30).select((F.col("id") % 366).alias("day"), F.floor(F.col("id") / 366).alias("i")).select(
+        second.alias("time"), F.concat(F.col("day"), F.lit("-"), F.col("i")).alias("event_id"), F.lit("x").alias("place"), F.lit("r").alias("region"),
+        F.when((F.col("day") < 300) & (F.col("i") == 3), 6.5).otherwise(4.0).alias("magnitude"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+    path = str(tmp_path / "year")
+    tables.write_by_date(rows, path)
+    table, days = spark.read.parquet(path), tables.days_of(spark, path)
+    assert len(days) == 366 and days[0] == "2024-12-31"
+    for compute, folders in ((lambda df, **o: panels.live_feed(df, 50, **o), 3), (lambda df, **o: panels.live_feed(df, 26, **o), 1),
+                             (lambda df, **o: panels.event_map(df, 31, **o), 3), (lambda df, **o: panels.recent_alerts(df, 5, **o), 127)):
+        found = compute(table, days=days)
+        assert found.collect() == compute(rows).collect()
+        scan = found._jdf.queryExecution().executedPlan().toString()
+        first = re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= (\d{4}-\d{2}-\d{2})", scan).group(1)
+        assert sum(d >= first for d in days) <= folders
+    assert panels.recent_alerts(table, 10**6, days=days).count() == panels.recent_alerts(rows, 10**6).count()
+    assert panels.live_feed(table.limit(0), 5, days=[]).count() == 0
