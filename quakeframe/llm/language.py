@@ -6,13 +6,13 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.llm.common import map_rows
 
 ORDER = 3  # bytes of the longest context
-SAMPLE_DOCS = 400  # documents of a language, about, that the model is fitted on
+SAMPLE_DOCS = 400  # different texts of a language that the model is fitted on
 FOLD, FOLDS = 1, 3
 BLOCK_BYTES = 1 << 20  # texts are scored together up to this size
 _U64 = np.uint64
@@ -193,19 +193,20 @@ def held_out(doc_id: Column, fold: int = FOLD, folds: int = FOLDS) -> Column:
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> Model:
-    """Fits the model on whole texts of about ``sample_docs`` documents of each language, by a hash of the text.
+    """Fits the model on ``sample_docs`` different whole texts of each language, the first by a hash of the text.
 
-    Texts with a null or no letter, a null ``lang`` or in the held-out fold aren't learned from. All
-    documents are counted by language first. Grams are counted where the texts are and summed up by
-    Spark; the model, whose size is bounded by the sample, goes to the driver and to each task.
+    Texts with a null or no letter, a null ``lang`` or in the held-out fold aren't learned from. A text that
+    has copies counts once, so a language of few texts with many copies is learned from all of them, and the
+    sample is bounded whatever repeats. The hashes of all documents are compared first; only texts that they
+    name are read as texts. Grams are counted where the texts are and summed up by Spark; the model, whose
+    size is bounded by the sample, goes to the driver and to each task.
     """
-    usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n))]) if sizes else None
-    if share is None:
-        return Model([], {}, order)
-    hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.where(hashed < F.element_at(share, F.col("lang")))
+    usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("h"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    first = usable.select("lang", "h").distinct().withColumn("place", place).where(F.col("place") <= sample_docs).drop("place")
+    sample = usable.join(F.broadcast(first), ["lang", "h"], "left_semi")  # one row per language and sampled text
+    sample = sample.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def grams(blocks):
         for block in blocks:
@@ -215,7 +216,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -
                 yield [lang] * len(found), found.view(np.int64), n
 
     counted = map_rows(sample, grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    frame = counted.toPandas()
+    frame = counted.toPandas()  # no rows where there is nothing to learn from
     counts = {x: (own["gram"].to_numpy(np.int64).view(_U64), own["n"].to_numpy(np.int64)) for x, own in frame.groupby("lang")}
     return Model(sorted(counts), counts, order)
 

@@ -66,3 +66,14 @@ def test_odd_documents(docs):
     assert by[33].lang_pred == by[34].lang_pred == "en" and by[None].lang_pred == "de" and by[None].held_out
     assert language.identified(docs([])).collect() == []
     assert [r.lang_pred for r in language.identified(docs([(1, "text", None)])).collect()] == ["und"]
+
+
+@pytest.mark.parametrize("sample", [3, 400])
+def test_a_language_of_few_copied_texts_is_learned(docs, sample):
+    rng = random.Random(8)
+    german = ["der hund und die katze schlafen", "wir gehen heute nicht nach hause", "das wetter ist schön und warm", "ich habe keine zeit für dich", "sie liest ein gutes buch"]
+    english = [" ".join(rng.choice(["the", "dog", "and", "cats", "with", "house", "they", "this", "have"]) for _ in range(12)) for _ in range(50)]
+    rows = [(i, german[i % 5], "de") for i in range(1000)] + [(1000 + i, text, "en") for i, text in enumerate(english)]
+    found = language.identified(docs(rows), sample).collect()
+    right = sum(r.lang_pred == ("de" if r.doc_id < 1000 else "en") for r in found)
+    assert right > 0.95 * len(rows)
