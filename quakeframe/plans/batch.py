@@ -14,7 +14,7 @@ from quakeframe.operators import clean, points, statistics
 from quakeframe.schema import KEPT_FIELDS, QUAKES
 from quakeframe.session import work_dir
 from quakeframe.sources import tables
-from quakeframe.sources.catalogue import MIN_MAGNITUDE, range_scan, read_csv
+from quakeframe.sources.catalogue import BLOCK, FILE, MIN_MAGNITUDE, RECORD, range_scan, read_records
 
 SILVER = StructType([f for f in QUAKES if f.name != "date"] + [StructField("date", QUAKES["date"].dataType)])
 
@@ -113,12 +113,21 @@ def build_silver(
 
 
 def unreadable(raw: DataFrame) -> DataFrame:
-    """Catalogue rows, as they came, whose time or magnitude is missing or cannot be read, with the reason."""
+    """Catalogue rows, as they came, that cannot be used, with the reason: a record without the fields of the
+    catalogue, or one whose id, time or magnitude is missing or cannot be read."""
+    origin = [c for c in (RECORD, FILE, BLOCK) if c in raw.columns]
     reason = (
-        F.when(times.parse_catalogue_time(F.col("time")).isNull(), "no time")
+        F.when(F.coalesce(F.col("id"), F.lit("")) == "", "no id")
+        .when(times.parse_catalogue_time(F.col("time")).isNull(), "no time")
         .when(bins.finite(F.col("mag")).isNull(), "no magnitude")
     )
-    return clean.dead_letters(raw.select(*KEPT_FIELDS), reason)
+    reason = F.when(F.col(RECORD).isNotNull(), "malformed").otherwise(reason) if RECORD in origin else reason
+    return clean.dead_letters(raw.select(*KEPT_FIELDS, *origin), reason)
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    """Records that have all fields, and an id: events without one would be taken for revisions of each other."""
+    return raw.where(F.col(RECORD).isNull() & (F.col("id") != "")).drop(RECORD, FILE, BLOCK)
 
 
 # The first day of the period of a statistic that a day belongs to. Published weeks join the calendar
@@ -156,9 +165,9 @@ def run_batch(
     first day of their periods; the CSV files are an export of the whole tables, and points are shaped
     from the tables, so no text passes through CSV on its way to a point.
     """
-    raw, staged = read_csv(spark, csv_path), work_dir(spark, "batch")
+    raw, staged = read_records(spark, csv_path), work_dir(spark, "batch")
     unreadable(raw).write.mode("overwrite").parquet(f"{root}/unreadable")
-    days = merge_silver(typed_range(raw, start, end, min_magnitude), f"{root}/silver", staged)
+    days = merge_silver(typed_range(well_formed(raw), start, end, min_magnitude), f"{root}/silver", staged)
     silver = spark.read.schema(SILVER).parquet(f"{root}/silver")
     touched = silver.join(F.broadcast(days), "date", "left_semi").select(*SILVER.names)
 

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quakeframe.schema import CATALOGUE_CSV
 
@@ -28,6 +28,30 @@ def read_csv(
     return reader.csv(path)
 
 
+RECORD, FILE, BLOCK = "record", "file", "block"
+
+
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some line has a quote that it does not close, so that its record goes on in the next one."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_records(spark: SparkSession, path: str, schema: StructType = CATALOGUE_CSV) -> DataFrame:
+    """All records, also those that do not have the fields of the schema, with where they come from.
+
+    A record with too few or too many fields keeps its text as ``record``, which is null for all others;
+    ``file`` and ``block`` (the byte at which the reading task began in it) tell where to look for it. Lines
+    are told from records: a quoted line break belongs to its field. Files are split among tasks unless
+    one has such a line break; then each file is read by one task.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+    reader = reader.schema(StructType([*schema, StructField(RECORD, StringType())])).option("columnNameOfCorruptRecord", RECORD)
+    # Whether a record has all fields is known only where all of them are parsed.
+    rows = reader.option("columnPruning", False).option("multiLine", spans_lines(spark, path)).csv(path)
+    return rows.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+
+
 def time_range(
     start: str | None = None, end: str | None = None, delta_seconds: int | None = None,
     now: datetime | None = None,

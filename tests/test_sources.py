@@ -161,3 +161,29 @@ def test_text_of_any_kind_reaches_the_points(spark, tmp_path):
     assert [(r.region, r.eq_count) for r in stored] == [("A\tB", 3)]
     letters = spark.read.parquet(f"{tmp_path}/out/unreadable").collect()
     assert sorted((r.id, r.reason) for r in letters) == [("x", "no time"), ("y", "no magnitude")]
+
+
+def test_malformed_records_are_dead_letters(spark, tmp_path):
+    """A short line, a long one and one without an id are rejected; a quoted line break is part of its field."""
+    def line(i, **values):
+        return ",".join({**{c: "" for c in CATALOGUE_FIELDS}, "time": "2024-01-01T00:00:00.000Z", "mag": "5.0", "id": f"e{i}", "place": f'"{i} km, Chile"', **values}.values())
+
+    short = line(3).split(",")[:5]
+    lines = [",".join(CATALOGUE_FIELDS), line(1), line(2, place='"3 km of\nLima, Peru"'), ",".join(short), line(4) + ",x,y", line(5, id=""), line(6, id=""), line(7)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    (folder / "b.csv").write_text("\n".join([lines[0], line(8), line(9) + ",z"]) + "\n")
+    assert catalogue.spans_lines(spark, str(folder)) and not catalogue.spans_lines(spark, str(folder / "b.csv"))
+    batch.run_batch(spark, str(folder), f"{tmp_path}/out")
+    silver = {r.id: r.place for r in spark.read.parquet(f"{tmp_path}/out/silver").collect()}
+    assert silver == {"e1": "1 km, Chile", "e2": "3 km of\nLima, Peru", "e7": "7 km, Chile", "e8": "8 km, Chile"}
+    letters = spark.read.parquet(f"{tmp_path}/out/unreadable").collect()
+    assert sorted(r.reason for r in letters) == ["malformed"] * 3 + ["no id"] * 2
+    found = {r.file.rsplit("/", 1)[1]: r.record for r in letters if r.reason == "malformed" and r.record.startswith(line(9)[:20]) and "e9" in r.record}
+    assert found == {"b.csv": line(9) + ",z"}
+    assert any(r.record == ",".join(short) for r in letters) and any((r.record or "").endswith(",x,y") for r in letters)
+    # Without a line break in quotes files are split; the answer is the same.
+    batch.run_batch(spark, str(folder / "b.csv"), f"{tmp_path}/one")
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/one/silver").collect()] == ["e8"]
+    assert [(r.reason, r.record) for r in spark.read.parquet(f"{tmp_path}/one/unreadable").collect()] == [("malformed", line(9) + ",z")]
