@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quakeframe.operators import alerts, metrics, points, statistics
+from quakeframe.operators import alerts, metrics, panels, points, statistics
 from quakeframe.schema import QUAKES
 from quakeframe.session import work_dir
 from quakeframe.sources.tables import delete, exists
-from quakeframe.streaming import gauges, notices, rules
+from quakeframe.streaming import gauges, liveness, notices, rules
 from quakeframe.streaming.live import WATERMARK, read_silver, write_files
 
 COLUMNS = ["alertname", "severity", "region", "depth_bin", "pending_at", "firing_at", "resolved_at", "peak"]
@@ -51,7 +51,8 @@ def run_rules(
 ) -> list[StreamingQuery]:
     """Starts the rules over the silver table as streams: changes of alerts, silences, what is sent, and the gauges.
 
-    ``gauges`` is a table with one row per series. ``alert_changes`` has what the rules over events say, ``silences`` what the clock says. Notifications read
+    ``gauges`` is a table with one row per series, ``liveness`` one with a row per status panel and calendar
+    unit. ``alert_changes`` has what the rules over events say, ``silences`` what the clock says. Notifications read
     the changes; critical alerts mute warnings of the same name and region. With ``once`` the stages run to
     the end of the table, one after the other, and silences, which need a clock that goes on, are left out.
     """
@@ -66,9 +67,13 @@ def run_rules(
     stored = points.event_points(read_silver(spark, f"{root}/silver", delay))
     if not once:
         launch(rules.silence_stream(stored), "silences")
-    queries.append(gauges.write_series(gauges.gauge_stream(stored), f"{root}/gauges", f"{checkpoints}/gauges", once, interval))
-    if once:
-        queries[-1].awaitTermination()
+    status = liveness.unit_stream(stored, [panel for panel in panels.LIVENESS if panel[1] != "batch"])
+    for df, name, options in (
+        (gauges.gauge_stream(stored), "gauges", {}), (status, "liveness", {"keys": ("panel", "bucket_ms"), "alive": "true"}),
+    ):
+        queries.append(gauges.write_series(df, f"{root}/{name}", f"{checkpoints}/{name}", once, interval, **options))
+        if once:
+            queries[-1].awaitTermination()
     launch(rules.rule_stream(stored), "alert_changes")
     if not exists(spark, f"{root}/alert_changes"):  # so that it can be read as a stream before anything fires
         spark.createDataFrame([], rules.CHANGES).write.parquet(f"{root}/alert_changes")

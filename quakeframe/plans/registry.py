@@ -667,25 +667,31 @@ register("gap_filled_daily_counts", o.sql(
     over(batch_points, lambda df: buckets.calendar_count(df, ["region"])))
 
 
-def _liveness_sql(panel: str, table: str, where: str, unit: str, back: str) -> str:
+def _liveness_sql(panel: str, table: str, where: str, unit: str, back: str, now: str = o.as_of("all_points")) -> str:
     off, on = bins.FLAG_TEXTS[panel]
-    now = o.as_of("all_points")
     step = {"day": "1 DAY", "year": "1 YEAR"}[unit]
     return f"""SELECT '{panel}' AS panel, bucket, CAST(n > 0 AS INTEGER) AS flag,
       CASE WHEN n > 0 THEN '{on}' ELSE '{off}' END AS status
-    FROM (SELECT bucket, (SELECT count(*) FROM {table} WHERE {where} AND time >= {now} - INTERVAL '{back}'
+    FROM (SELECT bucket, (SELECT count(*) FROM {table} WHERE {where} AND time >= {now} - INTERVAL '{back}' AND time <= {now}
         AND CAST(date_trunc('{unit}', time) AS TIMESTAMP) = bucket) AS n
       FROM (SELECT unnest(generate_series(CAST(date_trunc('{unit}', {now} - INTERVAL '{back}') AS TIMESTAMP),
         CAST(date_trunc('{unit}', {now}) AS TIMESTAMP), INTERVAL {step})) AS bucket))"""
 
 
-register("source_liveness", o.sql(" UNION ALL ".join([
-    _liveness_sql("streaming", "all_points", "source = 'stream'", "day", "1 day"),
-    _liveness_sql("batch", "all_points", "source = 'batch'", "year", "12 months"),
-    _liveness_sql("producer", "all_points", "true", "day", "1 day"),
-    _liveness_sql("store", "all_points", "true", "day", "1 day"),
-]), "all_points"))(
+def _all_liveness(*now: str) -> str:
+    return o.sql(" UNION ALL ".join([
+        _liveness_sql("streaming", "all_points", "source = 'stream'", "day", "1 day", *now),
+        _liveness_sql("batch", "all_points", "source = 'batch'", "year", "12 months", *now),
+        _liveness_sql("producer", "all_points", "true", "day", "1 day", *now),
+        _liveness_sql("store", "all_points", "true", "day", "1 day", *now),
+    ]), "all_points")
+
+
+register("source_liveness", _all_liveness())(
     over(all_points, lambda df: panels.source_liveness(df, scans.as_of_column(df, "time"))))
+# Kept by a stream, with zeros from timers, as of its watermark.
+register("stream_replay_liveness", _all_liveness("(SELECT date_trunc('milliseconds', max(time)) - INTERVAL 30 SECOND FROM all_points)"))(
+    lambda spark, sf: replay.status(spark, all_points(spark, sf)))
 
 # --- metrics ----------------------------------------------------------------------------------
 

@@ -6,7 +6,7 @@ added when it comes and evicted when it leaves, and a scrape reads one row per s
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeframe.operators import metrics
-from quakeframe.sources.tables import delete, names_in
+from quakeframe.sources.tables import delete
+from quakeframe.streaming.compaction import complete
 from quakeframe.streaming.corrections import read_statistic
 from quakeframe.streaming.keyed import Ordered
 
@@ -107,25 +108,24 @@ def gauge_stream(points: DataFrame, gauges: tuple[Gauge, ...] = GAUGES) -> DataF
 
 # --- the keyed table --------------------------------------------------------------------------
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """The versions of a table that were written to their end."""
-    found = [int(m.group(1)) for m in (re.fullmatch(r"version=(\d+)", name) for name in names_in(spark, path)) if m]
-    return sorted(v for v in found if "_SUCCESS" in names_in(spark, f"{path}/version={v}"))
-
-
-def write_series(changes: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = "15 seconds") -> StreamingQuery:
+def write_series(
+    changes: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = "15 seconds",
+    keys: Sequence[str] = ("metric", "region"), alive: str = "value is not null",
+) -> StreamingQuery:
     """Keeps a table with one row per series. Each micro-batch writes it anew as the next version, whole or not at all.
 
-    The table has a row for each metric and region that has a value, so a version is small. A batch that runs
+    The table has a row for each value of ``keys`` that is ``alive``, so a version is small. A batch that runs
     again writes its own version again from the one before it. The last two versions stay for readers.
     """
+    schema = changes.schema
+
     def save(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = [v for v in _versions(spark, path) if v < number]
-        rows = batch.where("value is not null")
+        before = [v for v in complete(spark, path, "version") if v < number]
+        rows = batch.where(alive)
         if before:
-            old = spark.read.schema(SERIES).parquet(f"{path}/version={before[-1]}")
-            rows = old.join(batch.select("metric", "region"), ["metric", "region"], "left_anti").select(*batch.columns).unionByName(rows)
+            old = spark.read.schema(schema).parquet(f"{path}/version={before[-1]}")
+            rows = old.join(batch.select(*keys), list(keys), "left_anti").select(*batch.columns).unionByName(rows)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={number}")
         for version in before[:-1]:
             delete(spark, f"{path}/version={version}")
@@ -134,10 +134,10 @@ def write_series(changes: DataFrame, path: str, checkpoint: str, once: bool = Fa
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
+def read_series(spark: SparkSession, path: str, schema: str = SERIES) -> DataFrame:
     """The series as of the last micro-batch."""
-    versions = _versions(spark, path)
-    return spark.read.schema(SERIES).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], SERIES)
+    versions = complete(spark, path, "version")
+    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
 def scrape(spark: SparkSession, root: str, as_of: Column) -> DataFrame:

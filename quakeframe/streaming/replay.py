@@ -16,7 +16,7 @@ from quakeframe.schema import QUAKES
 from quakeframe.session import SETTINGS, prepare, work_dir
 from quakeframe.sources.live import read_text_stream
 from quakeframe.sources.tables import write_by_date
-from quakeframe.streaming import corrections, gauges, hold, live, notices, rules
+from quakeframe.streaming import corrections, gauges, hold, live, liveness, notices, rules
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -185,3 +185,13 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
         changes = gauges.gauge_stream(stream.withWatermark("time", live.WATERMARK))
         gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
     return gauges.read_series(spark, f"{root}/out").drop("at_ms")
+
+
+def status(spark: SparkSession, stored: DataFrame) -> DataFrame:
+    """The status panels as they are kept when the watermark stops, which is 30 seconds before the last point."""
+    root, keys = work_dir(spark, "units"), ("panel", "bucket_ms")
+    for stream in arriving(spark, stored, "time", root, 3):
+        changes = liveness.unit_stream(stream.withWatermark("time", live.WATERMARK))
+        gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", True, keys=keys, alive="true").awaitTermination()
+    last = spark.read.schema(stored.schema).parquet(f"{root}/rows").agg(F.date_trunc("millisecond", F.max("time")) - F.expr(f"interval {live.WATERMARK}"))
+    return liveness.status(gauges.read_series(spark, f"{root}/out", liveness.UNITS), last.scalar())

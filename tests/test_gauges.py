@@ -53,3 +53,29 @@ def test_a_batch_that_runs_again_writes_the_same(spark, stored, tmp_path):
 
 def test_no_series(spark, tmp_path):
     assert gauges.read_series(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_status_panels_have_zeros_for_units_without_events(spark, quake_rows, tmp_path):
+    """Days without events, months of different length; at each stop equal to the batch form."""
+    from quakeframe.operators import panels
+    from quakeframe.streaming import liveness
+
+    shown = [("live", "stream", "day", {"days": 9}), ("any", None, "month", {"months": 3}), ("none", "else", "day", {"days": 2})]
+    texts = dict(panels.bins.FLAG_TEXTS)
+    panels.bins.FLAG_TEXTS.update({name: ("off", "on") for name, *_ in shown})
+    try:
+        seconds = [0.5, 3600, 86400 * 4 + 7, 86400 * 4 + 7.001, 86400 * 30, 86400 * 91 + 5, 86400 * 91 + 100]
+        stored = points.event_points(enrich(quake_rows([(f"e{i}", s, 5.0) for i, s in enumerate(seconds)]), "live"))
+        root = str(tmp_path)
+        for stream in replay.arriving(spark, stored, "time", root, 3):
+            changes = liveness.unit_stream(stream.withWatermark("time", "30 seconds"), shown)
+            gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", True, keys=("panel", "bucket_ms"), alive="true").awaitTermination()
+            came = spark.read.schema(stored.schema).parquet(f"{root}/in")
+            clock = F.lit((came.agg(F.max("time").alias("t")).first()["t"] - timedelta(seconds=30)).replace(tzinfo=timezone.utc)).cast("timestamp")
+            ours = liveness.status(gauges.read_series(spark, f"{root}/out", liveness.UNITS), clock, shown)
+            theirs = panels.source_liveness(came, clock, shown).where("panel <> 'none'")  # a source that never sent anything isn't known
+            assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.select(*ours.columns).collect()))
+            assert ours.where("flag = 0").count() > 0
+    finally:
+        panels.bins.FLAG_TEXTS.clear()
+        panels.bins.FLAG_TEXTS.update(texts)
