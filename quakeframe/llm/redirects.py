@@ -67,13 +67,20 @@ def without_dots(url: Column) -> Column:
 
 
 def absolute(target: Column, url: Column) -> Column:
-    """A link target as a URL: with a scheme, with a host only, from the root, or beside ``url``."""
+    """A link target as a URL: with a scheme, with a host only, from the root, or beside ``url``.
+
+    An empty target, or a fragment alone, is the page itself; a query alone keeps the path. Targets of other
+    kinds (``mailto:``, ``javascript:``, ``data:``) are none.
+    """
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     root = F.concat(scheme, F.lit("://"), host(url))
     folder = F.regexp_extract(path(url), r"(?s)^(.*/)", 1)
     beside = F.concat(root, F.when(folder == "", "/").otherwise(folder), target)
     return (
         F.when(F.instr(url, "://") == 0, None).when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when((target == "") | target.startswith("#"), url)
+        .when(target.startswith("?"), F.concat(root, path(url), target))
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(root, target)).otherwise(beside)
     )

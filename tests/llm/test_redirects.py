@@ -88,3 +88,15 @@ def test_aliases_meet_by_references_and_dots(spark):
     assert found == {0: "block", 1: "block", 2: "block", 3: "allow"}
     links = {(r.a, r.b) for r in redirects.alias_links(pages(spark, rows)).collect()}
     assert links == {("y.net/q", "x.com/blocked/p?a=1&b=2"), ("x.com/open/deep/r", "x.com/blocked/s")}
+
+
+def test_targets_without_a_path(spark):
+    """A query keeps the page's path, a fragment or nothing is the page itself, other schemes are no links."""
+    page = "http://a.net/x/page?y=1"
+    targets = {"?y=2": "a.net/x/page?y=2", "#top": "a.net/x/page?y=1", "mailto:me@a.net": None, "javascript:void(0)": None, "other": "a.net/x/other", "HTTPS://b.org/": "b.org/"}
+    for target, expected in targets.items():
+        found = [r.b for r in redirects.alias_links(pages(spark, [(page, link(target))])).collect()]
+        assert found == ([expected] if expected else []), target
+    rows = [(page, link("?y=2")), ("http://c.com/de/1", link("#a")), ("http://a.net/x/", ""), ("http://c.com/de/x?q", link("http://a.net/x/page?y=2"))]
+    verdicts = {r.page_id: r.verdict for r in redirects.judged(pages(spark, rows), redirects.default_rules(spark)).collect()}
+    assert verdicts == {0: "block", 1: "block", 2: "allow", 3: "block"}
