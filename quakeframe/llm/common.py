@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has, in upper or lower case."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], schema: str | StructType, block: int = 512) -> DataFrame:
     """``mapInArrow`` for a function from an iterator of columns (lists by name) to tuples of output columns.
 

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakeframe.llm.common import stored
+from quakeframe.llm.common import stored, unused
 
 FAN_IN = 16  # runs that one merge takes
 RANGE_BYTES = 2  # leading bytes of the digest that name a digest range; each range has a tree of its own
@@ -77,6 +77,7 @@ def keep_one(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     found = exact_duplicates(docs, fan_in).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"),
     )
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    joined = marked.join(found, marked["doc_id"].eqNullSafe(found["_id"]) & (marked["_sha"] == found["_digest"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    sha = unused(docs, "_sha")
+    marked = docs.withColumn(sha, F.sha2(normalised(F.col("text")), 256))
+    joined = marked.join(found, marked["doc_id"].eqNullSafe(found["_id"]) & (marked[sha] == found["_digest"]), "left_semi")
+    return joined.dropDuplicates(["doc_id", sha]).select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.llm.common import mix as mixed_bits
-from quakeframe.llm.common import stored
+from quakeframe.llm.common import stored, unused
 
 WEIGHTS = (5, 2, 1)  # by the source's place in code point order, repeating
 MOST_PASSES = 3  # a document is taken so many times at most
@@ -153,5 +153,5 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED)
     chosen = mix(docs, weights, seed).groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
     d, c = docs.alias("d"), chosen.where("copies > 0").alias("c")
     joined = d.join(c, F.expr("d.doc_id <=> c.doc_id and d.source <=> c.source"))
-    repeated = joined.select("d.*", F.explode(F.array_repeat(F.lit(0), F.col("c.copies"))).alias("_copy"))
+    repeated = joined.select("d.*", F.explode(F.array_repeat(F.lit(0), F.col("c.copies"))).alias(unused(docs, "_copy")))
     return repeated.select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from quakeframe.llm.common import map_rows, mix, shingle_hashes, stored, word_hashes
+from quakeframe.llm.common import map_rows, mix, shingle_hashes, stored, unused, word_hashes
 from quakeframe.llm.components import components
 
 SIMILARITY = 0.8
@@ -397,8 +397,8 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         for block in blocks:
             yield *(block[c] for c in columns), [copy_key(canonical(t.as_py())) for t in block["text"]]
 
-    columns = docs.columns
-    d = map_rows(docs, keyed, StructType([*docs.schema, StructField("_node", BinaryType())])).alias("d")
+    columns, own = docs.columns, unused(docs, "_node")
+    d = map_rows(docs, keyed, StructType([*docs.schema, StructField(own, BinaryType())])).alias("d")
     k = classes(docs, least).where("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_key")).alias("k")
-    joined = d.join(k, F.expr("d._node = k._key and d.doc_id <=> k._id"), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_node"]).select(*columns)
+    joined = d.join(k, F.expr(f"d.{own} = k._key and d.doc_id <=> k._id"), "left_semi")
+    return joined.dropDuplicates(["doc_id", own]).select(*columns)
