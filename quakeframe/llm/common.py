@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,7 +40,9 @@ def unused(df: DataFrame, name: str) -> str:
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], schema: str | StructType, block: int = 512) -> DataFrame:
     """``mapInArrow`` for a function from an iterator of columns (lists by name) to tuples of output columns.
 
-    Batches are cut into blocks of ``block`` rows, so that the Python values of a block are bounded.
+    Batches are cut into blocks of ``block`` rows and, where they have a ``text``, of 8 MB of it (or a single
+    longer one), so that the Python values of a block are bounded. At its end a task gives back what it no
+    longer needs: the process serves other stages.
     """
     fields = df.sparkSession.createDataFrame([], schema).schema
     out = to_arrow_schema(fields)
@@ -48,15 +52,29 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], s
             for batch in batches:
                 for at in range(0, batch.num_rows, block):
                     part = batch.slice(at, block)
-                    yield dict(zip(part.schema.names, part.columns))
+                    texts = "text" in part.schema.names and pa.types.is_string(part.schema.field("text").type)
+                    for cut in byte_blocks([part], "text") if texts else [part]:
+                        yield dict(zip(cut.schema.names, cut.columns))
 
-        for result in rows(columns()):
-            arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(result, out)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        try:
+            for result in rows(columns()):
+                arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(result, out)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, fields)
 
 
+def give_back() -> None:
+    """Returns free memory of this process to the system, which an idle Python worker would keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def byte_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the values of ``column`` in one block have ``limit`` bytes at most, or are a single one."""
     for batch in batches:
