@@ -46,7 +46,8 @@ def snapshot(spark: SparkSession, log: str, version: int | None = None) -> Snaps
     version = versions[-1] if version is None else version
     rows = spark.read.schema(MANIFEST).parquet(f"{log}/{MANIFESTS}/version={version}")
     entry = F.struct(F.col("date").cast("string").alias("date"), "version")
-    row = rows.agg(F.sort_array(F.collect_list(entry)).alias("days"), F.max("last").alias("last")).first()
+    days = F.collect_list(F.when(F.col("date").isNotNull(), entry))
+    row = rows.agg(F.sort_array(days).alias("days"), F.max("last").alias("last")).first()
     return Snapshot(version, tuple((d["date"], d["version"]) for d in row["days"]), tuple(b for b in batches if b > row["last"]))
 
 
@@ -100,6 +101,8 @@ def compact(spark: SparkSession, log: str, schema: StructType) -> int | None:
     if before.days:
         kept = spark.createDataFrame(list(before.days), "date string, version int").withColumn("date", F.to_date("date"))
         entries = entries.unionByName(kept.join(touched, "date", "left_anti"))
+    # One row without a day: batches without rows have a last one too.
+    entries = entries.unionByName(spark.createDataFrame([(None, None)], "date date, version int"))
     last = F.lit(before.batches[-1]).alias("last")
     entries.select("date", "version", last).coalesce(1).write.mode("overwrite").parquet(f"{log}/{MANIFESTS}/version={version}")
     return version

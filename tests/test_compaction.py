@@ -114,3 +114,14 @@ def test_latest_rows_open_the_newest_days(spark, tmp_path):
         assert sum(d >= first for d in days) <= folders
     assert panels.recent_alerts(table, 10**6, days=days).count() == panels.recent_alerts(rows, 10**6).count()
     assert panels.live_feed(table.limit(0), 5, days=[]).count() == 0
+
+
+def test_batches_without_rows(spark, log):
+    path, rows, put = log
+    rows.limit(0).write.partitionBy("date").parquet(f"{path}/batch_id=0")
+    assert compaction.compact(spark, path, rows.schema) == 0
+    assert compaction.snapshot(spark, path) == compaction.Snapshot(0, (), ())
+    put(1)
+    assert compaction.compact(spark, path, rows.schema) == 1
+    compaction.expire(spark, path, 1)
+    assert ids(compaction.read(spark, path, rows.schema)) == ids(rows.where("cast(event_id as int) % 5 = 1"))
