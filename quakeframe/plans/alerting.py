@@ -51,8 +51,8 @@ def run_rules(
 ) -> list[StreamingQuery]:
     """Starts the rules over the silver table as streams: changes of alerts, silences, what is sent, and the gauges.
 
-    ``gauges`` is a table with one row per series, ``liveness`` one with a row per status panel and calendar
-    unit. ``alert_changes`` has what the rules over events say, ``silences`` what the clock says. Notifications read
+    ``gauges`` is a table with one row per series, ``liveness`` one with a row per calendar unit and part of a
+    status panel. ``alert_changes`` has what the rules over events say, ``silences`` what the clock says. Notifications read
     the changes; critical alerts mute warnings of the same name and region. With ``once`` the stages run to
     the end of the table, one after the other, and silences, which need a clock that goes on, are left out.
     """
@@ -67,7 +67,7 @@ def run_rules(
     stored = points.event_points(read_silver(spark, f"{root}/silver", delay))
     if not once:
         launch(rules.silence_stream(stored), "silences")
-    status = liveness.unit_stream(stored, [panel for panel in panels.LIVENESS if panel[1] != "batch"])
+    status = liveness.unit_stream(stored, [panel for panel in panels.LIVENESS if panel[1] != "batch"], delay)
     for df, name, options in (
         (gauges.gauge_stream(stored), "gauges", {}), (status, "liveness", {"keys": ("panel", "bucket_ms"), "alive": "true"}),
     ):

@@ -115,9 +115,11 @@ def write_series(
     """Keeps a table with one row per series. Each micro-batch writes it anew as the next version, whole or not at all.
 
     The table has a row for each value of ``keys`` that is ``alive``, so a version is small. A batch that runs
-    again writes its own version again from the one before it. The last two versions stay for readers.
+    again writes its own version again from the one before it. The last two versions stay for readers. Where a
+    series is kept in parts, each by a task of its own, ``part`` is one of the keys.
     """
     schema = changes.schema
+    keys = [*keys, *(name for name in schema.names if name == "part")]
 
     def save(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -125,7 +127,7 @@ def write_series(
         rows = batch.where(alive)
         if before:
             old = spark.read.schema(schema).parquet(f"{path}/version={before[-1]}")
-            rows = old.join(batch.select(*keys), list(keys), "left_anti").select(*batch.columns).unionByName(rows)
+            rows = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns).unionByName(rows)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={number}")
         for version in before[:-1]:
             delete(spark, f"{path}/version={version}")

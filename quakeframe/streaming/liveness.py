@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.functions import bins
 from quakeframe.operators import panels
-from quakeframe.streaming.keyed import Ordered
+from quakeframe.streaming.keyed import Ordered, delay_millis
 
-UNITS = "panel string, bucket_ms bigint, last_us bigint"
+UNITS = "panel string, part int, bucket_ms bigint, last_us bigint"
+PARTS = 16  # into which the points of a panel are dealt, by their times
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -47,26 +49,34 @@ def _moment(millis: int) -> datetime:
 
 
 class _Units(Ordered):
-    """Of one panel: its calendar units from the beginning of its range on, and when something last came in each.
+    """Of one part of a panel: its calendar units from the beginning of its range on, and when something last came in each.
 
     ``waiting`` has the times (microseconds) that the watermark has not reached, ``next`` the end of the last
-    unit. A timer at that end adds the next unit, empty; units that have left the range are forgotten.
+    unit. A timer at that end adds the next unit, empty; units that have left the range are forgotten. With a
+    ``delay``, of the times that the next watermark will have passed only the first and the last of each unit wait.
     """
 
-    columns = ["panel", "bucket_ms", "last_us"]
+    columns = ["panel", "part", "bucket_ms", "last_us"]
 
-    def __init__(self, ranges: dict[str, tuple[str, dict]]) -> None:
-        self.ranges = ranges
+    def __init__(self, ranges: dict[str, tuple[str, dict]], delay: int | None = None) -> None:
+        self.ranges, self.delay = ranges, delay
 
     def empty(self) -> dict:
         return {"waiting": [], "units": {}, "next": None, "changed": []}
 
     def take(self, key, state, rows: pd.DataFrame) -> list[tuple]:
-        state["waiting"] = sorted({*state["waiting"], *map(int, rows["time_us"])})
+        times = np.unique(np.concatenate([np.asarray(state["waiting"], "i8"), rows["time_us"].to_numpy("i8")]))
+        if self.delay is not None and len(times):
+            until = (times[-1] // 1000 - self.delay) * 1000
+            unit = times.astype("M8[us]").astype({"day": "M8[D]", "month": "M8[M]", "year": "M8[Y]"}[self.ranges[key[0]][0]])
+            last = np.append(unit[1:] != unit[:-1], True) | np.append(times[1:] > until, True)
+            first = np.append(True, times[:-1] <= self.now * 1000)  # those up to now are worked off at once
+            times = times[last | first | (times <= self.now * 1000) | (times > until)]
+        state["waiting"] = times
         return []
 
     def next_at(self, key, state) -> int | None:
-        times = [-(-state["waiting"][0] // 1000)] if state["waiting"] else []
+        times = [-(-int(state["waiting"][0]) // 1000)] if len(state["waiting"]) else []
         return min(times + ([state["next"]] if state["next"] is not None else []), default=None)
 
     def step(self, key, state, at) -> list[tuple]:
@@ -84,38 +94,43 @@ class _Units(Ordered):
             oldest = _millis(_start(_back(start, **back), unit))
             state["units"] = {b: last for b, last in state["units"].items() if int(b) >= oldest}
         until = min(self.now, state["next"] - 1)
-        while state["waiting"] and -(-state["waiting"][0] // 1000) <= until:
-            last = state["waiting"].pop(0)
+        passed = int(np.searchsorted(state["waiting"], until * 1000, side="right"))
+        for last in map(int, state["waiting"][:passed]):
             self._put(state, _start(_EPOCH + timedelta(microseconds=last), unit), last)
+        state["waiting"] = state["waiting"][passed:]
         return []
 
     def _put(self, state: dict, start: datetime, last: int | None) -> None:
         bucket = str(_millis(start))
         if last is not None or bucket not in state["units"]:
-            state["units"][bucket] = last
+            known = state["units"].get(bucket)
+            state["units"][bucket] = last if known is None else max(known, last)
             if bucket not in state["changed"]:
                 state["changed"].append(bucket)
 
     def settle(self, key, state) -> list[tuple]:
         out = [(int(b), state["units"][b]) for b in state["changed"] if b in state["units"]]
-        state["changed"] = []
+        state["changed"], state["waiting"] = [], np.asarray(state["waiting"], "i8").tolist()
         return out
 
     def idle(self, state) -> bool:
         return False
 
 
-def unit_stream(points: DataFrame, status_panels=panels.LIVENESS) -> DataFrame:
-    """When something last came, for each panel and calendar unit; null for a unit in which nothing has.
+def unit_stream(points: DataFrame, status_panels=panels.LIVENESS, delay: str | None = None) -> DataFrame:
+    """When something last came, for each part of a panel and calendar unit; null for a unit in which nothing has.
 
-    ``points`` has a watermark on ``time``. To be kept by ``gauges.write_series`` with the keys ``panel`` and
-    ``bucket_ms``. Needs the RocksDB state store and update mode.
+    ``points`` has a watermark on ``time``. With its ``delay`` (or a longer one) the state of a part is bounded by its
+    units and what the delay holds, however much comes in a micro-batch; without, it also has all that the watermark
+    has not reached. To be kept by ``gauges.write_series`` with the keys ``panel`` and ``bucket_ms``. Needs the
+    RocksDB state store and update mode.
     """
     named = [F.lit(panel) if source is None else F.when(F.col("source") == source, panel) for panel, source, _, _ in status_panels]
     rows = points.select("time", F.unix_micros("time").alias("time_us"), F.explode(F.array(*named)).alias("panel")).where("panel is not null")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("time"), F.lit(PARTS)).cast("int"))
     ranges = {panel: (unit, back) for panel, _, unit, back in status_panels}
-    return rows.groupBy("panel").transformWithStateInPandas(
-        statefulProcessor=_Units(ranges), outputStructType=UNITS, outputMode="update", timeMode="EventTime")
+    return rows.groupBy("panel", "part").transformWithStateInPandas(
+        statefulProcessor=_Units(ranges, delay_millis(points.sparkSession, delay)), outputStructType=UNITS, outputMode="update", timeMode="EventTime")
 
 
 def status(units: DataFrame, as_of: Column, status_panels=panels.LIVENESS) -> DataFrame:
@@ -123,6 +138,7 @@ def status(units: DataFrame, as_of: Column, status_panels=panels.LIVENESS) -> Da
 
     A unit counts only what came within the panel's range, which begins in the midst of its first unit.
     """
+    units = units.groupBy("panel", "bucket_ms").agg(F.max("last_us").alias("last_us"))
     bucket, flag = F.timestamp_millis("bucket_ms"), F.lit(None).cast("int")
     shown, text = F.lit(False), F.lit(None).cast("string")
     for panel, _, unit, back in status_panels:

@@ -191,7 +191,7 @@ def status(spark: SparkSession, stored: DataFrame) -> DataFrame:
     """The status panels as they are kept when the watermark stops, which is 30 seconds before the last point."""
     root, keys = work_dir(spark, "units"), ("panel", "bucket_ms")
     for stream in arriving(spark, stored, "time", root, 3):
-        changes = liveness.unit_stream(stream.withWatermark("time", live.WATERMARK))
+        changes = liveness.unit_stream(stream.withWatermark("time", live.WATERMARK), delay=live.WATERMARK)
         gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", True, keys=keys, alive="true").awaitTermination()
     last = spark.read.schema(stored.schema).parquet(f"{root}/rows").agg(F.date_trunc("millisecond", F.max("time")) - F.expr(f"interval {live.WATERMARK}"))
     return liveness.status(gauges.read_series(spark, f"{root}/out", liveness.UNITS), last.scalar())

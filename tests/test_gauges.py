@@ -79,3 +79,93 @@ def test_status_panels_have_zeros_for_units_without_events(spark, quake_rows, tm
     finally:
         panels.bins.FLAG_TEXTS.clear()
         panels.bins.FLAG_TEXTS.update(texts)
+
+
+class _Handle:
+    """What a processor needs of Spark: one value and timers."""
+
+    def __init__(self):
+        self.value, self.longest = None, 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.longest = value, max(self.longest, len(value[0]))
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        pass
+
+    deleteTimer = registerTimer  # noqa: N815
+
+
+class _Clock:
+    def __init__(self, millis):
+        self.getCurrentWatermarkInMs = lambda: millis
+
+
+def _played(processor, key, batches, delay):
+    """What a key says in each micro-batch, and the most characters that its state had."""
+    import pandas as pd
+
+    handle, watermark, said = _Handle(), 0, []
+    processor.init(handle)
+    for rows in [*batches, batches[-1].iloc[:0]]:
+        parts = (rows.iloc[at : at + 100] for at in range(0, len(rows), 100))
+        said.append(sorted(map(str, pd.concat(processor.handleInputRows(key, parts, _Clock(watermark))).itertuples(index=False))))
+        watermark = max(watermark, int(rows["time_us"].max()) // 1000 - delay) if len(rows) else watermark
+    return said, handle.longest
+
+
+def _batches(number):
+    """Two weeks in one micro-batch, out of order, then days and late rows."""
+    import numpy as np
+    import pandas as pd
+
+    draw, day, batches = np.random.default_rng(number), 86_400_000_000, []
+    for low, high, size in ((0.01, 14, 4000), (14, 14.01, 500), (13.9999, 17, 500), (16.9, 17.1, 900), (40, 40, 3)):
+        time = draw.integers(int(low * day), int(high * day) + 5000, size) // 500 * 500  # some on one millisecond, some on one instant
+        batches.append(pd.DataFrame({
+            "time_us": time, "magnitude": draw.choice([3.0, 4.5, 5.0, 6.5, 7.0], size, p=[.5, .3, .15, .04, .01]),
+            "event_id": [f"e{i}" for i in draw.integers(0, 99, size)], "depth_bin": draw.choice(["deep", "shallow"], size)}))
+    return batches
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_units_with_a_delay_are_the_same_of_a_small_state(number):
+    from quakeframe.streaming import liveness
+
+    for unit, back in (("day", {"days": 3}), ("month", {"months": 2}), ("year", {"months": 12})):
+        ranges, batches = {"p": (unit, back)}, _batches(number)
+        plain, most = _played(liveness._Units(ranges), ("p", 0), batches, 30_000)
+        small, least = _played(liveness._Units(ranges, 30_000), ("p", 0), batches, 30_000)
+        assert plain == small and any(plain)
+        assert least < most / 4
+
+
+def test_a_panel_is_kept_in_parts(spark, quake_rows, tmp_path):
+    """The points of a panel are dealt over several keys; each panel and unit is shown once."""
+    from quakeframe.streaming import liveness
+
+    stored = points.event_points(enrich(quake_rows([(f"e{i}", 600.0 * i, 5.0) for i in range(400)]), "live"))
+    root = str(tmp_path)
+    for stream in replay.arriving(spark, stored, "time", root, 2):
+        changes = liveness.unit_stream(stream.withWatermark("time", "30 seconds"), [("any", None, "day", {"days": 9})], "30 seconds")
+        gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", True, keys=("panel", "bucket_ms"), alive="true").awaitTermination()
+    kept = gauges.read_series(spark, f"{root}/out", liveness.UNITS)
+    days = kept.groupBy("panel", "bucket_ms").agg(F.countDistinct("part").alias("parts"), F.count("last_us").alias("n"), F.max("last_us").alias("last"))
+    assert days.where("n > 0 and parts > 4").count() == 3
+    clock = 599 * 60_000_000 + 86_400_000_000 * 2
+    last = [max((600_000_000 * i for i in range(399) if i // 144 == d)) for d in range(3)]  # the watermark is before the last one
+    assert sorted(r["last"] for r in days.where("n > 0").collect()) == last
+    shown = liveness.status(kept, F.timestamp_micros(F.lit(clock)), [("streaming", None, "day", {"days": 9})])
+    assert shown.count() == 0  # of another panel
