@@ -69,7 +69,7 @@ def run_rules(
         launch(rules.silence_stream(stored), "silences")
     status = liveness.unit_stream(stored, [panel for panel in panels.LIVENESS if panel[1] != "batch"], delay)
     for df, name, options in (
-        (gauges.gauge_stream(stored), "gauges", {}), (status, "liveness", {"keys": ("panel", "bucket_ms"), "alive": "true"}),
+        (gauges.gauge_stream(stored, delay=delay), "gauges", {}), (status, "liveness", {"keys": ("panel", "bucket_ms"), "alive": "true"}),
     ):
         queries.append(gauges.write_series(df, f"{root}/{name}", f"{checkpoints}/{name}", once, interval, **options))
         if once:

@@ -6,9 +6,11 @@ added when it comes and evicted when it leaves, and a scrape reads one row per s
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from quakeframe.operators import metrics
 from quakeframe.sources.tables import delete
 from quakeframe.streaming.compaction import complete
 from quakeframe.streaming.corrections import read_statistic
-from quakeframe.streaming.keyed import Ordered
+from quakeframe.streaming.keyed import Ordered, delay_millis
 
 SERIES = "metric string, region string, depth_bin string, value double, at_ms bigint"
 
@@ -45,34 +47,71 @@ class _LookBack(Ordered):
     For a maximum the queue is monotone: an entry drives out the weaker ones before it, so the head is the
     value and what waits behind it are the values to come as the head leaves. For a count it has the number
     of events of each millisecond, and their total beside it.
+
+    With a ``delay``, what will have left by the next watermark never enters the state, nor does what something
+    stronger will have driven out by then: no value is told in between.
     """
 
     columns = ["metric", "region", "depth_bin", "value", "at_ms"]
+    queues = ["waiting", "inside"]
 
-    def __init__(self, gauges: dict[str, Gauge]) -> None:
-        self.gauges = gauges
+    def __init__(self, gauges: dict[str, Gauge], delay: int | None = None) -> None:
+        self.gauges, self.delay = gauges, delay
 
     def empty(self) -> dict:
         return {"waiting": [], "inside": [], "total": 0, "said": None}
 
     def take(self, key, state, rows: pd.DataFrame) -> list[tuple]:
-        waiting = {(a, b): [n, best] for a, b, n, best in state["waiting"]}
-        for row in rows.itertuples():
-            own = [float(row.magnitude), int(row.time_us), row.event_id, row.depth_bin]
-            n, other = waiting.get((int(row.enter_ms), int(row.leave_ms)), (0, own))
-            waiting[int(row.enter_ms), int(row.leave_ms)] = [n + 1, max(own, other)]
-        state["waiting"] = [[*at, *entry] for at, entry in sorted(waiting.items())]
+        if not isinstance(state["waiting"], dict):
+            state["waiting"] = {(a, b): [n, best] for a, b, n, best in state["waiting"]}
+        waiting, at = state["waiting"], ["enter_ms", "leave_ms"]
+        if self.delay is not None and len(rows):
+            until = max([int(rows["enter_ms"].max()), *(enter for enter, _ in waiting)]) - 1 - self.delay
+            rows = rows[self._matters(key, rows, until)]
+            self._forget(key, waiting, until)
+        rows = rows.sort_values([*at, "magnitude", "time_us", "event_id", "depth_bin"])
+        number = rows.groupby(at).size()
+        for row in rows.drop_duplicates(at, keep="last").itertuples():
+            instant, own = (int(row.enter_ms), int(row.leave_ms)), [float(row.magnitude), int(row.time_us), row.event_id, row.depth_bin]
+            n, other = waiting.get(instant, (0, own))
+            waiting[instant] = [n + int(number[instant]), max(own, other)]
         return []
 
+    def _matters(self, key, rows: pd.DataFrame, until: int) -> np.ndarray:
+        """Which rows may matter at a watermark of ``until`` or later, or do at once."""
+        enter, magnitude = rows["enter_ms"].to_numpy(), rows["magnitude"].to_numpy("f8")
+        now = enter <= self.now
+        stays = rows["leave_ms"].to_numpy() > until
+        if self.gauges[key[0]].kind != "count":
+            latest = np.argsort(-rows["time_us"].to_numpy(), kind="stable")
+            strongest = np.empty_like(magnitude)  # of what enters then or later, as far as that is sure
+            strongest[latest] = np.fmax.accumulate(np.where((enter <= until) & ~now, magnitude, -np.inf)[latest])
+            stays &= ~(magnitude < strongest) | (enter > until)
+        return now | stays
+
+    def _forget(self, key, waiting: dict, until: int) -> None:
+        strongest = None
+        for at in sorted(waiting, reverse=True):
+            if self.now < at[0] <= until:
+                best = waiting[at][1][:3]
+                driven = self.gauges[key[0]].kind != "count" and strongest is not None and best < strongest
+                if driven or at[1] <= until:
+                    del waiting[at]
+                strongest = best if strongest is None else max(best, strongest)
+
+    def taken(self, key, state) -> None:
+        if isinstance(state["waiting"], dict):
+            state["waiting"] = deque([*at, *entry] for at, entry in sorted(state["waiting"].items()))
+
     def next_at(self, key, state) -> int | None:
         return min([queue[0][i] for i, queue in ((0, state["waiting"]), (1, state["inside"])) if queue], default=None)
 
     def step(self, key, state, at) -> list[tuple]:
         inside, counts = state["inside"], self.gauges[key[0]].kind == "count"
         while inside and inside[0][1] <= at:
-            state["total"] -= inside.pop(0)[2]
+            state["total"] -= inside.popleft()[2]
         while state["waiting"] and state["waiting"][0][0] <= at:
-            entry = state["waiting"].pop(0)
+            entry = state["waiting"].popleft()
             while not counts and inside and inside[-1][3][:3] < entry[3][:3]:
                 inside.pop()
             inside.append(entry)
@@ -90,11 +129,12 @@ class _LookBack(Ordered):
         return [(label, value, self.now)]
 
 
-def gauge_stream(points: DataFrame, gauges: tuple[Gauge, ...] = GAUGES) -> DataFrame:
+def gauge_stream(points: DataFrame, gauges: tuple[Gauge, ...] = GAUGES, delay: str | None = None) -> DataFrame:
     """Changes of all series as the watermark goes on, one row per series and micro-batch at most; a null value ends a series.
 
-    ``points`` has a watermark on ``time``, which is the instant that the gauges are of. The state of a
-    series is bounded by what its look-back holds. Needs the RocksDB state store and update mode.
+    ``points`` has a watermark on ``time``, which is the instant that the gauges are of. With its ``delay`` (or a
+    longer one) the state of a series is bounded by what its look-back and the delay hold, however much comes in
+    a micro-batch; without, it also has all that the watermark has not reached. Needs the RocksDB state store and update mode.
     """
     micros, each = F.unix_micros("time"), []
     for gauge in gauges:
@@ -103,7 +143,7 @@ def gauge_stream(points: DataFrame, gauges: tuple[Gauge, ...] = GAUGES) -> DataF
     rows = points.select("region", "depth_bin", "magnitude", "time", micros.alias("time_us"), "event_id", F.explode(F.array(*each)).alias("g"))
     rows = rows.select("g.*", "region", "depth_bin", "magnitude", "time", "time_us", "event_id")
     return rows.groupBy("metric", "region").transformWithStateInPandas(
-        statefulProcessor=_LookBack({g.metric: g for g in gauges}), outputStructType=SERIES, outputMode="update", timeMode="EventTime")
+        statefulProcessor=_LookBack({g.metric: g for g in gauges}, delay_millis(points.sparkSession, delay)), outputStructType=SERIES, outputMode="update", timeMode="EventTime")
 
 
 # --- the keyed table --------------------------------------------------------------------------

@@ -182,7 +182,7 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gauges over events as they are kept when the watermark stops."""
     root = work_dir(spark, "gauges")
     for stream in arriving(spark, points.event_points(live_events(spark, sf_dir)), "time", root, 3):
-        changes = gauges.gauge_stream(stream.withWatermark("time", live.WATERMARK))
+        changes = gauges.gauge_stream(stream.withWatermark("time", live.WATERMARK), delay=live.WATERMARK)
         gauges.write_series(changes, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
     return gauges.read_series(spark, f"{root}/out").drop("at_ms")
 

@@ -5,6 +5,7 @@ The batch forms are ``operators.metrics`` (timelines), ``operators.alerts.firing
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 
 import pandas as pd
@@ -53,6 +54,7 @@ class _LookBack(Ordered):
     """
 
     columns = ["alertname", "region", "severity", "depth_bin", "state", "at_ms", "pending_ms", "firing_ms", "peak"]
+    queues = ["waiting", "seen"]
 
     def __init__(self, watches: dict[str, Watch]) -> None:
         self.watches = watches
@@ -61,7 +63,9 @@ class _LookBack(Ordered):
         return {"waiting": [], "seen": [], "value": 0, "run": None}
 
     def take(self, key, state, rows: pd.DataFrame) -> list[tuple]:
-        waiting = {(first, gone): [n, best] for first, gone, n, best in state["waiting"]}
+        if not isinstance(state["waiting"], dict):
+            state["waiting"] = {(first, gone): [n, best] for first, gone, n, best in state["waiting"]}
+        waiting = state["waiting"]
         best = rows.sort_values(["magnitude", "time_us", "event_id"]).groupby(["first_ms", "gone_ms"]).agg(
             n=("magnitude", "size"), magnitude=("magnitude", "last"), time_us=("time_us", "last"),
             event_id=("event_id", "last"), depth_bin=("depth_bin", "last"))
@@ -69,9 +73,12 @@ class _LookBack(Ordered):
             own = [float(row.magnitude), int(row.time_us), row.event_id, row.depth_bin]
             n, other = waiting.get(row.Index, (0, own))
             waiting[tuple(map(int, row.Index))] = [n + int(row.n), max(own, other)]
-        state["waiting"] = [[*at, *entry] for at, entry in sorted(waiting.items())]
         return []
 
+    def taken(self, key, state) -> None:
+        if isinstance(state["waiting"], dict):
+            state["waiting"] = deque([*at, *entry] for at, entry in sorted(state["waiting"].items()))
+
     def next_at(self, key, state) -> int | None:
         run, hold = state["run"], self.watches[key[0]].hold_ms
         times = [queue[0][i] for queue, i in ((state["waiting"], 0), (state["seen"], 1)) if queue]
@@ -82,9 +89,9 @@ class _LookBack(Ordered):
     def step(self, key, state, at) -> list[tuple]:
         watch, seen = self.watches[key[0]], state["seen"]
         while seen and seen[0][1] <= at:
-            state["value"] -= seen.pop(0)[2]
+            state["value"] -= seen.popleft()[2]
         while state["waiting"] and state["waiting"][0][0] <= at:
-            entry = state["waiting"].pop(0)
+            entry = state["waiting"].popleft()
             if watch.above is not None:
                 while seen and seen[-1][3][:3] < entry[3][:3]:
                     state["value"] -= seen.pop()[2]

@@ -169,3 +169,13 @@ def test_a_panel_is_kept_in_parts(spark, quake_rows, tmp_path):
     assert sorted(r["last"] for r in days.where("n > 0").collect()) == last
     shown = liveness.status(kept, F.timestamp_micros(F.lit(clock)), [("streaming", None, "day", {"days": 9})])
     assert shown.count() == 0  # of another panel
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_gauges_with_a_delay_are_the_same_of_a_small_state(number):
+    for gauge in gauges.GAUGES:
+        rows = [b.assign(enter_ms=-(-b.time_us // 1000), leave_ms=(b.time_us + gauge.lookback_seconds * 1_000_000) // 1000 + 1) for b in _batches(number)]
+        plain, most = _played(gauges._LookBack({gauge.metric: gauge}), (gauge.metric, "r"), rows, 30_000)
+        small, least = _played(gauges._LookBack({gauge.metric: gauge}, 30_000), (gauge.metric, "r"), rows, 30_000)
+        assert plain == small and any(plain)
+        assert least < most / 4
