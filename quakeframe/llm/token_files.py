@@ -14,6 +14,7 @@ import io
 import json
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,10 +39,53 @@ SAMPLE_BYTES = 8 << 20  # and bytes of them at most
 DICTIONARY_BYTES = 32 << 10
 DOCS_PER_FILE = 50_000
 LEAST = -(1 << 63)
-WORDS, CHUNKS = 300_000, 200_000  # words and chunks that a worker remembers, in each of two generations
+WORDS, CHUNKS, LONGEST = 400_000, 500_000, 64  # words and chunks of so many characters at most that a worker remembers, in each of two generations
 END_ID = 1
 
 
+class Letters(dict):
+    """The letters that the tokenizers library makes of a character, in the alphabet of the vocabulary, or ``OTHER``.
+
+    Asked once for each character: one that stays a letter between letters is lower-cased and spelled on its own.
+    """
+
+    OTHER = "\n"
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, code: int) -> str:
+        text = chr(code)
+        if text.isascii():
+            self[code] = text.lower()
+        else:
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(f"x{self.tokenizer.normalizer.normalize_str(text)}x")
+            word = pieces[0][0]
+            own = len(pieces) == 1 and len(word) > 2 and word[0] == word[-1] == "x" and unicodedata.category(text).startswith("L")
+            self[code] = word[1:-1] if own else self.OTHER
+        return self[code]
+
+
+class Shadow(dict):
+    """As many ``x`` as ``letters`` has for a character; ASCII characters are their own."""
+
+    def __init__(self, letters: Letters):
+        super().__init__()
+        self.letters = letters
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.letters[code] if code < 128 else "x" * len(self.letters[code])
+        return self[code]
+
+
+class Short(Remembered):
+    """Remembers what has ``LONGEST`` characters at most and works out the rest each time."""
+
+    def __missing__(self, key: str):
+        return super().__missing__(key) if len(key) <= LONGEST else self.function(key)
+
+
 class Encoder:
     """The tokenizers library, asked once for each word of a text as long as a bounded memory holds it."""
 
@@ -52,8 +96,8 @@ class Encoder:
         self.type = {2: "<u2", 4: "<u4"}[width]
         self.model = self.tokenizer.model
         self.code = {2: "H", 4: "I"}[width]
-        self.chunks = Remembered(self._chunk, CHUNKS)
-        self.words = Remembered(self._word, WORDS)
+        self.chunks = Short(self._chunk, CHUNKS)
+        self.words = Short(self._word, WORDS)
         spec = json.loads(self.tokenizer.to_str())
         norm, pre = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
         split = next((p for p in pre.get("pretokenizers", []) if p["type"] == "Split" and "Regex" in p["pattern"]), None)
@@ -63,6 +107,8 @@ class Encoder:
         plain = [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         pattern = split["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9") if split else r"\p"
         self.ascii = re.compile(pattern, re.ASCII) if plain and r"\p" not in pattern else None
+        self.letters = Letters(self.tokenizer)
+        self.shadow = Shadow(self.letters)
         self.special = any(not t.content.startswith("<|") for t in self.tokenizer.get_added_tokens_decoder().values())
 
     def _whole(self, text: str) -> bytes:
@@ -73,18 +119,28 @@ class Encoder:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
-        words = self.words
-        if self.ascii and chunk.isascii() and chunk.isprintable():  # control characters have names of their own in the vocabulary
-            return b"".join([words[w] if len(w) <= 64 else self._word(w) for w in self.ascii.findall(chunk.lower())])
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))
-        return b"".join([words[w] if len(w) <= 64 else self._word(w) for w, _ in pieces])
+        words, pieces = self.words, self._pieces(chunk)
+        return words[pieces[0]] if len(pieces) == 1 else b"".join([words[w] for w in pieces])
+
+    def _pieces(self, chunk: str) -> list[str]:
+        if self.ascii and chunk.isprintable():  # control characters have names of their own in the vocabulary
+            if chunk.isascii():
+                return [chunk.lower()] if chunk.isalpha() else self.ascii.findall(chunk.lower())
+            spelled = chunk.translate(self.letters)
+            if Letters.OTHER not in spelled and unicodedata.is_normalized("NFC", chunk):
+                if chunk.isalpha():
+                    return [spelled]
+                return [spelled[m.start() : m.end()] for m in self.ascii.finditer(chunk.translate(self.shadow))]
+        return self._asked(chunk)
+
+    def _asked(self, chunk: str) -> list[str]:
+        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))]
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as an array in bytes."""
         if not self.by_chunk or self.special or "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self._whole(text)
-        chunks = self.chunks
-        return b"".join([chunks[c] if len(c) <= 64 else self._chunk(c) for c in text.split()])
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 _ENCODERS: dict[tuple, Encoder] = {}

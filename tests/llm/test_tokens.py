@@ -89,3 +89,22 @@ def test_query_and_single_documents(spark, sf, library, tmp_path):
 def test_no_documents(docs):
     assert token_files.round_trip(docs([]), PATH).collect() == []
     assert bpe.encoded(docs([]), PATH).collect() == []
+
+
+def test_letters_of_any_script_are_asked_for_once(monkeypatch):
+    """Whole words of letters, whatever the script, need no pass of the library's splitter; ids are the library's."""
+    import unicodedata
+
+    own, tokenizer, asked = token_files.Encoder(PATH, 2), Tokenizer.from_file(PATH), []
+    slow = own._asked
+    monkeypatch.setattr(own, "_asked", lambda chunk: asked.append(chunk) or slow(chunk))
+    draw = random.Random(5)
+    scripts = ["abzß", "éÀñçÖ", "жЩяЁ", "ΣΑσςΰ", "漢字", "שלום", "हिन्दी", "İIıi", "ǅǆ", "ﬁ", "각가", "ไทย"]
+    words = ["".join(draw.choices(draw.choice(scripts) + "ae", k=draw.randint(1, 8))) for _ in range(3000)]
+    text = " ".join(w + draw.choice(["", "", ",", "'s", "'LL", "7", "…", "é", "--'t"]) for w in words)
+    assert list(np.frombuffer(own.encode(text), "<u2")) == tokenizer.encode(text, add_special_tokens=False).ids
+    plain = [c for c in text.split() if all(unicodedata.category(x).startswith("L") and x != "İ" for x in c)]  # that one gets a mark
+    assert len(plain) > 500 and not {c for c in plain if unicodedata.is_normalized("NFC", c)} & set(asked)
+    every = "".join(map(chr, [*range(32, 0x3400), *range(0xA000, 0xA830), *range(0xF900, 0x10000), *range(0x10000, 0x10500)]))
+    for sample in (" ".join(every), " ".join(f"a{c}b" for c in every), " ".join("".join(draw.choices(every, k=4)) for _ in range(20000))):
+        assert own.encode(sample) == own._whole(sample)
