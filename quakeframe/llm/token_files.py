@@ -39,7 +39,7 @@ SAMPLE_BYTES = 8 << 20  # and bytes of them at most
 DICTIONARY_BYTES = 32 << 10
 DOCS_PER_FILE = 50_000
 LEAST = -(1 << 63)
-WORDS, CHUNKS, LONGEST = 400_000, 500_000, 64  # words and chunks of so many characters at most that a worker remembers, in each of two generations
+WORDS, CHUNKS, LONGEST = 450_000, 700_000, 64  # words and chunks of so many characters at most that a worker remembers, in each of two generations
 END_ID = 1
 
 
